@@ -6,14 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def int_div(num: Column, den: Column) -> Column:
-    """Whole-number division; null where ``den`` is 0."""
-    return F.call_function("div", num, F.nullif(den, F.lit(0).cast("long")))
+def half_up_ratio(num: str, den: str, scale: int = 2) -> Column:
+    """Ratio of two count columns, rounded half up to ``scale`` places without float error.
 
-
-def half_up_ratio(num: Column, den: Column, scale: int = 2) -> Column:
-    """``num / den`` for counts, rounded half up to ``scale`` places without float error."""
+    Null where ``den`` is 0.
+    """
     unit = 10**scale
-    top, bottom = num.cast("long"), den.cast("long")
-    hundredths = int_div(top * F.lit(2 * unit) + bottom, bottom * F.lit(2))
-    return hundredths.cast("double") / F.lit(float(unit))
+    return F.expr(f"(({2 * unit}L * {num} + {den}) div nullif(2L * {den}, 0L)) / {unit}D")

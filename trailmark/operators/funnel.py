@@ -49,41 +49,34 @@ def start_page_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     return actions.agg(F.count_if(first).alias("start_pv"))
 
 
-def _step(number: int, flow: Sequence[int], previous: str) -> F.Column:
-    return F.struct(
-        F.lit(number).alias("step"),
-        F.lit(flow[number - 1]).cast("long").alias("from_page"),
-        F.lit(flow[number]).cast("long").alias("to_page"),
-        F.col(f"_pv_{number}").alias("pv"),
-        F.col(previous).alias("previous_pv"),
-    )
-
-
 def page_flow_matches(
     actions: DataFrame, flow: Sequence[int], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Per step of the flow: how often it was taken, and the count it is measured against.
 
-    A step that occurs twice in the flow is counted once per position and
-    occurrence: its pair's visits times the number of positions. One pass over the
-    actions yields all counts, the first page's visits included.
+    A pair that occurs twice in the flow is counted once per position, so its visits
+    count double at both. One pass over the actions yields all counts, the first
+    page's visits included.
     """
-    steps = range(1, len(flow))
-    if not steps:
-        steps_type = "array<struct<step:int,from_page:long,to_page:long,pv:long,previous_pv:long>>"
-        return start_page_pv(actions, flow).select(F.inline(F.array().cast(steps_type)))
-    pairs = [(flow[i - 1], flow[i]) for i in steps]
-
-    def visits(pair: tuple[int, int]) -> F.Column:
-        matched = (F.col("from_page") == pair[0]) & (F.col("page_id") == pair[1])
-        return F.count_if(matched) * F.lit(pairs.count(pair))
-
+    pairs = [(int(a), int(b)) for a, b in zip(flow, flow[1:])]
+    if not pairs:
+        return start_page_pv(actions, flow).selectExpr(
+            "inline(cast(array() AS array<struct<step: int, from_page: bigint,"
+            " to_page: bigint, pv: bigint, previous_pv: bigint>>))"
+        )
+    visits = [
+        f"count_if(from_page = {a} AND page_id = {b}) * {pairs.count((a, b))} AS pv_{i}"
+        for i, (a, b) in enumerate(pairs, 1)
+    ]
+    steps = [
+        f"named_struct('step', {i}, 'from_page', {a}L, 'to_page', {b}L,"
+        f" 'pv', pv_{i}, 'previous_pv', pv_{i - 1})"
+        for i, (a, b) in enumerate(pairs, 1)
+    ]
     counts = _with_previous_page(actions, hot_rows).agg(
-        F.count_if(F.col("page_id") == flow[0]).alias("_pv_0"),
-        *(visits(pair).alias(f"_pv_{i}") for i, pair in zip(steps, pairs)),
+        F.expr(f"count_if(page_id = {int(flow[0])}) AS pv_0"), *map(F.expr, visits)
     )
-    tidy = F.array(*(_step(i, flow, f"_pv_{i - 1}") for i in steps))
-    return counts.select(F.inline(tidy))
+    return counts.selectExpr(f"inline(array({', '.join(steps)}))")
 
 
 def page_convert_rate(matches: DataFrame) -> DataFrame:
@@ -92,7 +85,7 @@ def page_convert_rate(matches: DataFrame) -> DataFrame:
         "step",
         pair_label(F.col("from_page"), F.col("to_page")).alias("page_pair"),
         "pv",
-        half_up_ratio(F.col("pv"), F.col("previous_pv")).alias("convert_rate"),
+        half_up_ratio("pv", "previous_pv").alias("convert_rate"),
     )
 
 

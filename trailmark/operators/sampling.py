@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.functions.numeric import int_div
 from trailmark.functions.texts import id_list_text, list_text
 from trailmark.functions.times import format_date, format_time, hour_text
 from trailmark.operators.ranking import top_per_group
@@ -46,9 +45,10 @@ def sample_quota(hour_counts: DataFrame, total: int = DEFAULT_TOTAL) -> DataFram
         F.when(first_of_day, 1).otherwise(0).alias("_day"),
     )
     counts = counts.withColumn("days", F.sum("_day").over(W.partitionBy())).drop("_day")
-    counts = counts.withColumn("per_day", int_div(F.lit(total).cast("long"), F.col("days")))
-    share = int_div(F.col("session_count") * F.col("per_day"), F.col("day_count"))
-    return counts.withColumn("quota", F.least("session_count", share))
+    counts = counts.selectExpr("*", f"{int(total)}L div days AS per_day")
+    return counts.selectExpr(
+        "*", "least(session_count, (session_count * per_day) div day_count) AS quota"
+    )
 
 
 def sample_sessions(

@@ -141,13 +141,13 @@ def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def _bucket_counts(column: str, prefix: str, buckets: tuple) -> list[Column]:
-    counts = []
-    for name, low, high in buckets:
-        inside = F.col(column) >= low
-        if high is not None:
-            inside = inside & (F.col(column) <= high)
-        counts.append(F.count_if(inside).alias(f"{prefix}_{name}"))
-    return counts
+    return [
+        F.expr(
+            f"count_if({column} >= {low}{'' if high is None else f' AND {column} <= {high}'})"
+            f" AS {prefix}_{name}"
+        )
+        for name, low, high in buckets
+    ]
 
 
 def visit_length_histogram(sessions: DataFrame) -> DataFrame:
@@ -166,9 +166,8 @@ def session_stat_ratios(sessions: DataFrame, task_id: int = 0) -> DataFrame:
     steps = _bucket_counts("step_length", "step_length", STEP_BUCKETS)
     counts = sessions.agg(F.count(F.lit(1)).alias("session_count"), *visits, *steps)
     names = [name for name in counts.columns if name != "session_count"]
-    total = F.col("session_count")
     return counts.select(
         F.lit(task_id).cast("long").alias("task_id"),
-        total,
-        *(half_up_ratio(F.col(name), total).alias(f"{name}_ratio") for name in names),
+        "session_count",
+        *(half_up_ratio(name, "session_count").alias(f"{name}_ratio") for name in names),
     )

@@ -18,6 +18,10 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Read once at start-up. Capturing the Python call site of every column expression
+# costs more than building the plan.
+STATIC_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(
     app_name: str = "trailmark",
@@ -26,6 +30,9 @@ def build_session(
 ) -> SparkSession:
     """Session with :data:`DEFAULTS`; ``master`` is normally left to spark-submit."""
     builder = SparkSession.builder.appName(app_name)
+    for key, value in STATIC_DEFAULTS.items():
+        if SparkSession.getActiveSession() is None:
+            builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in (extra or {}).items():

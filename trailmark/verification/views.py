@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 BATCH_SECONDS = 21_600
 STREAM_BATCH_SECONDS = 432_000
 
+# Schemas seen so far: reading a file's footer takes a job.
+_schemas: dict[str, T.StructType] = {}
+
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
 
 class Views:
     """Lazily built input tables over one folder of parquet files."""
@@ -21,136 +26,117 @@ class Views:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     @cached_property
     def _events(self) -> DataFrame:
-        k = F.get_json_object("props", "$.k").cast("long")
-        return self.table("events").select("event_id", "ts", "user_id", "event_type", k.alias("k"))
+        return self.table("events").selectExpr(
+            "event_id",
+            "ts",
+            "user_id",
+            "event_type",
+            "cast(get_json_object(props, '$.k') AS bigint) AS k",
+        )
 
     @cached_property
     def actions(self) -> DataFrame:
-        k, user = F.col("k"), F.col("user_id")
-        span = 1 + user % 30
-        session_number = F.call_function("div", F.dayofmonth("ts") - 1, span)
-        events = self._events.withColumn("sno", session_number)
-        first_day = F.lit("2024-01-01").cast("date")
-        events = events.withColumn(
-            "sday", F.date_add(first_day, (F.col("sno") * span).cast("int"))
+        numbered = self._events.selectExpr(
+            "*", "1 + user_id % 30 AS span", "(day(ts) - 1) div (1 + user_id % 30) AS sno"
         )
-        start = F.col("sday").cast("timestamp_ntz")
-        elapsed = F.timestamp_diff("SECOND", start, F.col("ts"))
-        seconds = (user % 24) * 3600 + F.call_function("div", elapsed, F.lit(1200).cast("long"))
-        offset = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-
-        def on(kind: str, value: Column) -> Column:
-            return F.when(F.col("event_type") == kind, value)
-
-        following = (k + 1) % 100
-        return events.select(
+        dated = numbered.selectExpr("*", "date_add(DATE '2024-01-01', int(sno * span)) AS sday")
+        timed = dated.selectExpr(
+            "*",
+            "cast(sday AS timestamp_ntz) AS start",
+            "timestampdiff(SECOND, cast(sday AS timestamp_ntz), ts) div 1200L AS elapsed",
+        )
+        return timed.selectExpr(
             "event_id",
-            F.date_format("sday", "yyyy-MM-dd").alias("update_date"),
+            "date_format(sday, 'yyyy-MM-dd') AS update_date",
             "user_id",
-            F.concat_ws("_", user.cast("string"), F.col("sno").cast("string")).alias("session_id"),
-            (k % 10).alias("page_id"),
-            (start + offset).alias("action_time"),
-            on("view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
-            on("click", k).alias("click_category_id"),
-            on("click", 7 * k % 100).alias("click_product_id"),
-            on("purchase", F.concat_ws(",", k.cast("string"), following.cast("string"))).alias(
-                "order_category_ids"
-            ),
-            on("purchase", (3 * k % 100).cast("string")).alias("order_product_ids"),
-            on("signup", k.cast("string")).alias("pay_category_ids"),
-            on("signup", (5 * k % 100).cast("string")).alias("pay_product_ids"),
-            (user % 25).alias("city_id"),
+            "concat(user_id, '_', sno) AS session_id",
+            "k % 10 AS page_id",
+            "start + make_dt_interval(0, int(user_id % 24), 0, elapsed) AS action_time",
+            "CASE WHEN event_type = 'view' THEN concat('kw', k % 10) END AS search_keyword",
+            "CASE WHEN event_type = 'click' THEN k END AS click_category_id",
+            "CASE WHEN event_type = 'click' THEN 7 * k % 100 END AS click_product_id",
+            "CASE WHEN event_type = 'purchase' THEN concat(k, ',', (k + 1) % 100) END"
+            " AS order_category_ids",
+            "CASE WHEN event_type = 'purchase' THEN string(3 * k % 100) END AS order_product_ids",
+            "CASE WHEN event_type = 'signup' THEN string(k) END AS pay_category_ids",
+            "CASE WHEN event_type = 'signup' THEN string(5 * k % 100) END AS pay_product_ids",
+            "user_id % 25 AS city_id",
         )
 
     @cached_property
     def users(self) -> DataFrame:
-        nation = self.table("nation").select("n_nationkey", "n_name")
-        customers = self.table("customer").join(
-            nation, F.col("c_nationkey") == F.col("n_nationkey")
-        )
-        return customers.select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("c_name").alias("username"),
-            F.col("c_name").alias("name"),
-            (18 + F.col("c_custkey") % 50).cast("int").alias("age"),
-            F.col("c_mktsegment").alias("professional"),
-            F.col("n_name").alias("city"),
-            F.when(F.col("c_custkey") % 2 == 0, "female").otherwise("male").alias("sex"),
+        nation = self.table("nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+        customers = self.table("customer").join(nation, "c_nationkey")
+        return customers.selectExpr(
+            "c_custkey AS user_id",
+            "c_name AS username",
+            "c_name AS name",
+            "int(18 + c_custkey % 50) AS age",
+            "c_mktsegment AS professional",
+            "n_name AS city",
+            "if(c_custkey % 2 = 0, 'female', 'male') AS sex",
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        status = (F.col("p_size") % 2).cast("string")
-        return self.table("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.concat(F.lit('{"product_status": '), status, F.lit("}")).alias("extend_info"),
+        return self.table("part").selectExpr(
+            "p_partkey AS product_id",
+            "p_name AS product_name",
+            """concat('{"product_status": ', p_size % 2, '}') AS extend_info""",
         )
 
     @cached_property
     def cities(self) -> DataFrame:
-        located = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        return located.select(
-            F.col("n_nationkey").alias("city_id"),
-            F.col("n_name").alias("city_name"),
-            F.col("r_name").alias("area"),
+        region = self.table("region").selectExpr("r_regionkey AS n_regionkey", "r_name")
+        located = self.table("nation").join(region, "n_regionkey")
+        return located.selectExpr(
+            "n_nationkey AS city_id", "n_name AS city_name", "r_name AS area"
         )
 
     @cached_property
     def tasks(self) -> DataFrame:
         """A task per customer, with parameters present, absent and empty in turn."""
-        key = F.col("c_custkey")
-        text = key.cast("string")
-        param = F.concat(
-            F.lit('{"startDate":["2024-01-'),
-            F.lpad((1 + key % 28).cast("string"), 2, "0"),
-            F.lit('"],"endDate":["2024-01-30"],'),
-            F.when(key % 3 == 0, F.concat(F.lit('"startAge":["'), (18 + key % 50).cast("string"), F.lit('"],'))).otherwise(F.lit("")),
-            F.when(key % 2 == 0, F.lit('"endAge":["60"],')).otherwise(F.lit('"endAge":[],')),
-            F.lit('"professionals":["'),
-            F.col("c_mktsegment"),
-            F.lit(',MACHINERY"],"cities":["NATION_'),
-            F.col("c_nationkey").cast("string"),
-            F.lit('"],"sex":["'),
-            F.when(key % 5 == 0, F.lit("male")).otherwise(F.lit("")),
-            F.lit('"],"keywords":["kw1,kw2","kw3"],"categoryIds":["1,'),
-            text,
-            F.lit('"],"targetPageFlow":["1,2,3,4"]}'),
-        )
-        return self.table("customer").select(
-            key.alias("task_id"),
-            F.col("c_name").alias("task_name"),
-            F.lit(None).cast("string").alias("create_time"),
-            F.lit(None).cast("string").alias("start_time"),
-            F.lit(None).cast("string").alias("finish_time"),
-            F.lit("session").alias("task_type"),
-            F.lit("new").alias("task_status"),
-            param.alias("task_param"),
+        start_age = """if(c_custkey % 3 = 0, concat('"startAge":["', 18 + c_custkey % 50, '"],'), '')"""
+        end_age = """if(c_custkey % 2 = 0, '"endAge":["60"],', '"endAge":[],')"""
+        return self.table("customer").selectExpr(
+            "c_custkey AS task_id",
+            "c_name AS task_name",
+            "string(null) AS create_time",
+            "string(null) AS start_time",
+            "string(null) AS finish_time",
+            "'session' AS task_type",
+            "'new' AS task_status",
+            f"""concat(
+                '{{"startDate":["2024-01-', lpad(string(1 + c_custkey % 28), 2, '0'), '"],',
+                '"endDate":["2024-01-30"],', {start_age}, {end_age},
+                '"professionals":["', c_mktsegment, ',MACHINERY"],',
+                '"cities":["NATION_', c_nationkey, '"],',
+                '"sex":["', if(c_custkey % 5 = 0, 'male', ''), '"],',
+                '"keywords":["kw1,kw2","kw3"],"categoryIds":["1,', c_custkey, '"],',
+                '"targetPageFlow":["1,2,3,4"]}}') AS task_param""",
         )
 
     def _clicks_every(self, seconds: int) -> DataFrame:
-        epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
-        place = self.cities.select(
-            F.col("city_id").cast("long").alias("city_id"),
-            F.col("area").alias("province"),
-            F.col("city_name").alias("city"),
+        place = self.cities.selectExpr(
+            "bigint(city_id) AS city_id", "area AS province", "city_name AS city"
         )
-        clicks = self._events.withColumn("city_id", F.col("user_id") % 25).join(place, "city_id")
-        return clicks.select(
+        located = self._events.selectExpr("*", "user_id % 25 AS city_id").join(place, "city_id")
+        return located.selectExpr(
             "event_id",
             "ts",
-            F.date_format("ts", "yyyy-MM-dd").alias("day"),
+            "date_format(ts, 'yyyy-MM-dd') AS day",
             "province",
             "city",
             "user_id",
-            (F.col("k") % 2).alias("ad_id"),
-            F.call_function("div", epoch, F.lit(seconds).cast("long")).alias("batch"),
+            "k % 2 AS ad_id",
+            f"timestampdiff(SECOND, {_EPOCH}, ts) div {seconds}L AS batch",
             "event_type",
         )
 
@@ -167,16 +153,11 @@ class Views:
 
         A blank inside a place name becomes an underscore.
         """
-        millis = F.timestamp_diff(
-            "MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")
-        )
-        ad = F.col("ad_id").cast("string")
-        line = F.concat_ws(
-            " ",
-            millis.cast("string"),
-            F.replace("province", F.lit(" "), F.lit("_")),
-            F.replace("city", F.lit(" "), F.lit("_")),
-            F.col("user_id").cast("string"),
-            F.when(F.col("event_type") != "error", ad) if cut else ad,
+        ad = "if(event_type <> 'error', ad_id, null)" if cut else "ad_id"
+        return clicks.selectExpr(
+            "event_id",
+            "batch",
+            f"""concat_ws(' ', string(timestampdiff(MILLISECOND, {_EPOCH}, ts)),
+                replace(province, ' ', '_'), replace(city, ' ', '_'),
+                string(user_id), string({ad})) AS value""",
         )
-        return clicks.select("event_id", "batch", line.alias("value"))
