@@ -5,7 +5,7 @@ import pytest
 from trailmark.session import build_session
 
 
-def make_session():
+def make_session(extra=None):
     spark = build_session(
         "trailmark-tests",
         master="local[8]",
@@ -15,6 +15,7 @@ def make_session():
             "spark.driver.memory": "8g",
             "spark.driver.bindAddress": "127.0.0.1",
             "spark.driver.host": "127.0.0.1",
+            **(extra or {}),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -23,7 +24,11 @@ def make_session():
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = make_session()
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = make_session(
+        {
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        }
+    )
     yield session
     session.stop()

@@ -24,10 +24,14 @@ def pad_two(text: Column) -> Column:
     return F.when(F.length(text) == 2, text).otherwise(F.concat(F.lit("0"), text))
 
 
-def id_list(text: Column) -> Column:
-    """Comma text to an array of longs; items that are no number are left out."""
-    ids = F.transform(F.split(text, ","), lambda item: F.trim(item).try_cast("long"))
-    return F.filter(ids, lambda item: item.isNotNull())
+def listed_ids(column: str) -> Column:
+    """One row per item of a comma text; read the item as a number with LISTED_ID."""
+    return F.explode(F.split(column, ","))
+
+
+# The number in an item called ``id``, null if it is none. Splitting rows first and
+# converting after keeps both steps in generated code, which array lambdas leave.
+LISTED_ID = "try_cast(trim(id) AS bigint)"
 
 
 def list_text(items: Column) -> Column:
@@ -50,8 +54,14 @@ def pair_label(first: Column, second: Column) -> Column:
     return F.concat_ws("_", first.cast("string"), second.cast("string"))
 
 
-def _literal_pattern(delimiter: str) -> str:
-    return "".join("\\" + ch if not ch.isalnum() else ch for ch in delimiter)
+def _quoted(text: str) -> str:
+    return "".join(ch if ch.isalnum() else "\\" + ch for ch in text)
+
+
+def _part_pattern(field: str, value: str, delimiter: str) -> str:
+    """A whole part of a record, from the delimiter before it to the one after it."""
+    mark = _quoted(delimiter)
+    return f"(?:^|{mark}){_quoted(field)}{value}(?={mark}|\\z)"
 
 
 def record_field(record: Column, field: str, delimiter: str = "|") -> Column:
@@ -60,26 +70,23 @@ def record_field(record: Column, field: str, delimiter: str = "|") -> Column:
     The first well-formed match wins; parts without exactly one key and one
     non-empty value are passed over.
     """
-    parts = F.transform(
-        F.split(record, _literal_pattern(delimiter)),
-        lambda part: F.split(F.regexp_replace(part, "=+$", ""), "="),
-    )
-    matches = F.filter(parts, lambda pair: (F.size(pair) == 2) & (pair[0] == field))
-    return F.get(F.get(matches, F.lit(0)), F.lit(1))
+    value = f"=([^={_quoted(delimiter)}]+)=*"
+    found = F.regexp_extract(record, _part_pattern(field, value, delimiter), 1)
+    return F.nullif(found, F.lit(""))
 
 
 def with_record_field(record: Column, field: str, value: str, delimiter: str = "|") -> Column:
-    """``record`` with the first occurrence of ``field`` set; unchanged if it has none."""
-    pattern = _literal_pattern(delimiter)
-    parts = F.split(F.regexp_replace(record, f"({pattern})+$", ""), pattern)
-    names = F.transform(parts, lambda part: F.split(part, "=")[0])
-    position = F.array_position(names, field)
-    return F.array_join(
-        F.transform(
-            parts,
-            lambda part, i: F.when(
-                i + 1 == position, F.lit(f"{field}={value}")
-            ).otherwise(part),
-        ),
-        delimiter,
+    """``record`` with the first occurrence of ``field`` set; unchanged if it has none.
+
+    Delimiters at the end are dropped.
+    """
+    mark = _quoted(delimiter)
+    record = F.regexp_replace(record, f"{mark}+\\z", "")
+    part = F.lit(_part_pattern(field, f"(?:=[^{mark}]*)?", delimiter))
+    old = F.regexp_substr(record, part)
+    new = F.concat(
+        F.when(F.startswith(old, F.lit(delimiter)), F.lit(delimiter)).otherwise(F.lit("")),
+        F.lit(f"{field}={value}"),
     )
+    changed = F.overlay(record, new, F.regexp_instr(record, part), F.length(old))
+    return F.when(old.isNull(), record).otherwise(changed)

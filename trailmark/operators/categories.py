@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.functions.texts import id_list
+from trailmark.functions.texts import LISTED_ID, listed_ids
 from trailmark.functions.times import format_time
 from trailmark.operators.ranking import top_per_group
 
@@ -15,32 +15,23 @@ TOP_SESSIONS = 10
 _COUNTS = ("click_count", "order_count", "pay_count")
 
 
-def _touch(category: Column, kind: str) -> Column:
-    counts = [F.lit(1 if name == kind else 0).cast("long").alias(name) for name in _COUNTS]
-    return F.struct(category.alias("category_id"), *counts)
-
-
 def category_touches(actions: DataFrame) -> DataFrame:
     """One row per category clicked, ordered or paid for by an action, marked by kind."""
-    touches = F.concat(
-        F.array(_touch(F.col("click_category_id"), "click_count")),
-        F.transform(
-            F.coalesce(id_list(F.col("order_category_ids")), F.array().cast("array<long>")),
-            lambda category: _touch(category, "order_count"),
-        ),
-        F.transform(
-            F.coalesce(id_list(F.col("pay_category_ids")), F.array().cast("array<long>")),
-            lambda category: _touch(category, "pay_count"),
-        ),
-    )
-    paying = actions.where(
-        F.col("click_category_id").isNotNull()
-        | F.col("order_category_ids").isNotNull()
-        | F.col("pay_category_ids").isNotNull()
-    )
-    return paying.select("session_id", F.inline(touches)).where(
-        F.col("category_id").isNotNull()
-    )
+    by_kind = actions.selectExpr(
+        "session_id",
+        """stack(3,
+            'click', string(click_category_id),
+            'order', order_category_ids,
+            'pay', pay_category_ids) AS (kind, ids)""",
+    ).where("ids IS NOT NULL")
+    touches = by_kind.select("session_id", "kind", listed_ids("ids").alias("id"))
+    return touches.selectExpr(
+        "session_id",
+        f"{LISTED_ID} AS category_id",
+        "if(kind = 'click', 1L, 0L) AS click_count",
+        "if(kind = 'order', 1L, 0L) AS order_count",
+        "if(kind = 'pay', 1L, 0L) AS pay_count",
+    ).where("category_id IS NOT NULL")
 
 
 def _sums() -> list[Column]:
@@ -69,7 +60,8 @@ def category_click_counts(actions: DataFrame) -> DataFrame:
 
 
 def _listed_counts(actions: DataFrame, column: str, count: str) -> DataFrame:
-    listed = actions.select(F.explode(id_list(F.col(column))).alias("category_id"))
+    listed = actions.select(listed_ids(column).alias("id"))
+    listed = listed.selectExpr(f"{LISTED_ID} AS category_id").where("category_id IS NOT NULL")
     return listed.groupBy("category_id").agg(F.count(F.lit(1)).alias(count))
 
 

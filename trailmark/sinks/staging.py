@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Stand-ins for the shared folder in local mode, by application.
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only in local mode."""
@@ -17,9 +20,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="trailmark-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="trailmark-")
+    return _local_folders[application]
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

@@ -586,19 +586,19 @@ SELECT day, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY day, user
         "ad_stream_counts": _with(
             """
 SELECT day, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY day, user_id, ad_id""",
-            _blacklist(432000, 4),
+            _blacklist(864000, 4),
         ),
         "ad_stream_blacklist": _with(
             """
 SELECT user_id, since_batch - (SELECT min(batch) FROM ad_click) AS since_batch
 FROM blacklist""",
-            _blacklist(432000, 4),
+            _blacklist(864000, 4),
         ),
         "ad_stream_filter": _with(
             """
 SELECT batch - (SELECT min(batch) FROM ad_click) AS batch_id, count(*) AS kept_clicks
 FROM kept GROUP BY batch""",
-            _blacklist(432000, 4),
+            _blacklist(864000, 4),
         ),
     }
     return {name: text.strip() for name, text in sql.items()}

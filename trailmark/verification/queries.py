@@ -183,7 +183,9 @@ def session_category_clicks(v: Views) -> DataFrame:
 
 
 def category_top_sessions(v: Views) -> DataFrame:
-    return categories.category_top_sessions(_session_categories(v), category_top10(v), TASK_ID)
+    touched = _session_categories(v)
+    top = categories.category_top(categories.category_counts(touched), TASK_ID)
+    return categories.category_top_sessions(touched, top, TASK_ID)
 
 
 def category_top_session_detail(v: Views) -> DataFrame:

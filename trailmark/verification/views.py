@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 BATCH_SECONDS = 21_600
-STREAM_BATCH_SECONDS = 432_000
+STREAM_BATCH_SECONDS = 864_000
 
 # Schemas seen so far: reading a file's footer takes a job.
 _schemas: dict[str, T.StructType] = {}
