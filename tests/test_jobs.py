@@ -1,0 +1,129 @@
+"""Whole jobs, started as a user starts them, on the derived tables."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from tests.frames import table, tuples
+from trailmark import __main__ as command
+from trailmark.operators import categories, sampling
+from trailmark.params import ParamError
+from trailmark.plans.session_analysis import session_reports
+from trailmark.schemas import TASK
+from trailmark.sinks import results
+from trailmark.verification import queries
+from trailmark.verification.views import Views
+
+FOLDER = "/root/testdata/sf0.001"
+PARAMS = {"startDate": ["2024-01-01"], "endDate": ["2024-01-30"], "targetPageFlow": ["1,2,3"]}
+
+
+@pytest.fixture(scope="module")
+def inputs(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("inputs")
+    views = Views(spark, FOLDER)
+    results.write_actions(views.actions, f"{root}/actions")
+    views.users.write.parquet(f"{root}/users")
+    views.products.write.parquet(f"{root}/products")
+    views.cities.write.parquet(f"{root}/cities")
+    rows = [(1, PARAMS), (2, PARAMS | {"sex": ["male"]}), (3, {})]
+    tasks = [(i, "t", None, None, None, "x", "new", json.dumps(p)) for i, p in rows]
+    table(spark, TASK, *tasks).write.parquet(f"{root}/tasks")
+    return root
+
+
+def run(inputs, out, job, task, *more):
+    command.main(
+        [
+            job,
+            "--task-id",
+            str(task),
+            "--tasks",
+            f"{inputs}/tasks",
+            "--actions",
+            f"{inputs}/actions",
+            "--out",
+            str(out),
+            *more,
+        ]
+    )
+
+
+def test_session_job(spark, inputs, tmp_path):
+    more = ["--users", f"{inputs}/users", "--sample", "600"]
+    run(inputs, tmp_path, "session", 1, *more)
+    views = Views(spark, FOLDER)
+
+    def written(name):
+        return tuples(spark.read.parquet(f"{tmp_path}/{name}"))
+
+    assert written("session_aggr_stat") == tuples(queries.session_stat_ratios(views))
+    assert written("session_random_extract") == tuples(queries.session_sample(views))
+    assert written("top10_category") == tuples(queries.category_top10(views))
+    assert written("top10_category_session") == tuples(queries.category_top_sessions(views))
+    detail = spark.read.parquet(f"{tmp_path}/session_detail")
+    sampled = detail.where("source = 'sample'").drop("top_category_id")
+    assert tuples(sampled) == tuples(queries.session_sample_detail(views))
+    listed = detail.where("source = 'top_category'")
+    assert tuples(listed) == tuples(queries.category_top_session_detail(views))
+
+    details = detail.count()
+
+    # A second run appends under another task, overwriting replaces every table once.
+    run(inputs, tmp_path, "session", 2, *more)
+    assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").count() == 2
+    run(inputs, tmp_path, "session", 1, *more, "--mode", "overwrite")
+    assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/session_detail").count() == details
+
+
+def test_session_job_with_criteria(spark, inputs, tmp_path):
+    run(inputs, tmp_path, "session", 2, "--users", f"{inputs}/users")
+    kept = {row.session_id for row in queries._filtered(queries.SEX)(Views(spark, FOLDER)).collect()}
+    top = spark.read.parquet(f"{tmp_path}/top10_category_session").collect()
+    assert top and {row.session_id for row in top} <= kept
+    assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").first().session_count == len(kept)
+
+
+def test_reports_are_lazy_without_staging(spark, inputs):
+    reports = session_reports(
+        spark.read.parquet(f"{inputs}/actions"), spark.read.parquet(f"{inputs}/users"), queries.ALL
+    )
+    assert [name for name, _ in reports] == [
+        "session_aggr_stat",
+        "session_random_extract",
+        "session_detail",
+        "top10_category",
+        "top10_category_session",
+        "session_detail",
+    ]
+
+
+def test_page_job(spark, inputs, tmp_path):
+    run(inputs, tmp_path, "page", 1)
+    row = spark.read.parquet(f"{tmp_path}/page_split_convert_rate").first()
+    assert row.task_id == 1
+    assert [part.split("=")[0] for part in row.convert_rate.split("|")] == ["1_2", "2_3"]
+
+
+def test_page_job_needs_a_flow_and_a_task(inputs, tmp_path):
+    with pytest.raises(ParamError, match="targetPageFlow"):
+        run(inputs, tmp_path, "page", 3)
+    with pytest.raises(ParamError, match="task 99"):
+        run(inputs, tmp_path, "page", 99)
+
+
+def test_product_job(spark, inputs, tmp_path):
+    more = ["--cities", f"{inputs}/cities", "--products", f"{inputs}/products"]
+    run(inputs, tmp_path, "product", 1, *more)
+    found = spark.read.parquet(f"{tmp_path}/area_top3_product").drop("area_level")
+    assert tuples(found) == tuples(queries.area_top3(Views(spark, FOLDER)).drop("area_level"))
+
+
+def test_sample_and_top_sessions_stay_within_their_bounds(spark):
+    views = Views(spark, FOLDER)
+    assert queries._sample(views).count() <= queries.SAMPLE_TOTAL <= sampling.BROADCAST_SESSIONS
+    bound = categories.TOP_CATEGORIES * categories.TOP_SESSIONS
+    assert queries.category_top_sessions(views).count() <= bound

@@ -48,7 +48,7 @@ def build_session(
 def scan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (file statistics, no job is run)."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().longValue())
+    return int(str(stats.sizeInBytes()))
 
 
 def size_shuffles(
