@@ -6,7 +6,7 @@ import pytest
 
 from tests.frames import actions, clock, tuples
 from trailmark.operators import funnel
-from trailmark.operators.ordering import hot_keys
+from trailmark.operators.ordering import Splitting, hot_keys
 
 
 def walk(pages, session="s", start=0):
@@ -83,14 +83,34 @@ def test_untimed_actions_count_as_visits_but_not_as_steps(spark):
     assert tuples(matches, "pv", "previous_pv") == [(1, 2)]
 
 
-def test_hot_keys_are_the_largest_and_bounded(spark):
-    log = actions(spark, walk([1] * 5, "a") + walk([1] * 9, "b") + walk([1] * 7, "c"))
-    assert tuples(hot_keys(log, "session_id", 5)) == [("b",), ("c",)]
-    assert tuples(hot_keys(log, "session_id", 5, 1)) == [("b",)]
+def test_branch_for_hot_sessions_vanishes_when_there_are_none(spark):
+    log = actions(spark, walk([1, 2, 3]))
+    matches = funnel.page_flow_matches(log, [1, 2], Splitting(small_input=0))
+    matches.collect()
+    plan = matches._jdf.queryExecution().executedPlan().toString()
+    final, initial = plan.split("== Initial Plan ==")
+    assert "rangepartitioning" in initial
+    assert "rangepartitioning" not in final
+    assert final.count("Window [") == 1
 
 
-@pytest.mark.parametrize("hot_rows", [0, 20, 10**6])
-def test_hot_sessions_give_the_same_pairs(spark, hot_rows):
+def test_hot_keys_are_the_largest_and_bounded(spark):
+    log = actions(spark, walk([1] * 5, "a") + walk([1] * 9, "b") + walk([1] * 7, "c"))
+    assert tuples(hot_keys(log, "session_id", Splitting(5))) == [("b",), ("c",)]
+    assert tuples(hot_keys(log, "session_id", Splitting(5, 1))) == [("b",)]
+
+
+@pytest.mark.parametrize(
+    "splitting",
+    [
+        Splitting(hot_rows=0, small_input=0),
+        Splitting(hot_rows=20, small_input=0),
+        Splitting(hot_rows=0, hot_keys=1, small_input=0),
+        Splitting(small_input=0),
+        Splitting(),
+    ],
+)
+def test_hot_sessions_give_the_same_pairs(spark, splitting):
     """A third of all rows in one session, a third without a session id, equal times."""
     rng = random.Random(5)
     names = ["hot"] * 300 + [None] * 300 + [f"s{i % 40}" for i in range(300)]
@@ -104,12 +124,12 @@ def test_hot_sessions_give_the_same_pairs(spark, hot_rows):
         for name in names
     ]
     log = actions(spark, records).repartition(6)
-    pairs = funnel.page_pairs(log, hot_rows)
+    pairs = funnel.page_pairs(log, splitting)
     assert tuples(pairs, "session_id", "from_page", "to_page") == brute_pairs(records)
     counts = {(a, b): 0 for a in range(4) for b in range(4)}
     for _, a, b in brute_pairs(records):
         counts[a, b] += 1
-    matches = funnel.page_flow_matches(log, [0, 1, 2, 3], hot_rows)
+    matches = funnel.page_flow_matches(log, [0, 1, 2, 3], splitting)
     assert tuples(matches, "pv") == sorted([(counts[i, i + 1],) for i in range(3)])
     assert dict(
         ((row.from_page, row.to_page), row.pv)
@@ -122,7 +142,7 @@ def test_hot_session_is_spread_over_tasks(spark):
     log = actions(spark, records)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        pairs = funnel.page_pairs(log, hot_rows=100)
+        pairs = funnel.page_pairs(log, Splitting(hot_rows=100, small_input=0))
         sizes = pairs.rdd.glom().map(len).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

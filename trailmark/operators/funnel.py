@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.numeric import half_up_ratio
 from trailmark.functions.texts import pair_label
-from trailmark.operators.ordering import HOT_ROWS, with_previous
+from trailmark.operators.ordering import SPLITTING, Splitting, with_previous
 
 _TIE_BREAKS = ("event_id", "page_id")
 
 
-def _with_previous_page(actions: DataFrame, hot_rows: int) -> DataFrame:
+def _with_previous_page(actions: DataFrame, splitting: Splitting) -> DataFrame:
     """Actions with ``from_page``; null for a session's first action and without a time.
 
     Equal times are ordered by ``event_id``, or by page where the log has no such id.
@@ -26,16 +26,16 @@ def _with_previous_page(actions: DataFrame, hot_rows: int) -> DataFrame:
         "session_id",
         ["action_time", tie_break],
         {"from_page": "page_id"},
-        hot_rows,
+        splitting,
     )
     # Rows without a time sort last, so a row that has one never follows one without.
     timed = F.col("action_time").isNotNull()
     return paged.withColumn("from_page", F.when(timed, F.col("from_page")))
 
 
-def page_pairs(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def page_pairs(actions: DataFrame, splitting: Splitting = SPLITTING) -> DataFrame:
     """One row per step from one page to the next within a session, in time order."""
-    paged = _with_previous_page(actions, hot_rows).withColumnRenamed("page_id", "to_page")
+    paged = _with_previous_page(actions, splitting).withColumnRenamed("page_id", "to_page")
     return paged.where(F.col("from_page").isNotNull() & F.col("to_page").isNotNull())
 
 
@@ -50,7 +50,7 @@ def start_page_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
 
 
 def page_flow_matches(
-    actions: DataFrame, flow: Sequence[int], hot_rows: int = HOT_ROWS
+    actions: DataFrame, flow: Sequence[int], splitting: Splitting = SPLITTING
 ) -> DataFrame:
     """Per step of the flow: how often it was taken, and the count it is measured against.
 
@@ -73,7 +73,7 @@ def page_flow_matches(
         f" 'pv', pv_{i}, 'previous_pv', pv_{i - 1})"
         for i, (a, b) in enumerate(pairs, 1)
     ]
-    counts = _with_previous_page(actions, hot_rows).agg(
+    counts = _with_previous_page(actions, splitting).agg(
         F.expr(f"count_if(page_id = {int(flow[0])}) AS pv_0"), *map(F.expr, visits)
     )
     return counts.selectExpr(f"inline(array({', '.join(steps)}))")

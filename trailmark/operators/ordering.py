@@ -3,27 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A group above HOT_ROWS rows is spread over tasks, the HOT_KEYS largest ones at
-# most: that bounds the broadcast key list, and the largest group left whole has
-# no more than (all rows / HOT_KEYS) rows.
-HOT_ROWS = 2_000_000
-HOT_KEYS = 10_000
+from trailmark.session import scan_bytes
 
 
-def hot_keys(
-    df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS
-) -> DataFrame:
-    """The largest groups with more than ``hot_rows`` rows, at most ``max_keys`` of them."""
+@dataclass(frozen=True)
+class Splitting:
+    """When a group is spread over several tasks. Results never depend on it.
+
+    Groups above ``hot_rows`` rows are spread, the ``hot_keys`` largest ones at most:
+    that bounds the broadcast key list, and the largest group left whole has no more
+    than (all rows / ``hot_keys``) rows. Inputs estimated below ``small_input`` bytes
+    fit one task and are not searched for hot groups.
+    """
+
+    hot_rows: int = 2_000_000
+    hot_keys: int = 10_000
+    small_input: int = 64 * 1024 * 1024
+
+
+SPLITTING = Splitting()
+
+
+def hot_keys(df: DataFrame, key: str, splitting: Splitting = SPLITTING) -> DataFrame:
+    """The largest groups with more than ``hot_rows`` rows, at most ``hot_keys`` of them."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        counts.where(F.col("_rows") > hot_rows)
+        counts.where(F.col("_rows") > splitting.hot_rows)
         .orderBy(F.desc("_rows"), F.asc_nulls_first(key))
-        .limit(max_keys)
+        .limit(splitting.hot_keys)
         .select(F.col(key).alias("_hot_key"))
     )
 
@@ -33,8 +46,7 @@ def with_previous(
     key: str,
     order: Sequence[str],
     columns: dict[str, str],
-    hot_rows: int = HOT_ROWS,
-    max_keys: int = HOT_KEYS,
+    splitting: Splitting = SPLITTING,
 ) -> DataFrame:
     """Adds each row's predecessor values within ``key``; ``columns`` maps output to input.
 
@@ -43,18 +55,23 @@ def with_previous(
     by their order, so one group fills many tasks, and only the rows at the edges of
     those ranges are compared again.
     """
-    hot = F.broadcast(hot_keys(df, key, hot_rows, max_keys))
-    same_key = df[key].eqNullSafe(hot["_hot_key"])
     ascending = [F.asc_nulls_last(name) for name in order]
+    if scan_bytes(df) < splitting.small_input:
+        return _previous_in_group(df, key, ascending, columns)
+    hot = F.broadcast(hot_keys(df, key, splitting))
+    same_key = df[key].eqNullSafe(hot["_hot_key"])
+    ordinary = df.join(hot, same_key, "left_anti")
+    spread = df.join(hot, same_key, "left_semi")
+    return _previous_in_group(ordinary, key, ascending, columns).unionByName(
+        _previous_by_range(spread, key, ascending, columns)
+    )
 
+
+def _previous_in_group(df: DataFrame, key: str, ascending: list, columns: dict) -> DataFrame:
     group = W.partitionBy(key).orderBy(*ascending)
-    ordinary = df.join(hot, same_key, "left_anti")
-    ordinary = ordinary.select(
+    return df.select(
         "*", *(F.lag(source).over(group).alias(name) for name, source in columns.items())
     )
-    return ordinary.unionByName(
-        _previous_by_range(df.join(hot, same_key, "left_semi"), key, ascending, columns)
-    )
 
 
 def _previous_by_range(df: DataFrame, key: str, ascending: list, columns: dict) -> DataFrame:
