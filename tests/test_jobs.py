@@ -13,6 +13,7 @@ from trailmark.params import ParamError
 from trailmark.plans.session_analysis import session_reports
 from trailmark.schemas import TASK
 from trailmark.sinks import results
+from trailmark.sources.dimensions import JdbcConnection
 from trailmark.verification import queries
 from trailmark.verification.views import Views
 
@@ -127,3 +128,36 @@ def test_sample_and_top_sessions_stay_within_their_bounds(spark):
     assert queries._sample(views).count() <= queries.SAMPLE_TOTAL <= sampling.BROADCAST_SESSIONS
     bound = categories.TOP_CATEGORIES * categories.TOP_SESSIONS
     assert queries.category_top_sessions(views).count() <= bound
+
+
+def test_ads_job_and_export(spark, tmp_path):
+    views = Views(spark, FOLDER)
+    views.click_lines(views.stream_clicks).select("value").write.text(f"{tmp_path}/log")
+    state = f"{tmp_path}/state"
+    command.main(
+        ["ads", "--root", state, "--files", f"{tmp_path}/log", "--threshold", "4"]
+        + ["--available-now"]
+    )
+    command.main(["ads-export", "--root", state, "--out", f"{tmp_path}/out"])
+    counts = spark.read.parquet(f"{tmp_path}/out/ad_user_click_count")
+    assert counts.columns == ["date", "user_id", "ad_id", "click_count"]
+    assert counts.groupBy().sum("click_count").first()[0] == 1000
+    listed = spark.read.parquet(f"{tmp_path}/out/ad_blacklist")
+    over = counts.where("click_count > 4").select("user_id").distinct()
+    assert tuples(listed) == tuples(over) != []
+
+
+def test_jdbc_names_reach_the_database(monkeypatch, spark):
+    seen = []
+    monkeypatch.setattr(command, "read_jdbc", lambda *args: seen.append(args[1:]))
+    monkeypatch.setenv("JDBC_PASSWORD", "secret")
+    options = command._arguments().parse_args(
+        "product --task-id 1 --out jdbc: --cities jdbc:city_info --jdbc-url u --jdbc-user me".split()
+    )
+    command._source(spark, options.cities, options)
+    connection = JdbcConnection("u", "me", "secret", None)
+    assert seen == [(connection, "city_info")]
+    assert command._target(options) == results.JdbcTarget(connection)
+    options.jdbc_url = None
+    with pytest.raises(SystemExit, match="jdbc-url"):
+        command._target(options)

@@ -1,29 +1,48 @@
-"""Runs a job for a stored task: ``python -m trailmark session --task-id 1 ...``."""
+"""Runs a job for a stored task: ``python -m trailmark session --task-id 1 ...``.
+
+A table is named as in the catalog, as a parquet path (with a slash) or as
+``jdbc:TABLE``; results go to a folder, to ``catalog:DATABASE`` or to ``jdbc:``.
+The database password is read from the JDBC_PASSWORD environment variable.
+"""
 
 from __future__ import annotations
 
 import argparse
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 
 from trailmark.operators.ads import THRESHOLD
 from trailmark.operators.sampling import DEFAULT_TOTAL
 from trailmark.plans import area_top_products, page_funnel, session_analysis
 from trailmark.session import build_session
-from trailmark.sinks.results import CatalogTarget, FileTarget
+from trailmark.sinks.results import CatalogTarget, FileTarget, JdbcTarget, Target
 from trailmark.sources.actions import read_table
 from trailmark.sources.click_log import read_file_lines, read_kafka_lines
+from trailmark.sources.dimensions import JdbcConnection, read_jdbc
 from trailmark.sources.tasks import find_task
 from trailmark.streaming.ad_blacklist import AdBlacklistStream
 
+_JDBC = "jdbc:"
+_CATALOG = "catalog:"
+
 
 def _arguments() -> argparse.ArgumentParser:
-    parser = argparse.ArgumentParser(prog="trailmark", description=__doc__)
+    parser = argparse.ArgumentParser(
+        prog="trailmark", description=__doc__, formatter_class=argparse.RawTextHelpFormatter
+    )
     jobs = parser.add_subparsers(dest="job", required=True)
+    database = argparse.ArgumentParser(add_help=False)
+    database.add_argument("--jdbc-url")
+    database.add_argument("--jdbc-user")
+    database.add_argument("--jdbc-driver")
+
     for job in ("session", "page", "product"):
-        task = jobs.add_parser(job)
+        task = jobs.add_parser(job, parents=[database])
         task.add_argument("--task-id", type=int, required=True)
         task.add_argument("--tasks", default="task")
         task.add_argument("--actions", default="user_visit_action")
-        task.add_argument("--out", required=True, help="folder, or catalog:DATABASE")
+        task.add_argument("--out", required=True)
         task.add_argument("--mode", default="append", choices=["append", "overwrite"])
     session = jobs.choices["session"]
     session.add_argument("--users", default="user_info")
@@ -32,6 +51,7 @@ def _arguments() -> argparse.ArgumentParser:
     product = jobs.choices["product"]
     product.add_argument("--cities", default="city_info")
     product.add_argument("--products", default="product_info")
+
     ads = jobs.add_parser("ads")
     ads.add_argument("--root", required=True, help="folder for counts, blacklist, checkpoint")
     source = ads.add_mutually_exclusive_group(required=True)
@@ -39,36 +59,69 @@ def _arguments() -> argparse.ArgumentParser:
     source.add_argument("--files", help="folder of log files")
     ads.add_argument("--topics", default="", help="comma list, with --kafka")
     ads.add_argument("--threshold", type=int, default=THRESHOLD)
+    ads.add_argument("--available-now", action="store_true", help="stop when all is read")
+
+    export = jobs.add_parser("ads-export", parents=[database])
+    export.add_argument("--root", required=True)
+    export.add_argument("--out", required=True)
     return parser
 
 
+def _connection(options: argparse.Namespace) -> JdbcConnection:
+    if not options.jdbc_url:
+        raise SystemExit("jdbc: needs --jdbc-url")
+    password = os.environ.get("JDBC_PASSWORD")
+    return JdbcConnection(options.jdbc_url, options.jdbc_user, password, options.jdbc_driver)
+
+
+def _source(spark: SparkSession, name: str, options: argparse.Namespace) -> DataFrame:
+    if name.startswith(_JDBC):
+        return read_jdbc(spark, _connection(options), name.removeprefix(_JDBC))
+    return read_table(spark, name)
+
+
+def _target(options: argparse.Namespace) -> Target:
+    if options.out.startswith(_JDBC):
+        return JdbcTarget(_connection(options))
+    if options.out.startswith(_CATALOG):
+        return CatalogTarget(options.out.removeprefix(_CATALOG))
+    return FileTarget(options.out)
+
+
+def _run_ads(spark: SparkSession, options: argparse.Namespace) -> None:
+    if options.kafka:
+        lines = read_kafka_lines(spark, options.kafka, options.topics.split(","))
+    else:
+        lines = read_file_lines(spark, options.files)
+    stream = AdBlacklistStream(spark, options.root, options.threshold)
+    stream.start(lines, options.available_now).awaitTermination()
+
+
+def _run_task(spark: SparkSession, options: argparse.Namespace) -> None:
+    target, mode = _target(options), options.mode
+    params = find_task(_source(spark, options.tasks, options), options.task_id)
+    actions = read_table(spark, options.actions)
+    if options.job == "session":
+        users = _source(spark, options.users, options)
+        total, seed = options.sample, options.seed
+        session_analysis.run(actions, users, params, target, total, seed, mode)
+    elif options.job == "page":
+        page_funnel.run(actions, params, target, mode)
+    else:
+        cities = _source(spark, options.cities, options)
+        products = _source(spark, options.products, options)
+        area_top_products.run(actions, cities, products, params, target, mode)
+
+
 def main(argv: list[str] | None = None) -> None:
     options = _arguments().parse_args(argv)
     spark = build_session(f"trailmark-{options.job}")
     if options.job == "ads":
-        if options.kafka:
-            lines = read_kafka_lines(spark, options.kafka, options.topics.split(","))
-        else:
-            lines = read_file_lines(spark, options.files)
-        stream = AdBlacklistStream(spark, options.root, options.threshold)
-        stream.start(lines).awaitTermination()
-        return
-
-    out = options.out
-    target = CatalogTarget(out.split(":", 1)[1]) if out.startswith("catalog:") else FileTarget(out)
-    params = find_task(read_table(spark, options.tasks), options.task_id)
-    actions = read_table(spark, options.actions)
-    if options.job == "session":
-        users = read_table(spark, options.users)
-        session_analysis.run(
-            actions, users, params, target, options.sample, options.seed, options.mode
-        )
-    elif options.job == "page":
-        page_funnel.run(actions, params, target, options.mode)
+        _run_ads(spark, options)
+    elif options.job == "ads-export":
+        AdBlacklistStream(spark, options.root).export(_target(options))
     else:
-        cities = read_table(spark, options.cities)
-        products = read_table(spark, options.products)
-        area_top_products.run(actions, cities, products, params, target, options.mode)
+        _run_task(spark, options)
 
 
 if __name__ == "__main__":

@@ -16,6 +16,8 @@ TOP10_CATEGORY = "top10_category"
 TOP10_CATEGORY_SESSION = "top10_category_session"
 PAGE_SPLIT_CONVERT_RATE = "page_split_convert_rate"
 AREA_TOP3_PRODUCT = "area_top3_product"
+AD_USER_CLICK_COUNT = "ad_user_click_count"
+AD_BLACKLIST = "ad_blacklist"
 
 
 @dataclass(frozen=True)

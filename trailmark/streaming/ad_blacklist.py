@@ -14,6 +14,7 @@ from trailmark.operators.ads import (
     sum_counts,
 )
 from trailmark.schemas import AD_BLACKLIST, AD_CLICK_COUNT, CLICK_LOG_LINE
+from trailmark.sinks import results
 from trailmark.sinks.batch_log import BatchLog
 from trailmark.sources.click_log import malformed_lines, parse_click_log, valid_clicks
 
@@ -89,3 +90,10 @@ class AdBlacklistStream:
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=BATCH_INTERVAL).start()
+
+    def export(self, target: results.Target) -> None:
+        """Writes the current totals and blacklist as plain result tables."""
+        counts = self.counts.read_all().withColumnRenamed("day", "date")
+        results.write_result(counts, target, results.AD_USER_CLICK_COUNT, "overwrite")
+        listed = self.blacklist.read_all().select("user_id")
+        results.write_result(listed, target, results.AD_BLACKLIST, "overwrite")
