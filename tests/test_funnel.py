@@ -90,6 +90,8 @@ def test_branch_for_hot_sessions_vanishes_when_there_are_none(spark):
     plan = matches._jdf.queryExecution().executedPlan().toString()
     final, initial = plan.split("== Initial Plan ==")
     assert "rangepartitioning" in initial
+    assert "BroadcastHashJoin" in initial
+    assert "NestedLoop" not in initial
     assert "rangepartitioning" not in final
     assert final.count("Window [") == 1
 

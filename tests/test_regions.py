@@ -6,7 +6,7 @@ from trailmark.operators import regions
 from trailmark.params import JobParams
 from trailmark.plans.area_top_products import area_top_products
 from trailmark.schemas import CITY_INFO, PRODUCT_INFO
-from trailmark.sources.actions import scan_actions, scan_clicks
+from trailmark.sources.actions import scan_actions, scan_clicks, with_action_time, within_days
 
 
 def click(city, product, time="2020-05-01 9:00:00"):
@@ -45,6 +45,21 @@ def test_click_bounds_include_the_whole_end_day(spark):
     assert found() == [0, 1, 2, 3, 4]
 
 
+def test_days_of_text_times_are_compared_in_the_files(spark, tmp_path):
+    times = ["2020-04-30 23:59:59", "2020-05-01 0:00:00", "2020-05-02 9:00:00", "bad", None]
+    log = actions(spark, [click(1, n, time) for n, time in enumerate(times)], parse=False)
+    log.write.parquet(str(tmp_path / "log"))
+    kept = within_days(spark.read.parquet(str(tmp_path / "log")), "2020-05-01", "2020-05-02")
+    assert tuples(kept, "event_id") == [(1,), (2,)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(action_time,2020-05-01)" in plan
+
+    assert within_days(log, "2020-05-01", None) is log
+    assert within_days(log, "2020-5-1", "2020-05-02") is log
+    parsed = with_action_time(log)
+    assert within_days(parsed, "2020-05-01", "2020-05-02") is parsed
+
+
 def test_date_scan_has_open_sides(spark):
     log = actions(spark, [{"update_date": f"2020-05-0{n}"} for n in (1, 2, 3)])
 

@@ -31,6 +31,7 @@ def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(
         prog="trailmark", description=__doc__, formatter_class=argparse.RawTextHelpFormatter
     )
+    parser.add_argument("--hive", action="store_true", help="use the cluster's Hive metastore")
     jobs = parser.add_subparsers(dest="job", required=True)
     database = argparse.ArgumentParser(add_help=False)
     database.add_argument("--jdbc-url")
@@ -115,7 +116,7 @@ def _run_task(spark: SparkSession, options: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     options = _arguments().parse_args(argv)
-    spark = build_session(f"trailmark-{options.job}")
+    spark = build_session(f"trailmark-{options.job}", hive=options.hive)
     if options.job == "ads":
         _run_ads(spark, options)
     elif options.job == "ads-export":

@@ -11,7 +11,7 @@ from trailmark.operators import regions
 from trailmark.params import JobParams
 from trailmark.session import size_shuffles
 from trailmark.sinks import results
-from trailmark.sources.actions import scan_clicks, with_action_time
+from trailmark.sources.actions import scan_clicks, with_action_time, within_days
 from trailmark.sources.dimensions import city_dimension
 
 
@@ -23,7 +23,8 @@ def area_top_products(
     levels: Mapping[str, str] = AREA_LEVELS,
     other_level: str = OTHER_AREA_LEVEL,
 ) -> DataFrame:
-    clicks = scan_clicks(with_action_time(actions), params.start_date, params.end_date)
+    start, end = params.start_date, params.end_date
+    clicks = scan_clicks(with_action_time(within_days(actions, start, end)), start, end)
     counts = regions.area_product_counts(clicks, city_dimension(cities))
     enriched = regions.area_product_enriched(counts, products)
     return regions.area_top_products(

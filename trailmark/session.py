@@ -27,14 +27,20 @@ def build_session(
     app_name: str = "trailmark",
     master: str | None = None,
     extra: dict[str, str] | None = None,
+    hive: bool = False,
 ) -> SparkSession:
-    """Session with :data:`DEFAULTS`; ``master`` is normally left to spark-submit."""
+    """Session with :data:`DEFAULTS`; ``master`` is normally left to spark-submit.
+
+    ``hive`` resolves table names in the cluster's Hive metastore.
+    """
     builder = SparkSession.builder.appName(app_name)
     for key, value in STATIC_DEFAULTS.items():
         if SparkSession.getActiveSession() is None:
             builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

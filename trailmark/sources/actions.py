@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,28 @@ def scan_actions(
     return actions
 
 
+def within_days(
+    actions: DataFrame, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Leaves out text times outside the days of ``start`` and ``end``.
+
+    Hours may be unpadded, so times do not compare as text, but their days do. The
+    comparison is on the bare column and reaches the files' statistics, which the
+    exact bounds on parsed times cannot. Other column types are returned as they are.
+    """
+    if start is None or end is None:
+        return actions
+    if not isinstance(actions.schema["action_time"].dataType, T.StringType):
+        return actions
+    try:
+        first = dt.date.fromisoformat(start[:_DATE_LENGTH])
+        after = dt.date.fromisoformat(end[:_DATE_LENGTH]) + dt.timedelta(days=1)
+    except ValueError:
+        return actions
+    text = F.col("action_time")
+    return actions.where((text >= first.isoformat()) & (text < after.isoformat()))
+
+
 def scan_clicks(
     actions: DataFrame, start: str | None = None, end: str | None = None
 ) -> DataFrame:

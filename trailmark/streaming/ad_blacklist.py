@@ -64,11 +64,13 @@ class AdBlacklistStream:
         # Kept for two writes, so the source is read once. Counting before filtering
         # leaves one row per key: the join with the blacklist meets no hot user.
         parsed = parse_click_log(lines).persist()
-        listed = self.blacklist.read_before(batch_id).select("user_id").distinct()
-        kept = click_counts(valid_clicks(parsed)).join(listed, "user_id", "left_anti")
-        batch_counts = self.counts.write(batch_id, kept)
-        self.quarantine.write(batch_id, malformed_lines(parsed))
-        parsed.unpersist()
+        try:
+            listed = self.blacklist.read_before(batch_id).select("user_id").distinct()
+            kept = click_counts(valid_clicks(parsed)).join(listed, "user_id", "left_anti")
+            batch_counts = self.counts.write(batch_id, kept)
+            self.quarantine.write(batch_id, malformed_lines(parsed))
+        finally:
+            parsed.unpersist()
 
         days = [row.day for row in batch_counts.select("day").distinct().collect()]
         earlier = self.counts.read_before(batch_id, days)
