@@ -85,7 +85,7 @@ def main(folder: str, wanted: list[str]) -> int:
             problems = [str(error)[:800]]
         failed += bool(problems)
         state = "FAIL" if problems else "ok"
-        print(f"{state:4} {time.time() - started:6.2f}s {name}", *problems, sep="\n     " if problems else " ")
+        print(f"{state:4} {time.time() - started:6.2f}s {name}", *problems, sep="\n     ")
     return failed
 
 

@@ -82,7 +82,8 @@ def test_session_job(spark, inputs, tmp_path):
 
 def test_session_job_with_criteria(spark, inputs, tmp_path):
     run(inputs, tmp_path, "session", 2, "--users", f"{inputs}/users")
-    kept = {row.session_id for row in queries._filtered(queries.SEX)(Views(spark, FOLDER)).collect()}
+    matching = queries._filtered(queries.SEX)(Views(spark, FOLDER))
+    kept = {row.session_id for row in matching.collect()}
     top = spark.read.parquet(f"{tmp_path}/top10_category_session").collect()
     assert top and {row.session_id for row in top} <= kept
     assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").first().session_count == len(kept)
@@ -151,9 +152,8 @@ def test_jdbc_names_reach_the_database(monkeypatch, spark):
     seen = []
     monkeypatch.setattr(command, "read_jdbc", lambda *args: seen.append(args[1:]))
     monkeypatch.setenv("JDBC_PASSWORD", "secret")
-    options = command._arguments().parse_args(
-        "product --task-id 1 --out jdbc: --cities jdbc:city_info --jdbc-url u --jdbc-user me".split()
-    )
+    line = "product --task-id 1 --out jdbc: --cities jdbc:city_info --jdbc-url u --jdbc-user me"
+    options = command._arguments().parse_args(line.split())
     command._source(spark, options.cities, options)
     connection = JdbcConnection("u", "me", "secret", None)
     assert seen == [(connection, "city_info")]

@@ -90,7 +90,9 @@ def test_shuffles_are_sized_by_the_input(spark, tmp_path):
 
 
 def test_session_keeps_what_the_caller_set(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m")
     again = build_session()
-    assert again.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert again.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
     assert again.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
     assert again.conf.get("spark.sql.shuffle.partitions") == "8"
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

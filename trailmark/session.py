@@ -15,7 +15,6 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 # Read once at start-up. Capturing the Python call site of every column expression
@@ -34,8 +33,8 @@ def build_session(
     ``hive`` resolves table names in the cluster's Hive metastore.
     """
     builder = SparkSession.builder.appName(app_name)
-    for key, value in STATIC_DEFAULTS.items():
-        if SparkSession.getActiveSession() is None:
+    if SparkSession.getActiveSession() is None:
+        for key, value in STATIC_DEFAULTS.items():
             builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
@@ -44,7 +43,7 @@ def build_session(
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    configured = {key for key, _ in spark.sparkContext.getConf().getAll()} | set(extra or {})
+    configured = spark.conf.getAll
     for key, value in DEFAULTS.items():
         if key not in configured:
             spark.conf.set(key, value)

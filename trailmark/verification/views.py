@@ -1,4 +1,4 @@
-"""The reference tables, derived from the given parquet tables by Spark."""
+"""The jobs' input tables, derived from the given parquet tables by Spark."""
 
 from __future__ import annotations
 
@@ -103,7 +103,8 @@ class Views:
     @cached_property
     def tasks(self) -> DataFrame:
         """A task per customer, with parameters present, absent and empty in turn."""
-        start_age = """if(c_custkey % 3 = 0, concat('"startAge":["', 18 + c_custkey % 50, '"],'), '')"""
+        start_age = """if(c_custkey % 3 = 0,
+            concat('"startAge":["', 18 + c_custkey % 50, '"],'), '')"""
         end_age = """if(c_custkey % 2 = 0, '"endAge":["60"],', '"endAge":[],')"""
         return self.table("customer").selectExpr(
             "c_custkey AS task_id",
