@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, token_counts, toxicity
+from trailmark.llm import bpe, lm, quality, token_counts, toxicity
 from trailmark.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,14 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(_table(spark, folder, "documents"))
+
+
+def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_texts(_table(spark, folder, "documents"), lm.held_out_rows())
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
@@ -58,6 +66,8 @@ def queries() -> dict[str, Query]:
     return {
         "op2_token_counts": op2_token_counts,
         "op4_toxicity": op4_toxicity,
+        "op6_quality": op6_quality,
+        "op8_lm_scores": op8_lm_scores,
         "op9_bpe": op9_bpe,
     }
 
