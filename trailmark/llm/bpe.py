@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding with a rank queue of hierarchical bitmaps.
 
 A pre-token is a doubly linked list of parts. Every adjacent pair whose concatenation
-has a rank waits in the bucket of that rank. Three levels of 64-bit words mark which
-buckets hold anything, so the lowest rank is three find-first-set steps away whatever
-the number of ranks and of waiting pairs. Entries are never removed when a merge changes
-a neighbour: an entry carries the stamp of its left part and is skipped when the part has
-changed since. A pre-token of n bytes takes O(n log n), which suits long ones.
+has a rank waits in the bucket of that rank, by the position of its left part. Two levels
+of bitmaps mark which buckets hold anything, so the lowest rank is two find-first-set
+steps away whatever the number of ranks and of waiting pairs. Nothing is removed when a
+merge changes a neighbouring pair: an entry whose pair has another rank by now is stale
+and is skipped. A pre-token of n bytes takes O(n log n), which suits long ones.
 """
 
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -23,85 +24,67 @@ from pyspark.sql import DataFrame
 from trailmark.llm.common import text_of
 from trailmark.llm.pieces import pieces
 
-# Memory bound of the per-worker memory of encoded pieces; results do not depend on it.
-MEMO_ENTRIES = 400_000
+# Bounds of what a worker remembers of encoded pre-tokens and pieces; results do not
+# depend on them.
+MEMO_TOKENS = 600_000
+MEMO_PIECES = 300_000
 MEMO_LENGTH = 64
 
 
-class RankQueue:
-    """Positions by rank, lowest rank first, leftmost position first within a rank."""
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[tuple[int, int]]] = {}
-        self.low: dict[int, int] = {}
-        self.middle: dict[int, int] = {}
-        self.high = 0
-
-    def push(self, rank: int, position: int, stamp: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, (position, stamp))
-            return
-        self.buckets[rank] = [(position, stamp)]
-        a, b = rank >> 6, rank >> 12
-        self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
-        self.middle[b] = self.middle.get(b, 0) | 1 << (a & 63)
-        self.high |= 1 << b
-
-    def pop(self) -> tuple[int, int, int] | None:
-        """The next (rank, position, stamp), or None when nothing waits."""
-        if not self.high:
-            return None
-        b = (self.high & -self.high).bit_length() - 1
-        word = self.middle[b]
-        a = b << 6 | (word & -word).bit_length() - 1
-        word = self.low[a]
-        rank = a << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position, stamp = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[a] &= self.low[a] - 1
-            if not self.low[a]:
-                self.middle[b] &= self.middle[b] - 1
-                if not self.middle[b]:
-                    self.high &= self.high - 1
-        return rank, position, stamp
-
-
 def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Token ids of one pre-token: the lowest-ranked pair merges first, leftmost on ties."""
-    whole = ranks.get(token)
+    get = ranks.get
+    whole = get(token)
     if whole is not None:
         return [whole]
     n = len(token)
-    end = list(range(1, n + 1))  # where the part that starts here ends; 0: merged away
-    before = list(range(-1, n - 1))  # start of the part to the left
-    stamp = [0] * n  # changes whenever the pair that starts here does
-    queue = RankQueue()
-    for i in range(n - 1):
-        rank = ranks.get(token[i : i + 2])
-        if rank is not None:
-            queue.push(rank, i, 0)
-    while (entry := queue.pop()) is not None:
-        _, i, seen = entry
-        if stamp[i] != seen:
+    end = list(range(1, n + 1))  # where the part that starts here ends
+    before = list(range(-1, n - 1))  # where the part to the left starts
+    pair: list[int | None] = [None] * n  # rank of the pair whose left part starts here
+    buckets: dict[int, list[int]] = {}  # rank -> heap of positions
+    words: dict[int, int] = {}  # rank >> 8 -> bitmap of the ranks that wait
+    top = 0  # bitmap of the keys of ``words``
+    fresh = [(i, i + 2) for i in range(n - 1)]  # where pairs that are new start and end
+    while True:
+        for i, stop in fresh:
+            pair[i] = rank = get(token[i:stop])
+            if rank is None:
+                continue
+            bucket = buckets.get(rank)
+            if bucket is not None:
+                heappush(bucket, i)
+                continue
+            buckets[rank] = [i]
+            high = rank >> 8
+            words[high] = words.get(high, 0) | 1 << (rank & 255)
+            top |= 1 << high
+        fresh = ()
+        if not top:
+            break
+        high = (top & -top).bit_length() - 1
+        word = words[high]
+        rank = high << 8 | (word & -word).bit_length() - 1
+        bucket = buckets[rank]
+        i = heappop(bucket)
+        if not bucket:
+            del buckets[rank]
+            word &= word - 1
+            words[high] = word
+            if not word:
+                top &= top - 1
+        if pair[i] != rank:
             continue
         j = end[i]
-        end[i], end[j] = end[j], 0
-        stamp[i] += 1
-        stamp[j] = -1
-        if end[i] < n:
-            before[end[i]] = i
-            rank = ranks.get(token[i : end[end[i]]])
-            if rank is not None:
-                queue.push(rank, i, stamp[i])
+        k = end[j]
+        end[i] = k
+        pair[j] = None
         left = before[i]
-        if left >= 0:
-            stamp[left] += 1
-            rank = ranks.get(token[left : end[i]])
-            if rank is not None:
-                queue.push(rank, left, stamp[left])
+        if k < n:
+            before[k] = i
+            fresh = ((i, end[k]), (left, k)) if left >= 0 else ((i, end[k]),)
+        else:
+            pair[i] = None
+            fresh = ((left, k),) if left >= 0 else ()
     ids, i = [], 0
     while i < n:
         ids.append(ranks[token[i : end[i]]])
@@ -116,21 +99,35 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class _Tokens(dict):
+    """Pre-token -> its ids as little-endian int32 bytes, filled as pre-tokens turn up."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, token: str) -> bytes:
+        ids = merge(token.encode(), self.ranks)
+        packed = struct.pack(f"<{len(ids)}i", *ids)
+        if len(token) <= MEMO_LENGTH:
+            if len(self) >= MEMO_TOKENS:
+                self.clear()
+            self[token] = packed
+        return packed
+
+
 class Encoder(dict):
-    """Piece of text -> its ids as little-endian int32 bytes, filled as pieces turn up."""
+    """Piece of text -> its ids, as above: most pieces of a text were met before."""
 
     def __init__(self, path: str, pattern: str) -> None:
         super().__init__()
-        self.ranks = load_ranks(path)
-        self.pattern = regex.compile(pattern)
+        self.tokens = _Tokens(load_ranks(path))
+        self.split = regex.compile(pattern).findall
 
     def __missing__(self, piece: str) -> bytes:
-        ids: list[int] = []
-        for token in self.pattern.findall(piece):
-            ids += merge(token.encode(), self.ranks)
-        packed = np.array(ids, "<i4").tobytes()
+        packed = b"".join(map(self.tokens.__getitem__, self.split(piece)))
         if len(piece) <= MEMO_LENGTH:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= MEMO_PIECES:
                 self.clear()
             self[piece] = packed
         return packed

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, lm, quality, token_counts, toxicity
+from trailmark.llm import bpe, licenses, lm, mixing, quality, token_counts, topk, toxicity
 from trailmark.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,28 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+MIX = mixing.Mix(
+    weights={
+        "domain": {"domain0": 3, "domain1": 2},
+        "lang": {"en": 4, "de": 2, "fr": 2},
+        "source": {"src0": 2},
+    }
+)
+
+
+def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    mixed = mixing.mix_sources(docs, mixing.source_domain(docs["source"]), MIX)
+    return mixed.select(
+        "doc_id",
+        F.col("mix_domain").alias("domain"),
+        "lang",
+        "source",
+        F.col("mix_tokens").alias("n_tokens"),
+        F.col("mix_copies").alias("copies"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(
         _table(spark, folder, "documents"),
@@ -27,6 +49,19 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    scanned = licenses.scan(docs, licenses.train(docs))
+    families = F.array_sort(F.array_distinct("licences.family"))
+    return scanned.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("licences").cast("bigint").alias("n_licences"),
+        F.array_join(families, ",").alias("families"),
+        F.coalesce(F.array_max("licences.probability"), F.lit(0.0)).alias("probability"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = toxicity.train(docs, labels.where(~toxicity.held_out()))
@@ -43,6 +78,10 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(_table(spark, folder, "documents"))
 
 
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_inner_products(_table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_texts(_table(spark, folder, "documents"), lm.held_out_rows())
 
@@ -64,9 +103,12 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mix_sources": op1_mix_sources,
         "op2_token_counts": op2_token_counts,
+        "op3_licenses": op3_licenses,
         "op4_toxicity": op4_toxicity,
         "op6_quality": op6_quality,
+        "op7_top_k": op7_top_k,
         "op8_lm_scores": op8_lm_scores,
         "op9_bpe": op9_bpe,
     }
