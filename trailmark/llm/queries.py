@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, licenses, lm, mixing, quality, token_counts, topk, toxicity
+from trailmark.llm import bpe, jaccard, licenses, lm, mixing, quality, token_counts, topk, toxicity
 from trailmark.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,10 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(_table(spark, folder, "documents"))
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(_table(spark, folder, "documents"))
 
@@ -107,6 +111,7 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": op2_token_counts,
         "op3_licenses": op3_licenses,
         "op4_toxicity": op4_toxicity,
+        "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_quality": op6_quality,
         "op7_top_k": op7_top_k,
         "op8_lm_scores": op8_lm_scores,
