@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.llm import bloom
 from trailmark.llm.common import stored, text_of
 from trailmark.llm.components import components
 from trailmark.llm.shingles import mix, set_key, shingle_set
@@ -325,21 +326,7 @@ def _entities(docs: DataFrame, index: DataFrame, pairs: DataFrame, make, name: s
         index.where("key is not null").groupBy("key").agg(F.min("content").alias("content")).join(keys, "key"),
         f"jaccard-{name}-wanted",
     )
-    n = wanted.count()
-    bits = 1 << min(29, max(10, (16 * n - 1).bit_length()))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            _set_bits(field, batch.column("content").to_numpy(), bits)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([zlib.compress(field.tobytes(), 1)], pa.binary())], ["field"]
-        )
-
-    field = np.zeros(bits // 8, np.uint8)
-    for row in wanted.select("content").mapInArrow(mark, "field binary").toLocalIterator():
-        field |= np.frombuffer(zlib.decompress(row.field), np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(field)
+    sent, bits = bloom.broadcast_field(wanted, "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = sent.value
@@ -347,7 +334,7 @@ def _entities(docs: DataFrame, index: DataFrame, pairs: DataFrame, make, name: s
         for batch in batches:
             content = batch.column("content").to_numpy()
             keys, data, kept = [], [], []
-            for i in np.flatnonzero(_has_bits(field, content, bits)).tolist():
+            for i in np.flatnonzero(bloom.holds(field, content, bits)).tolist():
                 if content[i] in seen:
                     continue
                 seen.add(content[i])
@@ -366,23 +353,6 @@ def _entities(docs: DataFrame, index: DataFrame, pairs: DataFrame, make, name: s
     return stored(chosen.dropDuplicates(["key"]).select("key", "data"), f"jaccard-{name}")
 
 
-def _places(content: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    for seed in (1, 2, 3, 4):
-        yield mix(content.view(np.uint64), seed) & np.uint64(bits - 1)
-
-
-def _set_bits(field: np.ndarray, content: np.ndarray, bits: int) -> None:
-    for at in _places(content, bits):
-        np.bitwise_or.at(field, at >> np.uint64(3), (1 << (at & np.uint64(7))).astype(np.uint8))
-
-
-def _has_bits(field: np.ndarray, content: np.ndarray, bits: int) -> np.ndarray:
-    held = np.ones(len(content), bool)
-    for at in _places(content, bits):
-        held &= (field[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-    return held
-
-
 def _meet(pairs: DataFrame, entities: DataFrame, agree) -> DataFrame:
     """The pairs for whose data ``agree`` holds."""
     left = entities.select("key", F.col("data").alias("left"))

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe, jaccard, licenses, lm, mixing, quality, token_counts, topk, toxicity
+from trailmark.llm import (
+    bpe,
+    jaccard,
+    licenses,
+    lm,
+    mixing,
+    quality,
+    repeats,
+    token_counts,
+    topk,
+    toxicity,
+)
 from trailmark.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +116,17 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.remove_repeats(_table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -116,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op7_top_k": op7_top_k,
         "op8_lm_scores": op8_lm_scores,
         "op9_bpe": op9_bpe,
+        "op10_repeated_strings": op10_repeated_strings,
     }
 
 
