@@ -458,15 +458,8 @@ def _links(open_: DataFrame, sets: DataFrame, links: DataFrame | None, settings:
     return links
 
 
-def similar_groups(
-    docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(id, n_shingles, component_id): the smallest id that links reach from each row.
-
-    Null and empty texts, and texts without words, have an empty set and are linked with
-    nothing: their component is their own id. Equal sets are linked. Rows without an id
-    take part, and a component in which no row has one has none.
-    """
+def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
+    """The rows (id, content, n, key), and the components (node, component) of linked keys."""
     texts = docs.select(
         docs[id_col].alias("id"),
         text_of(text_col).alias("text"),
@@ -499,15 +492,20 @@ def similar_groups(
         groups = components(links.select(F.col("key").alias("x"), F.col("other").alias("y")))
     else:
         groups = docs.sparkSession.createDataFrame([], "node binary, component binary")
-    return _named(index, groups, id_col)
+    return index.where("key is not null").select("id", "content", "n", "key"), groups
 
 
-def _named(index: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
-    rows = index.where("key is not null").select("id", "n", "key")
-    first = rows.groupBy("key").agg(F.min("id").alias("first"))
-    first = first.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
-        "key", "first", F.coalesce("component", "key").alias("component")
-    )
+def similar_groups(
+    docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, n_shingles, component_id): the smallest id that links reach from each row.
+
+    Null and empty texts, and texts without words, have an empty set and are linked with
+    nothing: their component is their own id. Equal sets are linked. Rows without an id
+    take part, and a component in which no row has one has none.
+    """
+    rows, groups = _joined(docs, settings, id_col, text_col)
+    first = _grouped(rows, groups, F.min("id").alias("first"))
     least = first.groupBy("component").agg(F.min("first").alias("least"))
     named = first.join(least, "component").select("key", "least")
     return rows.join(named, "key").select(
@@ -515,3 +513,32 @@ def _named(index: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, rows without an id
+    last, then of the smallest hash of its text. Texts without words stay; rows that repeat
+    an id and a text count once."""
+    rows, groups = _joined(docs, settings, id_col, text_col)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "content").alias("first")
+    first = _grouped(rows.where("n > 0"), groups, F.min(order).alias("first"))
+    chosen = first.groupBy("component").agg(F.min("first").alias("first"))
+    kept = chosen.select("first.id", "first.content").union(
+        rows.where("n = 0").select("id", "content")
+    )
+    kept = kept.select(F.struct("id", "content").alias("row_key")).distinct()
+    named = docs.withColumn(
+        "row_key",
+        F.struct(docs[id_col].alias("id"), F.xxhash64(text_of(text_col)).alias("content")),
+    )
+    return named.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
+
+
+def _grouped(rows: DataFrame, groups: DataFrame, first) -> DataFrame:
+    """(key, first, component) of every set."""
+    keys = rows.groupBy("key").agg(first)
+    return keys.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
+        "key", "first", F.coalesce("component", "key").alias("component")
+    )

@@ -38,7 +38,7 @@ class Settings:
     """
 
     vocabulary: int = 2_000
-    pack_bytes: int = 16 << 20
+    pack_bytes: int = 8 << 20
     every: int = 64
     slot_bytes: int = 1 << 20
     rounds: int = 3

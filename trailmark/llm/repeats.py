@@ -357,3 +357,18 @@ def remove_repeats(
         "id", "n_bytes", all_.alias("spans"), F.lit(b"").alias("kept")
     )
     return found.union(short).union(gone).withColumnRenamed("id", id_col)
+
+
+def with_text(cut: DataFrame) -> DataFrame:
+    """``cut`` with ``text`` in place of ``kept``: its bytes as text, without what is left
+    of a character that a cut went through."""
+    rest = [name for name in cut.columns if name != "kept"]
+    schema = cut.select(*rest).schema.add("text", "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [kept.as_py().decode("utf-8", "ignore") for kept in batch.column(len(rest))]
+            columns = [*batch.columns[:-1], pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return cut.select(*rest, "kept").mapInArrow(run, schema)

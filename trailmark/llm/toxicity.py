@@ -201,6 +201,25 @@ def score(
     return chosen.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def without_toxic(
+    docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text"
+) -> DataFrame:
+    """``docs`` without the rows whose score reaches ``threshold``, all columns as they
+    were. Null and empty texts hold no term and stay unless the bias alone rejects them.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = sent.value
+        for batch in batches:
+            found = [terms(text.as_py() or "", fitted.settings) for text in batch.column(place)]
+            scores = np.concatenate([fitted.scores([one]) for one in found] or [np.zeros(0)])
+            yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id", folds: int = 5):
     """Rows kept from training: crc32 of the id's text divides by ``folds``."""
     return crc_of(id_col) % folds == 0
