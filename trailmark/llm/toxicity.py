@@ -26,16 +26,19 @@ _WORD = re.compile(r"[^\W_]+")
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the labelled texts the model is fitted on: those with the
-    smallest hashes, so the choice depends on the rows alone. Terms that fewer than
-    ``least`` of them hold get no weight."""
+    smallest hashes, so the choice depends on the rows alone. A term gets a weight if
+    ``least`` of them hold it and either the labels' shares among those differ by
+    ``signal`` standard errors, or it is ``common`` enough to say something in a pair."""
 
     bits: int = 18
     factors: int = 4
     sample: int = 20_000
     least: int = 5
+    signal: float = 4.0
+    common: float = 0.3
     epochs: int = 12
     rate: float = 0.1
-    decay: float = 1e-5
+    decay: float = 1e-4
     batch: int = 256
     stem: int = 4
     seed: int = 7
@@ -96,10 +99,22 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def _chosen(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> np.ndarray:
+    """Sorted hashes of the terms that get a weight."""
+    size = 1 << settings.bits
+    flat = np.fromiter((h for one in texts for h in one), np.int64)
+    each = np.repeat(np.asarray(labels, float), [len(one) for one in texts])
+    counts, hits = np.bincount(flat, minlength=size), np.bincount(flat, each, size)
+    share = float(np.mean(labels)) if len(labels) else 0.0
+    spread = np.sqrt(np.maximum(counts * share * (1 - share), 1e-12))
+    telling = np.abs(hits - counts * share) >= settings.signal * spread
+    common = counts >= settings.common * len(texts)
+    return np.flatnonzero((counts >= settings.least) & (telling | common))
+
+
 def fit(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> Model:
     """Mini-batch AdaGrad on the logistic loss; the same input gives the same model."""
-    hashes, counts = np.unique([h for one in texts for h in one], return_counts=True)
-    kept = hashes[counts >= settings.least].astype(np.int64)
+    kept = _chosen(texts, labels, settings)
     share = float(np.mean(labels)) if len(labels) else 0.0
     share = min(max(share, 1e-3), 1 - 1e-3)
     random = np.random.default_rng(settings.seed)
