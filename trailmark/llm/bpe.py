@@ -18,6 +18,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 
@@ -26,8 +27,8 @@ from trailmark.llm.pieces import pieces
 
 # Bounds of what a worker remembers of encoded pre-tokens and pieces; results do not
 # depend on them.
-MEMO_TOKENS = 600_000
-MEMO_PIECES = 300_000
+MEMO_TOKENS = 800_000
+MEMO_PIECES = 100_000
 MEMO_LENGTH = 64
 
 
@@ -41,7 +42,7 @@ def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
     end = list(range(1, n + 1))  # where the part that starts here ends
     before = list(range(-1, n - 1))  # where the part to the left starts
     pair: list[int | None] = [None] * n  # rank of the pair whose left part starts here
-    buckets: dict[int, list[int]] = {}  # rank -> heap of positions
+    buckets: dict[int, int | list[int]] = {}  # rank -> a position, or a heap of several
     words: dict[int, int] = {}  # rank >> 8 -> bitmap of the ranks that wait
     top = 0  # bitmap of the keys of ``words``
     fresh = [(i, i + 2) for i in range(n - 1)]  # where pairs that are new start and end
@@ -50,33 +51,44 @@ def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
             pair[i] = rank = get(token[i:stop])
             if rank is None:
                 continue
-            bucket = buckets.get(rank)
-            if bucket is not None:
-                heappush(bucket, i)
+            if rank in buckets:
+                bucket = buckets[rank]
+                if type(bucket) is int:
+                    buckets[rank] = [bucket, i] if bucket < i else [i, bucket]
+                else:
+                    heappush(bucket, i)
                 continue
-            buckets[rank] = [i]
+            buckets[rank] = i
             high = rank >> 8
-            words[high] = words.get(high, 0) | 1 << (rank & 255)
-            top |= 1 << high
-        fresh = ()
+            if high in words:
+                words[high] |= 1 << (rank & 255)
+            else:
+                words[high] = 1 << (rank & 255)
+                top |= 1 << high
         if not top:
             break
         high = (top & -top).bit_length() - 1
         word = words[high]
         rank = high << 8 | (word & -word).bit_length() - 1
-        bucket = buckets[rank]
-        i = heappop(bucket)
-        if not bucket:
+        i = buckets[rank]
+        if type(i) is not int:
+            bucket = i
+            i = heappop(bucket)
+            if len(bucket) == 1:
+                buckets[rank] = bucket[0]
+        else:
             del buckets[rank]
             word &= word - 1
-            words[high] = word
-            if not word:
+            if word:
+                words[high] = word
+            else:
+                del words[high]
                 top &= top - 1
+        fresh = ()
         if pair[i] != rank:
             continue
         j = end[i]
-        k = end[j]
-        end[i] = k
+        end[i] = k = end[j]
         pair[j] = None
         left = before[i]
         if k < n:
@@ -84,7 +96,8 @@ def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
             fresh = ((i, end[k]), (left, k)) if left >= 0 else ((i, end[k]),)
         else:
             pair[i] = None
-            fresh = ((left, k),) if left >= 0 else ()
+            if left >= 0:
+                fresh = ((left, k),)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[token[i : end[i]]])
@@ -169,7 +182,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(ranks_path, pattern)
         for batch in batches:
-            ids = _lists([coder.encode(text.as_py()) for text in batch.column(1)])
+            ids = _lists([coder.encode(text) for text in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
 
     chosen = docs.select(docs[id_col].alias("id"), text_of(text_col).alias("text"))
@@ -190,7 +203,10 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
         tokens = tokens_by_id(ranks_path)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
-            made = [b"".join(map(tokens.__getitem__, ids.as_py() or ())) for ids in lists]
+            ids = lists.flatten().to_numpy()
+            cuts = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+            parts = (part.tolist() for part in np.split(ids, cuts[:-1]))
+            made = [b"".join(map(tokens.__getitem__, part)) for part in parts]
             columns = [*batch.columns[:-1], pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
