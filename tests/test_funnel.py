@@ -6,7 +6,7 @@ import pytest
 
 from tests.frames import actions, clock, tuples
 from trailmark.operators import funnel
-from trailmark.operators.ordering import Splitting, hot_keys
+from trailmark.operators.ordering import with_previous
 
 
 def walk(pages, session="s", start=0):
@@ -83,36 +83,21 @@ def test_untimed_actions_count_as_visits_but_not_as_steps(spark):
     assert tuples(matches, "pv", "previous_pv") == [(1, 2)]
 
 
-def test_branch_for_hot_sessions_vanishes_when_there_are_none(spark):
-    log = actions(spark, walk([1, 2, 3]))
-    matches = funnel.page_flow_matches(log, [1, 2], Splitting(small_input=0))
+def test_one_scan_and_one_full_shuffle(spark, tmp_path):
+    actions(spark, walk([1, 2, 3])).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    matches = funnel.page_flow_matches(log, [1, 2])
+    assert tuples(matches, "pv") == [(1,)]
     matches.collect()
     plan = matches._jdf.queryExecution().executedPlan().toString()
-    final, initial = plan.split("== Initial Plan ==")
-    assert "rangepartitioning" in initial
-    assert "BroadcastHashJoin" in initial
-    assert "NestedLoop" not in initial
-    assert "rangepartitioning" not in final
-    assert final.count("Window [") == 1
-
-
-def test_hot_keys_are_the_largest_and_bounded(spark):
-    log = actions(spark, walk([1] * 5, "a") + walk([1] * 9, "b") + walk([1] * 7, "c"))
-    assert tuples(hot_keys(log, "session_id", Splitting(5))) == [("b",), ("c",)]
-    assert tuples(hot_keys(log, "session_id", Splitting(5, 1))) == [("b",)]
-
-
-@pytest.mark.parametrize(
-    "splitting",
-    [
-        Splitting(hot_rows=0, small_input=0),
-        Splitting(hot_rows=20, small_input=0),
-        Splitting(hot_rows=0, hot_keys=1, small_input=0),
-        Splitting(small_input=0),
-        Splitting(),
-    ],
-)
-def test_hot_sessions_give_the_same_pairs(spark, splitting):
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+    assert "ReusedExchange" in final
+    assert "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("minutes", [1, 200])
+def test_hot_sessions_give_the_same_pairs(spark, minutes):
     """A third of all rows in one session, a third without a session id, equal times."""
     rng = random.Random(5)
     names = ["hot"] * 300 + [None] * 300 + [f"s{i % 40}" for i in range(300)]
@@ -121,17 +106,17 @@ def test_hot_sessions_give_the_same_pairs(spark, splitting):
         {
             "session_id": name,
             "page_id": rng.randrange(4),
-            "action_time": clock(rng.randrange(30)) if rng.random() > 0.05 else None,
+            "action_time": clock(rng.randrange(30) * 2 * minutes) if rng.random() > 0.05 else None,
         }
         for name in names
     ]
     log = actions(spark, records).repartition(6)
-    pairs = funnel.page_pairs(log, splitting)
+    pairs = funnel.page_pairs(log)
     assert tuples(pairs, "session_id", "from_page", "to_page") == brute_pairs(records)
     counts = {(a, b): 0 for a in range(4) for b in range(4)}
     for _, a, b in brute_pairs(records):
         counts[a, b] += 1
-    matches = funnel.page_flow_matches(log, [0, 1, 2, 3], splitting)
+    matches = funnel.page_flow_matches(log, [0, 1, 2, 3])
     assert tuples(matches, "pv") == sorted([(counts[i, i + 1],) for i in range(3)])
     assert dict(
         ((row.from_page, row.to_page), row.pv)
@@ -139,13 +124,23 @@ def test_hot_sessions_give_the_same_pairs(spark, splitting):
     ) == {pair: n for pair, n in counts.items() if n}
 
 
+@pytest.mark.parametrize("hours", [1, 5, 1000])
+def test_results_do_not_depend_on_the_pieces(spark, hours):
+    records = [{"page_id": i % 7, "action_time": clock(i * 37 % 20_000)} for i in range(300)]
+    log = actions(spark, records)
+    found = with_previous(log, "session_id", "action_time", ["event_id"], {"p": "page_id"}, hours)
+    pairs = found.where("p is not null").selectExpr("session_id", "p", "page_id")
+    assert tuples(pairs) == brute_pairs(records)
+
+
 def test_hot_session_is_spread_over_tasks(spark):
-    records = walk([i % 5 for i in range(4000)], "hot")
+    records = [
+        {"session_id": "hot", "page_id": i % 5, "action_time": clock(i * 20)} for i in range(4000)
+    ]
     log = actions(spark, records)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        pairs = funnel.page_pairs(log, Splitting(hot_rows=100, small_input=0))
-        sizes = pairs.rdd.glom().map(len).collect()
+        sizes = funnel.page_pairs(log).rdd.glom().map(len).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(sizes) == 3999

@@ -90,10 +90,10 @@ def test_report_has_sorted_lists_and_null_for_none(spark):
         ],
     )
     sample = sampling.sample_sessions(session_rollup(log), 10)
-    assert tuples(sampling.sample_report(log, sample, 3, 10)) == [
+    assert tuples(sampling.sample_report(log, sample, 3)) == [
         (3, "s", "2020-05-01 00:00:05", None, "2,12")
     ]
-    assert sampling.sample_detail(log, sample, 10).count() == 3
+    assert sampling.sample_detail(log, sample).count() == 3
 
 
 def test_no_sessions(spark):

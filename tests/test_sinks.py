@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tests.frames import actions, table, tuples
-from trailmark.session import build_session, scan_bytes, size_shuffles
+from trailmark.session import build_session
 from trailmark.sinks import results, staging
 from trailmark.sources.actions import read_table, scan_actions
 from trailmark.sources.dimensions import JdbcConnection, JdbcSplit, jdbc_read_options
@@ -76,17 +76,20 @@ def test_staged_results_live_in_the_shared_folder(spark):
         spark.read.parquet(f"{folder}/t")
 
 
-def test_shuffles_are_sized_by_the_input(spark, tmp_path):
-    spark.range(200_000).write.parquet(str(tmp_path / "big"))
-    df = spark.read.parquet(str(tmp_path / "big"))
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, df, bytes_per_partition=10**9) == int(before)
-        wanted = -(-scan_bytes(df) // 10_000)
-        assert size_shuffles(spark, df, bytes_per_partition=10_000) == wanted
-        assert size_shuffles(spark, df, bytes_per_partition=1_000, upper=wanted + 1) == wanted + 1
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_database_writes_move_rows_not_the_scan(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "log"))
+    scan = spark.read.parquet(str(tmp_path / "log")).where("id > 3")
+    target = results.JdbcTarget(CONNECTION, connections=3)
+    spread = target.spread(scan)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange RoundRobinPartitioning(3)" in plan
+    assert plan.index("Exchange") < plan.index("FileScan")
+    assert spread.rdd.getNumPartitions() == 3
+
+
+def test_file_writes_are_few_files(spark, tmp_path):
+    results.write_result(spark.range(0, 100, 1, 20), results.FileTarget(str(tmp_path)), "t")
+    assert len(list((tmp_path / "t").glob("part-*"))) == 1
 
 
 def test_session_keeps_what_the_caller_set(spark):

@@ -10,9 +10,10 @@ from tests.frames import table, tuples
 from tests.test_ads import replay
 from trailmark.operators.ads import sum_counts
 from trailmark.schemas import AD_CLICK_COUNT, CLICK_LOG_LINE
+from trailmark.sinks import results
 from trailmark.sinks.batch_log import BatchLog
 from trailmark.sources.click_log import kafka_options, read_file_lines
-from trailmark.streaming.ad_blacklist import AdBlacklistStream
+from trailmark.streaming.ad_blacklist import AdBlacklistStream, publish_changes
 
 DAY = 86_400_000
 START = 1704067200000
@@ -131,3 +132,47 @@ def test_busy_user_is_one_row_per_key_before_the_blacklist_join(spark, tmp_path)
     stream.process(lines, 0)
     assert spark.read.parquet(f"{tmp_path}/counts/batches/batch_id=0").count() == 1
     assert stored(stream) == ({("2024-01-01", 1, 1): 5000}, {1: 0})
+
+
+@pytest.mark.parametrize("time", ["1704067200000000000", "1704067200000000", "-1", str(2**63 - 1)])
+def test_a_time_out_of_range_goes_to_quarantine(spark, tmp_path, time):
+    lines = table(spark, CLICK_LOG_LINE, (f"{START} p c 1 1",), (f"{time} p c 1 2",))
+    stream = AdBlacklistStream(spark, str(tmp_path), 4)
+    stream.process(lines, 0)
+    stream.process(lines, 0)
+    if time == "-1":  # the last millisecond of 1969
+        assert ("1969-12-31", 1, 2) in stored(stream)[0]
+    else:
+        assert stored(stream)[0] == {("2024-01-01", 1, 1): 1}
+        assert tuples(stream.quarantine.read_all()) == [(f"{time} p c 1 2",)]
+
+
+def test_folders_stay_level(spark, tmp_path):
+    stream = AdBlacklistStream(spark, str(tmp_path), 4, rollup_every=2)
+    sizes = []
+    for batch in range(9):
+        lines = table(spark, CLICK_LOG_LINE, (f"{START + batch} p c {batch % 3} 1",))
+        stream.process(lines, batch)
+        sizes.append(len([p for p in tmp_path.glob("*/*/*") if p.is_dir()]))
+    assert max(sizes[5:]) <= max(sizes[3:5]) + 1
+    assert not (tmp_path / "quarantine").exists()
+    assert stored(stream)[0] == {("2024-01-01", user, 1): 3 for user in range(3)}
+
+
+def test_changes_go_out_and_users_come_in(spark, tmp_path):
+    target = results.FileTarget(str(tmp_path / "out"))
+    stream = AdBlacklistStream(
+        spark,
+        str(tmp_path / "state"),
+        1,
+        publish=publish_changes(target),
+        listed_elsewhere=lambda: table(spark, "user_id long", (9,)),
+    )
+    for batch in range(2):
+        rows = [(f"{START} p c {user} 1",) for user in (1, 9)]
+        stream.process(table(spark, CLICK_LOG_LINE, *rows), batch)
+    counts = spark.read.parquet(str(tmp_path / "out" / "ad_user_click_count_changes"))
+    columns = ["date", "user_id", "click_count", "batch_id"]
+    assert tuples(counts, *columns) == [("2024-01-01", 1, 1, 0), ("2024-01-01", 1, 2, 1)]
+    listed = spark.read.parquet(str(tmp_path / "out" / "ad_blacklist_changes"))
+    assert tuples(listed, "user_id", "batch_id") == [(1, 1)]

@@ -49,9 +49,17 @@ def _arguments() -> argparse.ArgumentParser:
     session.add_argument("--users", default="user_info")
     session.add_argument("--sample", type=int, default=DEFAULT_TOTAL)
     session.add_argument("--seed", default="0")
+    session.add_argument(
+        "--plain-detail",
+        action="store_true",
+        help="session detail without the columns source and top_category_id",
+    )
     product = jobs.choices["product"]
     product.add_argument("--cities", default="city_info")
     product.add_argument("--products", default="product_info")
+    product.add_argument(
+        "--by-day", action="store_true", help="update_date is the day of the action's time"
+    )
 
     ads = jobs.add_parser("ads")
     ads.add_argument("--root", required=True, help="folder for counts, blacklist, checkpoint")
@@ -105,13 +113,15 @@ def _run_task(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.job == "session":
         users = _source(spark, options.users, options)
         total, seed = options.sample, options.seed
-        session_analysis.run(actions, users, params, target, total, seed, mode)
+        told = not options.plain_detail
+        session_analysis.run(actions, users, params, target, total, seed, mode, told)
     elif options.job == "page":
         page_funnel.run(actions, params, target, mode)
     else:
         cities = _source(spark, options.cities, options)
         products = _source(spark, options.products, options)
-        area_top_products.run(actions, cities, products, params, target, mode)
+        by_day = options.by_day
+        area_top_products.run(actions, cities, products, params, target, mode, by_day)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -102,9 +102,9 @@ def category_top_sessions(
 ) -> DataFrame:
     """The sessions with most clicks in each top category; ties by session id.
 
-    ``top_categories`` comes out of a ``limit`` and is broadcast.
+    Both joins with top rows are broadcast by their measured size.
     """
-    wanted = F.broadcast(top_categories.select("category_id"))
+    wanted = top_categories.select("category_id")
     clicks = session_clicks.where(F.col("click_count") > 0).select(
         "category_id", "session_id", "click_count"
     )
@@ -123,25 +123,27 @@ def category_top_sessions(
 
 
 def category_top_session_detail(actions: DataFrame, top_sessions: DataFrame) -> DataFrame:
-    """Actions of the top sessions, once per category whose list a session is in.
-
-    ``top_sessions`` has at most TOP_CATEGORIES x TOP_SESSIONS rows.
-    """
+    """Actions of the top sessions, once per category whose list a session is in."""
     listed = top_sessions.select("session_id", F.col("category_id").alias("top_category_id"))
-    return actions.join(F.broadcast(listed), "session_id")
+    return actions.join(listed, "session_id")
 
 
 def detail_record(
-    detail: DataFrame, task_id: int, source: str, category: str | None = None
+    detail: DataFrame,
+    task_id: int,
+    source: str,
+    category: str | None = None,
+    told: bool = True,
 ) -> DataFrame:
     """Actions in the shape of the session detail table; absent click ids become 0.
 
     ``source`` tells which report a row belongs to, ``category`` names the column
-    holding the top category it was listed for.
+    holding the top category it was listed for. Without ``told`` these two columns are
+    left out, for tables that hold the task and the eleven columns of an action.
     """
     zero = F.lit(0).cast("long")
     listed_for = F.col(category) if category else F.lit(None).cast("long")
-    return detail.select(
+    record = detail.select(
         F.lit(task_id).cast("long").alias("task_id"),
         "user_id",
         "session_id",
@@ -157,3 +159,4 @@ def detail_record(
         F.lit(source).alias("source"),
         listed_for.alias("top_category_id"),
     )
+    return record if told else record.drop("source", "top_category_id")

@@ -9,33 +9,26 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.numeric import half_up_ratio
 from trailmark.functions.texts import pair_label
-from trailmark.operators.ordering import SPLITTING, Splitting, with_previous
+from trailmark.operators.ordering import with_previous
 
 _TIE_BREAKS = ("event_id", "page_id")
 
 
-def _with_previous_page(actions: DataFrame, splitting: Splitting) -> DataFrame:
+def _with_previous_page(actions: DataFrame) -> DataFrame:
     """Actions with ``from_page``; null for a session's first action and without a time.
 
     Equal times are ordered by ``event_id``, or by page where the log has no such id.
     """
     tie_break = next(name for name in _TIE_BREAKS if name in actions.columns)
     needed = dict.fromkeys(["session_id", "action_time", tie_break, "page_id"])
-    paged = with_previous(
-        actions.select(*needed),
-        "session_id",
-        ["action_time", tie_break],
-        {"from_page": "page_id"},
-        splitting,
+    return with_previous(
+        actions.select(*needed), "session_id", "action_time", [tie_break], {"from_page": "page_id"}
     )
-    # Rows without a time sort last, so a row that has one never follows one without.
-    timed = F.col("action_time").isNotNull()
-    return paged.withColumn("from_page", F.when(timed, F.col("from_page")))
 
 
-def page_pairs(actions: DataFrame, splitting: Splitting = SPLITTING) -> DataFrame:
+def page_pairs(actions: DataFrame) -> DataFrame:
     """One row per step from one page to the next within a session, in time order."""
-    paged = _with_previous_page(actions, splitting).withColumnRenamed("page_id", "to_page")
+    paged = _with_previous_page(actions).withColumnRenamed("page_id", "to_page")
     return paged.where(F.col("from_page").isNotNull() & F.col("to_page").isNotNull())
 
 
@@ -49,9 +42,7 @@ def start_page_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     return actions.agg(F.count_if(first).alias("start_pv"))
 
 
-def page_flow_matches(
-    actions: DataFrame, flow: Sequence[int], splitting: Splitting = SPLITTING
-) -> DataFrame:
+def page_flow_matches(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     """Per step of the flow: how often it was taken, and the count it is measured against.
 
     A pair that occurs twice in the flow is counted once per position, so its visits
@@ -73,7 +64,7 @@ def page_flow_matches(
         f" 'pv', pv_{i}, 'previous_pv', pv_{i - 1})"
         for i, (a, b) in enumerate(pairs, 1)
     ]
-    counts = _with_previous_page(actions, splitting).agg(
+    counts = _with_previous_page(actions).agg(
         F.expr(f"count_if(page_id = {int(flow[0])}) AS pv_0"), *map(F.expr, visits)
     )
     return counts.selectExpr(f"inline(array({', '.join(steps)}))")

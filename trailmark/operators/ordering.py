@@ -3,99 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.session import scan_bytes
-
-
-@dataclass(frozen=True)
-class Splitting:
-    """When a group is spread over several tasks. Results never depend on it.
-
-    Groups above ``hot_rows`` rows are spread, the ``hot_keys`` largest ones at most:
-    that bounds the broadcast key list, and the largest group left whole has no more
-    than (all rows / ``hot_keys``) rows. Inputs estimated below ``small_input`` bytes
-    fit one task and are not searched for hot groups.
-    """
-
-    hot_rows: int = 2_000_000
-    hot_keys: int = 10_000
-    small_input: int = 64 * 1024 * 1024
-
-
-SPLITTING = Splitting()
-
-
-def hot_keys(df: DataFrame, key: str, splitting: Splitting = SPLITTING) -> DataFrame:
-    """The largest groups with more than ``hot_rows`` rows, at most ``hot_keys`` of them."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.where(F.col("_rows") > splitting.hot_rows)
-        .orderBy(F.desc("_rows"), F.asc_nulls_first(key))
-        .limit(splitting.hot_keys)
-        .select(F.col(key).alias("_hot_key"))
-    )
+# Rows without a time yield no predecessor; they only have to be spread.
+_UNTIMED_PIECES = 1024
 
 
 def with_previous(
     df: DataFrame,
     key: str,
-    order: Sequence[str],
+    time: str,
+    ties: Sequence[str],
     columns: dict[str, str],
-    splitting: Splitting = SPLITTING,
+    piece_hours: int = 1,
 ) -> DataFrame:
     """Adds each row's predecessor values within ``key``; ``columns`` maps output to input.
 
-    ``order`` must be total within a group; rows with null order values come last.
-    Ordinary groups take one shuffle and a ``lag``. Hot groups are range-partitioned
-    by their order, so one group fills many tasks, and only the rows at the edges of
-    those ranges are compared again.
+    Rows are ordered by ``time`` (a timestamp_ntz), then ``ties``, which make the order
+    total. A group is cut into pieces of ``piece_hours`` hours, which are dealt out and
+    sorted one by one. Only the first and last row of each piece meet again, to give a
+    piece's first row its predecessor in the piece before. So a group of any length is
+    spread over its hours; results do not depend on ``piece_hours``. Values are null for
+    a group's first row and for rows without a time.
     """
-    ascending = [F.asc_nulls_last(name) for name in order]
-    if scan_bytes(df) < splitting.small_input:
-        return _previous_in_group(df, key, ascending, columns)
-    hot = F.broadcast(hot_keys(df, key, splitting))
-    same_key = df[key].eqNullSafe(hot["_hot_key"])
-    ordinary = df.join(hot, same_key, "left_anti")
-    spread = df.join(hot, same_key, "left_semi")
-    return _previous_in_group(ordinary, key, ascending, columns).unionByName(
-        _previous_by_range(spread, key, ascending, columns)
-    )
-
-
-def _previous_in_group(df: DataFrame, key: str, ascending: list, columns: dict) -> DataFrame:
-    group = W.partitionBy(key).orderBy(*ascending)
-    return df.select(
-        "*", *(F.lag(source).over(group).alias(name) for name, source in columns.items())
+    ascending = [F.asc(time), *(F.asc_nulls_last(name) for name in ties)]
+    timed = F.col(time).isNotNull()
+    hour = F.expr(f"timestampdiff(HOUR, timestamp_ntz'1970-01-01 00:00:00', {time})")
+    spread = F.pmod(F.xxhash64(*ties), F.lit(_UNTIMED_PIECES))
+    pieces = df.withColumns(
+        {
+            "_timed": timed,
+            "_piece": F.when(timed, F.floor(hour / piece_hours)).otherwise(spread),
+        }
     )
-
-
-def _previous_by_range(df: DataFrame, key: str, ascending: list, columns: dict) -> DataFrame:
-    ranges = df.repartitionByRange(F.asc(key), *ascending)
-    ranges = ranges.withColumn("_range", F.spark_partition_id())
-    # The range id is carried through one unbranched plan: it is never computed twice.
-    piece = W.partitionBy(key, "_range").orderBy(*ascending)
-    within = ranges.select(
+    piece = W.partitionBy(key, "_timed", "_piece").orderBy(*ascending)
+    within = pieces.select(
         "*",
         *(F.lag(source).over(piece).alias(name) for name, source in columns.items()),
         (F.row_number().over(piece) == 1).alias("_first"),
         F.lead(F.lit(True)).over(piece).isNull().alias("_last"),
     )
-    edge = F.col("_first") | F.col("_last")
-    edges = W.partitionBy(key, F.when(edge, F.lit(-1)).otherwise(F.col("_range"))).orderBy(
-        *ascending
+    group = W.partitionBy(key).orderBy(*ascending)
+    # One predicate that does not come apart: half of it would reach this branch's scan
+    # alone, and the branches would no longer share the scan and the shuffle.
+    edges = within.where("int(_timed) + int(_first OR _last) = 2").select(
+        *df.columns,
+        "_first",
+        *(F.lag(source).over(group).alias(name) for name, source in columns.items()),
     )
-    across = within.select(
+    inside = within.where("NOT _timed OR NOT _first").select(
         *df.columns,
-        *(
-            F.when(F.col("_first"), F.lag(source).over(edges))
-            .otherwise(F.col(name))
-            .alias(name)
-            for name, source in columns.items()
-        ),
+        *(F.when(F.col("_timed"), F.col(name)).alias(name) for name in columns),
     )
-    return across
+    return inside.unionByName(edges.where("_first").drop("_first"))

@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-_SALTS = 64
-
 
 def top_per_group(
     df: DataFrame,
@@ -21,20 +18,9 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``limit`` rows of each group under a total ``order``, numbered from 1.
 
-    Up to Spark's group-limit threshold every map task already drops all but
-    ``limit`` rows per group before the shuffle. Beyond it the same is done in a
-    first round over hashed parts of each group.
+    Every map task drops all but ``limit`` rows per group before the shuffle, for any
+    limit up to Spark's group-limit threshold, which the session's defaults lift.
     """
-    spark = df.sparkSession
-    if limit > int(spark.conf.get(_GROUP_LIMIT_CONF, "1000")):
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
-        part = W.partitionBy(*keys, "_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn("_part_rank", F.row_number().over(part))
-            .where(F.col("_part_rank") <= limit)
-            .drop("_salt", "_part_rank")
-        )
-    whole = W.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(rank, F.row_number().over(whole))
+    group = W.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumn(rank, F.row_number().over(group))
     return ranked.where(F.col(rank) <= limit)

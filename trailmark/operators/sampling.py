@@ -12,8 +12,6 @@ from trailmark.operators.ranking import top_per_group
 from trailmark.operators.sessions import session_detail, session_rollup
 
 DEFAULT_TOTAL = 100
-# A sample up to this many sessions is broadcast to fetch its actions.
-BROADCAST_SESSIONS = 100_000
 
 
 def _with_hour(sessions: DataFrame) -> DataFrame:
@@ -76,20 +74,12 @@ def sample_sessions(
     )
 
 
-def bounded(sample: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a frame known to have at most ``rows`` rows, if that is few."""
-    return F.broadcast(sample) if rows <= BROADCAST_SESSIONS else sample
-
-
-def sample_report(
-    actions: DataFrame, sample: DataFrame, task_id: int = 0, total: int = DEFAULT_TOTAL
-) -> DataFrame:
+def sample_report(actions: DataFrame, sample: DataFrame, task_id: int = 0) -> DataFrame:
     """The sampled sessions with their keywords and clicked categories as text.
 
     The lists are built for the sampled sessions only.
     """
-    chosen = bounded(sample, total)
-    lists = session_rollup(session_detail(actions, chosen), lists=True)
+    lists = session_rollup(session_detail(actions, sample), lists=True)
     return lists.select(
         F.lit(task_id).cast("long").alias("task_id"),
         "session_id",
@@ -99,8 +89,6 @@ def sample_report(
     )
 
 
-def sample_detail(
-    actions: DataFrame, sample: DataFrame, total: int = DEFAULT_TOTAL
-) -> DataFrame:
-    """All actions of the sampled sessions."""
-    return session_detail(actions, bounded(sample, total))
+def sample_detail(actions: DataFrame, sample: DataFrame) -> DataFrame:
+    """All actions of the sampled sessions; the join is broadcast by its measured size."""
+    return session_detail(actions, sample)

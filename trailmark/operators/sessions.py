@@ -55,7 +55,8 @@ def session_rollup(
 
     Keyword and category criteria of ``params`` become two flags inside the same
     aggregation, so the usual path shuffles a few fixed-width values per session.
-    ``lists`` adds the distinct keywords and clicked categories as arrays.
+    ``lists`` adds the distinct keywords and clicked categories as arrays, which a
+    session must be able to hold; repeats go before they are gathered.
     """
     params = params or JobParams()
     measures = [
@@ -70,15 +71,25 @@ def session_rollup(
         measures.append(
             _any_of(F.col("click_category_id"), params.category_ids).alias("category_hit")
         )
-    if lists:
-        measures.append(F.collect_set(_keyword()).alias("search_keywords"))
-        measures.append(F.collect_set("click_category_id").alias("click_category_ids"))
     seconds = seconds_between(F.col("start_time"), F.col("end_time"))
-    return (
+    rollup = (
         actions.groupBy("session_id")
         .agg(*measures)
         .withColumn("visit_length", F.coalesce(seconds, F.lit(0).cast("long")))
     )
+    return _with_lists(rollup, actions) if lists else rollup
+
+
+def _with_lists(rollup: DataFrame, actions: DataFrame) -> DataFrame:
+    values = actions.select(
+        "session_id", _keyword().alias("search_keyword"), "click_category_id"
+    ).distinct()
+    gathered = values.groupBy(F.col("session_id").alias("_session")).agg(
+        F.collect_set("search_keyword").alias("search_keywords"),
+        F.collect_set("click_category_id").alias("click_category_ids"),
+    )
+    same = rollup["session_id"].eqNullSafe(gathered["_session"])
+    return rollup.join(gathered, same).drop("_session")
 
 
 def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
 # The parameter names users put into a task's JSON.
@@ -20,6 +21,9 @@ PARAM_FIELDS = {
 }
 
 
+_ID = re.compile(r"-?[0-9]+")
+
+
 class ParamError(ValueError):
     """A task or one of its parameters is missing or unreadable."""
 
@@ -80,7 +84,7 @@ class JobParams:
         # An id that is no number cannot match anything, but the list still applies.
         ids = _items(values.get("category_ids"))
         if ids is not None:
-            ids = tuple(int(i) for i in ids if i.lstrip("-").isdigit())
+            ids = tuple(int(i) for i in ids if _ID.fullmatch(i) and abs(int(i)) < 2**63)
         flow = _items(values.get("page_flow"))
         if flow is not None:
             flow = tuple(_whole(page, "page_flow") for page in flow)

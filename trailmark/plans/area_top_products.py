@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from trailmark.functions.labels import AREA_LEVELS, OTHER_AREA_LEVEL
 from trailmark.operators import regions
 from trailmark.params import JobParams
-from trailmark.session import size_shuffles
 from trailmark.sinks import results
-from trailmark.sources.actions import scan_clicks, with_action_time, within_days
+from trailmark.sources.actions import scan_actions, scan_clicks, with_action_time, within_days
 from trailmark.sources.dimensions import city_dimension
 
 
@@ -22,8 +21,13 @@ def area_top_products(
     params: JobParams,
     levels: Mapping[str, str] = AREA_LEVELS,
     other_level: str = OTHER_AREA_LEVEL,
+    by_day: bool = False,
 ) -> DataFrame:
+    """``by_day``: each action's ``update_date`` is the day of its time, so a log stored by
+    day is read for the days asked for only."""
     start, end = params.start_date, params.end_date
+    if by_day:
+        actions = scan_actions(actions, start and start[:10], end and end[:10])
     clicks = scan_clicks(with_action_time(within_days(actions, start, end)), start, end)
     counts = regions.area_product_counts(clicks, city_dimension(cities))
     enriched = regions.area_product_enriched(counts, products)
@@ -39,7 +43,7 @@ def run(
     params: JobParams,
     target: results.Target,
     mode: str = "append",
+    by_day: bool = False,
 ) -> None:
-    size_shuffles(actions.sparkSession, actions)
-    report = area_top_products(actions, cities, products, params)
+    report = area_top_products(actions, cities, products, params, by_day=by_day)
     results.write_result(report, target, results.AREA_TOP3_PRODUCT, mode)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 
 from trailmark.operators import funnel
 from trailmark.params import JobParams
-from trailmark.session import size_shuffles
 from trailmark.sinks import results
 from trailmark.sources.actions import scan_actions, with_action_time
 
@@ -21,6 +20,5 @@ def run(
     actions: DataFrame, params: JobParams, target: results.Target, mode: str = "append"
 ) -> None:
     rates = page_convert_rates(actions, params)
-    size_shuffles(actions.sparkSession, actions)
     report = funnel.page_convert_text(rates, params.task_id)
     results.write_result(report, target, results.PAGE_SPLIT_CONVERT_RATE, mode)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from trailmark.operators import categories, sampling, sessions
 from trailmark.params import JobParams
-from trailmark.session import size_shuffles
 from trailmark.sinks import results, staging
 from trailmark.sources.actions import scan_actions, with_action_time
 
@@ -26,12 +25,13 @@ def session_reports(
     total: int = sampling.DEFAULT_TOTAL,
     seed: str = "0",
     stage: Stage = _lazy,
+    told: bool = True,
 ) -> list[tuple[str, DataFrame]]:
     """(result table, rows) pairs of the whole analysis.
 
     ``stage`` is applied to what several reports read. The log itself is read three
     times: for the rollup, for the counts per session and category, and for the
-    actions of the few sessions whose detail is kept.
+    actions of the few sessions whose detail is kept. ``told``: see ``detail_record``.
     """
     task = params.task_id
     log = with_action_time(scan_actions(actions, params.start_date, params.end_date))
@@ -49,11 +49,11 @@ def session_reports(
     )
     return [
         (results.SESSION_AGGR_STAT, sessions.session_stat_ratios(chosen, task)),
-        (results.SESSION_RANDOM_EXTRACT, sampling.sample_report(log, sample, task, total)),
+        (results.SESSION_RANDOM_EXTRACT, sampling.sample_report(log, sample, task)),
         (
             results.SESSION_DETAIL,
             categories.detail_record(
-                sampling.sample_detail(log, sample, total), task, "sample"
+                sampling.sample_detail(log, sample), task, "sample", told=told
             ),
         ),
         (results.TOP10_CATEGORY, top_categories),
@@ -65,6 +65,7 @@ def session_reports(
                 task,
                 "top_category",
                 "top_category_id",
+                told,
             ),
         ),
     ]
@@ -78,6 +79,7 @@ def run(
     total: int = sampling.DEFAULT_TOTAL,
     seed: str = "0",
     mode: str = "append",
+    told: bool = True,
 ) -> None:
     """Writes all reports; what they share is kept in the cluster's shared folder meanwhile.
 
@@ -85,7 +87,6 @@ def run(
     write of each table only.
     """
     spark = actions.sparkSession
-    size_shuffles(spark, actions)
     folder = staging.run_folder(spark, "session-analysis")
     try:
         reports = session_reports(
@@ -95,6 +96,7 @@ def run(
             total,
             seed,
             stage=lambda df, name: staging.staged(df, folder, name),
+            told=told,
         )
         written: set[str] = set()
         for table, rows in reports:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Only settings a caller has not chosen already are applied.
 DEFAULTS = {
@@ -13,6 +13,8 @@ DEFAULTS = {
     # Split a hot join key even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Top rows of a group are cut before the shuffle whatever their number.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
 }
@@ -48,28 +50,3 @@ def build_session(
         if key not in configured:
             spark.conf.set(key, value)
     return spark
-
-
-def scan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file statistics, no job is run)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def size_shuffles(
-    spark: SparkSession,
-    df: DataFrame,
-    bytes_per_partition: int = 128 * 1024 * 1024,
-    upper: int = 100_000,
-) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to fit a pass over ``df``.
-
-    Adaptive execution merges partitions that turn out small but never splits an
-    aggregation's partition, so the starting number has to follow the input.
-    """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(upper, -(-scan_bytes(df) // bytes_per_partition))
-    chosen = max(current, wanted)
-    if chosen != current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
-    return chosen

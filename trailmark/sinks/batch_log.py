@@ -9,7 +9,8 @@ Layout below the root::
 A batch reads nothing but artefacts of earlier batches, so running it again gives
 the same result. Every ``rollup_every`` batches the batches since the last rollup
 are merged, for the days they touch, so a reader opens one rollup per day and
-fewer than ``rollup_every`` batches however long the stream has run.
+fewer than ``rollup_every`` batches however long the stream has run. What a finished
+rollup replaced goes one rollup later, so folders do not pile up.
 """
 
 from __future__ import annotations
@@ -45,6 +46,11 @@ class BatchLog:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(path)
         return self._read([path])
 
+    def write_any(self, batch_id: int, rows: DataFrame) -> None:
+        """Stores a batch unless it is empty and nothing of it was stored before."""
+        if not rows.isEmpty() or self._exists(self._batch_path(batch_id)):
+            self.write(batch_id, rows)
+
     def read_before(self, batch_id: int, values: Iterable[str] | None = None) -> DataFrame:
         """Unmerged rows of all batches before ``batch_id``, only for ``values`` if given."""
         base = self._last_rollup(batch_id)
@@ -77,9 +83,30 @@ class BatchLog:
             .parquet(f"{self.root}/rollups")
         )
         self._fs_create(f"{self.root}/rollups_done/upto={batch_id}")
+        self._clean(base, touched)
+
+    def _clean(self, base: int, touched: list[str] | None) -> None:
+        """Drops what only rollups before ``base`` read: a replay starts at ``base`` at
+        the earliest, as batches before it were finished."""
+        for number in self._numbers(f"{self.root}/batches", "batch_id="):
+            if number < base:
+                self._delete(self._batch_path(number))
+        folders = [f"{self.root}/rollups"]
+        if self.by:
+            folders = [f"{folders[0]}/{self.by}={value}" for value in touched]
+        for folder in folders:
+            numbers = self._numbers(folder, "upto=")
+            newest = max((n for n in numbers if n <= base), default=0)
+            for number in numbers:
+                if number < newest:
+                    self._delete(f"{folder}/upto={number}")
+        for number in self._numbers(f"{self.root}/rollups_done", "upto="):
+            if number < base:
+                self._delete(f"{self.root}/rollups_done/upto={number}")
 
     def _values_in(self, paths: list[str]) -> list[str] | None:
-        """The days in the given batches: a handful, as batches follow the clock."""
+        """The days in the given batches: a handful, as batches follow the clock, and
+        never more than there are days in the years 1 to 9999."""
         if not self.by:
             return None
         return [row[0] for row in self._read(paths).select(self.by).distinct().collect()]
@@ -103,8 +130,8 @@ class BatchLog:
         return f"{self.root}/batches/batch_id={batch_id}"
 
     def _batch_paths(self, start: int, end: int) -> list[str]:
-        paths = (self._batch_path(number) for number in range(start, end))
-        return [path for path in paths if self._exists(path)]
+        numbers = self._numbers(f"{self.root}/batches", "batch_id=")
+        return [self._batch_path(number) for number in sorted(numbers) if start <= number < end]
 
     def _last_rollup(self, batch_id: int) -> int:
         done = self._numbers(f"{self.root}/rollups_done", "upto=")
@@ -114,10 +141,10 @@ class BatchLog:
         root = f"{self.root}/rollups"
         if not self.by:
             return [f"{root}/upto={base}"] if base and self._exists(f"{root}/upto={base}") else []
-        folders = self._names(root, f"{self.by}=")
-        if values is not None:
-            wanted = {f"{self.by}={value}" for value in values}
-            folders = [name for name in folders if name in wanted]
+        if values is None:
+            folders = self._names(root, f"{self.by}=")
+        else:
+            folders = [f"{self.by}={value}" for value in values]
         paths = []
         for folder in folders:
             newest = max(
@@ -135,6 +162,10 @@ class BatchLog:
         fs, hadoop_path = self._fs(path)
         return fs.exists(hadoop_path)
 
+    def _delete(self, path: str) -> None:
+        fs, hadoop_path = self._fs(path)
+        fs.delete(hadoop_path, True)
+
     def _fs_create(self, path: str) -> None:
         fs, hadoop_path = self._fs(path)
         fs.create(hadoop_path, True).close()

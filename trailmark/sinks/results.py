@@ -27,6 +27,9 @@ class FileTarget:
     root: str
     file_format: str = "parquet"
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        return df.hint("rebalance")
+
     def save(self, writer: DataFrameWriter, table: str) -> None:
         writer.format(self.file_format).save(f"{self.root.rstrip('/')}/{table}")
 
@@ -37,6 +40,9 @@ class CatalogTarget:
 
     database: str = "default"
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        return df.hint("rebalance")
+
     def save(self, writer: DataFrameWriter, table: str) -> None:
         writer.saveAsTable(f"{self.database}.{table}")
 
@@ -56,12 +62,16 @@ class JdbcTarget:
             | {
                 "dbtable": table,
                 "batchsize": str(self.batch_size),
-                # Spark lowers the number of writing tasks to this many connections.
                 "numPartitions": str(self.connections),
             }
             | self.extra
         )
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Rows of a report moved to as many tasks as there are connections. Spark would
+        otherwise run the scan behind them in that few tasks."""
+        return df.repartition(self.connections)
+
     def save(self, writer: DataFrameWriter, table: str) -> None:
         writer.format("jdbc").options(**self.options(table)).save()
 
@@ -70,7 +80,9 @@ Target = FileTarget | CatalogTarget | JdbcTarget
 
 
 def write_result(df: DataFrame, target: Target, table: str, mode: str = "append") -> None:
-    target.save(df.write.mode(mode), table)
+    """A report is a small part of what its scan reads, so its rows move once before they
+    are written: into few files, or over the database's connections."""
+    target.save(target.spread(df).write.mode(mode), table)
 
 
 def write_actions(actions: DataFrame, path: str, mode: str = "overwrite") -> None:

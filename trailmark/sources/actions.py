@@ -47,23 +47,30 @@ def scan_actions(
 def within_days(
     actions: DataFrame, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    """Leaves out text times outside the days of ``start`` and ``end``.
+    """Leaves out text times before the day of ``start`` or after that of ``end``.
 
     Hours may be unpadded, so times do not compare as text, but their days do. The
     comparison is on the bare column and reaches the files' statistics, which the
     exact bounds on parsed times cannot. Other column types are returned as they are.
     """
-    if start is None or end is None:
-        return actions
     if not isinstance(actions.schema["action_time"].dataType, T.StringType):
         return actions
+    text = F.col("action_time")
+    first, last = _day(start), _day(end)
+    if first is not None:
+        actions = actions.where(text >= first.isoformat())
+    if last is not None:
+        actions = actions.where(text < (last + dt.timedelta(days=1)).isoformat())
+    return actions
+
+
+def _day(bound: str | None) -> dt.date | None:
+    """The day of a date or time, None if there is none to prune by."""
     try:
-        first = dt.date.fromisoformat(start[:_DATE_LENGTH])
-        after = dt.date.fromisoformat(end[:_DATE_LENGTH]) + dt.timedelta(days=1)
+        day = dt.date.fromisoformat((bound or "")[:_DATE_LENGTH])
     except ValueError:
-        return actions
-    text = F.col("action_time")
-    return actions.where((text >= first.isoformat()) & (text < after.isoformat()))
+        return None
+    return day if day < dt.date.max else None
 
 
 def scan_clicks(

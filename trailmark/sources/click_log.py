@@ -12,6 +12,10 @@ from trailmark.schemas import CLICK_LOG_LINE
 
 _TOKENS = 5
 
+# Times from 0001-01-02 to 9999-12-30 UTC: days with four-digit years in every zone.
+FIRST_MILLIS = -62_135_510_400_000
+LAST_MILLIS = 253_402_214_399_999
+
 
 def kafka_options(
     servers: str, topics: Sequence[str], starting_offsets: str = "latest"
@@ -47,8 +51,8 @@ def read_file_lines(
 def parse_click_log(lines: DataFrame) -> DataFrame:
     """``lines`` with typed fields and a ``malformed`` flag; the raw line is kept.
 
-    A line is malformed when it has not exactly five tokens or when the time,
-    user or ad is no number.
+    A line is malformed when it has not exactly five tokens, when the time, user or ad
+    is no number, or when the time is outside the years 1 to 9999 (as nanoseconds are).
     """
     token = F.split("value", " ")
     parsed = lines.select(
@@ -62,7 +66,7 @@ def parse_click_log(lines: DataFrame) -> DataFrame:
     )
     complete = (
         (F.col("tokens") == _TOKENS)
-        & F.col("millis").isNotNull()
+        & F.col("millis").between(FIRST_MILLIS, LAST_MILLIS)
         & F.col("user_id").isNotNull()
         & F.col("ad_id").isNotNull()
     )
@@ -71,7 +75,9 @@ def parse_click_log(lines: DataFrame) -> DataFrame:
 
 def valid_clicks(parsed: DataFrame) -> DataFrame:
     """Clicks with their day in the session's time zone."""
-    time = F.timestamp_millis("millis")
+    # Checked here as well, as filters may be reordered and the conversion can fail.
+    in_range = F.col("millis").between(FIRST_MILLIS, LAST_MILLIS)
+    time = F.timestamp_millis(F.when(in_range, F.col("millis")))
     return parsed.where(~F.col("malformed")).select(
         format_date(time).alias("day"), "province", "city", "user_id", "ad_id"
     )

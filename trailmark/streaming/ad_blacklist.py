@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +22,23 @@ from trailmark.sources.click_log import malformed_lines, parse_click_log, valid_
 
 BATCH_INTERVAL = "5 seconds"
 
+# A batch's changed rows go out as (result table, rows, batch number).
+Publish = Callable[[str, DataFrame, int], None]
+
+
+def publish_changes(target: results.Target) -> Publish:
+    """Appends a batch's changed totals and new users to ``TABLE_changes``.
+
+    Rows carry their ``batch_id``, as a replayed batch appends them again: of the rows of
+    a key, one with the highest batch number holds.
+    """
+
+    def publish(table: str, rows: DataFrame, batch_id: int) -> None:
+        numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        results.write_result(numbered, target, f"{table}_changes")
+
+    return publish
+
 
 def _first_listing(rows: DataFrame) -> DataFrame:
     return rows.groupBy("user_id").agg(F.min("since_batch").alias("since_batch"))
@@ -29,6 +48,8 @@ class AdBlacklistStream:
     """State and step of the stream; everything it keeps lies below ``root``.
 
     The checkpoint is kept there too: batch numbers and stored batches belong together.
+    ``publish`` is given each batch's changed totals and new users. ``listed_elsewhere``
+    is asked in every batch for users (user_id) whom someone else has blacklisted.
     """
 
     def __init__(
@@ -37,8 +58,12 @@ class AdBlacklistStream:
         root: str,
         threshold: int = THRESHOLD,
         rollup_every: int = 100,
+        publish: Publish | None = None,
+        listed_elsewhere: Callable[[], DataFrame] | None = None,
     ):
         root = root.rstrip("/")
+        self.publish = publish
+        self.listed_elsewhere = listed_elsewhere
         self.threshold = threshold
         self.checkpoint = f"{root}/checkpoint"
         self.counts = BatchLog(
@@ -65,10 +90,12 @@ class AdBlacklistStream:
         # leaves one row per key: the join with the blacklist meets no hot user.
         parsed = parse_click_log(lines).persist()
         try:
-            listed = self.blacklist.read_before(batch_id).select("user_id").distinct()
+            listed = self.blacklist.read_before(batch_id).select("user_id")
+            if self.listed_elsewhere is not None:
+                listed = listed.union(self.listed_elsewhere().select("user_id"))
             kept = click_counts(valid_clicks(parsed)).join(listed, "user_id", "left_anti")
             batch_counts = self.counts.write(batch_id, kept)
-            self.quarantine.write(batch_id, malformed_lines(parsed))
+            self.quarantine.write_any(batch_id, malformed_lines(parsed))
         finally:
             parsed.unpersist()
 
@@ -77,9 +104,13 @@ class AdBlacklistStream:
         earlier = earlier.join(batch_counts.select(*CLICK_KEYS), list(CLICK_KEYS), "left_semi")
         totals = sum_counts(batch_counts.unionByName(earlier))
         offenders = over_threshold(totals, self.threshold).select("user_id").distinct()
-        self.blacklist.write(
+        found = self.blacklist.write(
             batch_id, offenders.withColumn("since_batch", F.lit(batch_id).cast("long"))
         )
+        if self.publish is not None:
+            changed = totals.withColumnRenamed("day", "date")
+            self.publish(results.AD_USER_CLICK_COUNT, changed, batch_id)
+            self.publish(results.AD_BLACKLIST, found.select("user_id"), batch_id)
 
     def start(self, lines: DataFrame, available_now: bool = False) -> StreamingQuery:
         """Starts the query on a streaming frame of ``value`` lines."""

@@ -567,10 +567,12 @@ SELECT event_id, keyword = '' AS is_empty, keyword <> '' AS is_not_empty,
 FROM t""",
         "ad_log_parse": _with(
             """
-SELECT event_id, epoch_us(ts) // 1000 AS millis, replace(province, ' ', '_') AS province,
+SELECT event_id,
+       epoch_us(ts) // 1000 * CASE WHEN event_id % 50 = 7 THEN 1000000 ELSE 1 END AS millis,
+       replace(province, ' ', '_') AS province,
        replace(city, ' ', '_') AS city, user_id,
        CASE WHEN event_type <> 'error' THEN ad_id END AS ad_id,
-       event_type = 'error' AS malformed
+       event_type = 'error' OR event_id % 50 = 7 AS malformed
 FROM ad_click""",
             _clicks(21600),
         ),

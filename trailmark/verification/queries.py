@@ -138,11 +138,11 @@ def _sample(v: Views) -> DataFrame:
 
 
 def session_sample(v: Views) -> DataFrame:
-    return sampling.sample_report(_log(v), _sample(v), TASK_ID, SAMPLE_TOTAL)
+    return sampling.sample_report(_log(v), _sample(v), TASK_ID)
 
 
 def session_sample_detail(v: Views) -> DataFrame:
-    detail = sampling.sample_detail(_log(v), _sample(v), SAMPLE_TOTAL)
+    detail = sampling.sample_detail(_log(v), _sample(v))
     return categories.detail_record(detail, TASK_ID, "sample").drop("top_category_id")
 
 
@@ -325,13 +325,29 @@ def ad_daily_counts(v: Views) -> DataFrame:
     return ads.ad_daily_counts(v.clicks, CLICK_THRESHOLD)
 
 
+# Streams already run, by application and input folder, with the folder they keep.
+_streams: dict[tuple[str, str], tuple[AdBlacklistStream, str]] = {}
+
+
 def _streamed(v: Views) -> AdBlacklistStream:
-    """The stream run over all clicks, one micro-batch per click batch number.
+    """The stream run over all clicks; three queries look at what one run leaves."""
+    key = v.spark.sparkContext.applicationId, v.folder
+    if key not in _streams:
+        folder = staging.run_folder(v.spark, "ad-stream")
+        _streams[key] = _run_stream(v, folder), folder
+    return _streams[key][0]
+
+
+def drop_streams(spark: SparkSession) -> None:
+    """Forgets the streams of this application and deletes what they left."""
+    application = spark.sparkContext.applicationId
+    for key in [key for key in _streams if key[0] == application]:
+        staging.drop_folder(spark, _streams.pop(key)[1])
+
 
-    Each round drops the next batch's files into the folder and restarts the query
-    from its checkpoint.
-    """
-    folder = staging.run_folder(v.spark, "ad-stream")
+def _run_stream(v: Views, folder: str) -> AdBlacklistStream:
+    """One micro-batch per click batch number: each round drops the next batch's files
+    into the folder and restarts the query from its checkpoint."""
     lines = v.click_lines(v.stream_clicks)
     lines.select("batch", "value").write.partitionBy("batch").text(f"{folder}/batches")
     stored = v.spark.read.text(f"{folder}/batches")

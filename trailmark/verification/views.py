@@ -150,15 +150,19 @@ class Views:
         return self._clicks_every(STREAM_BATCH_SECONDS)
 
     def click_lines(self, clicks: DataFrame, cut: bool = False) -> DataFrame:
-        """Log lines; with ``cut`` those of error events lack their last field.
+        """Log lines; with ``cut`` those of error events lack their last field, and one
+        event in 50 has its time in nanoseconds.
 
         A blank inside a place name becomes an underscore.
         """
         ad = "if(event_type <> 'error', ad_id, null)" if cut else "ad_id"
+        time = f"timestampdiff(MILLISECOND, {_EPOCH}, ts)"
+        if cut:
+            time = f"{time} * if(event_id % 50 = 7, 1000000L, 1L)"
         return clicks.selectExpr(
             "event_id",
             "batch",
-            f"""concat_ws(' ', string(timestampdiff(MILLISECOND, {_EPOCH}, ts)),
+            f"""concat_ws(' ', string({time}),
                 replace(province, ' ', '_'), replace(city, ' ', '_'),
                 string(user_id), string({ad})) AS value""",
         )
