@@ -1,8 +1,8 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 A score is a sum over lists, one list for each run of vector components. Phase one gathers
-the k highest entries of every list; their lower bounds give a total that k candidates
-reach. Phase two sends that total divided by the number of lists as the cutoff and
+the rows with the k highest entries of every list; their scores give a total that k
+candidates reach. Phase two sends that total divided by the number of lists as the cutoff and
 collects every entry that reaches it: a candidate below it in all lists falls short of the
 total. Phase three looks up what bounds leave open and computes those scores exactly.
 
@@ -11,7 +11,9 @@ Queries and candidates meet in blocks of a fixed size, each a group of its own.
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -56,19 +58,29 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
     return made
 
 
-def _partials(queries: pd.DataFrame, rows: pd.DataFrame, settings: Settings):
-    """(list number, first row, partial scores) of each list and tile, own rows lowest."""
-    width = max(max(map(len, queries["v"])), max(map(len, rows["v"])))
-    a, b = _matrix(queries["v"], width), _matrix(rows["v"], width)
-    if width * max(np.abs(a).max(), 1) * max(np.abs(b).max(), 1) >= _EXACT:
-        a, b = a.astype(np.int64), b.astype(np.int64)
-    own = queries["id"].to_numpy()[:, None] == rows["id"].to_numpy()[None, :]
-    cuts = np.linspace(0, width, settings.lists + 1).astype(int)
-    for part in range(settings.lists):
-        run = slice(cuts[part], cuts[part + 1])
-        for low in range(0, len(rows), settings.tile):
-            tile = slice(low, low + settings.tile)
-            yield part, low, (a[:, run] @ b[tile, run].T).astype(np.int64), own[:, tile]
+class _Block:
+    """Queries and rows of one group, with the runs of components that make the lists."""
+
+    def __init__(self, queries: pd.DataFrame, rows: pd.DataFrame, settings: Settings) -> None:
+        width = max(max(map(len, queries["v"])), max(map(len, rows["v"])))
+        a, b = _matrix(queries["v"], width), _matrix(rows["v"], width)
+        if width * max(np.abs(a).max(), 1) * max(np.abs(b).max(), 1) >= _EXACT:
+            a, b = a.astype(np.int64), b.astype(np.int64)
+        self.a, self.b, self.tile = a, b, settings.tile
+        self.query_ids, self.ids = queries["id"].to_numpy(), rows["id"].to_numpy()
+        cuts = np.linspace(0, width, settings.lists + 1).astype(int)
+        self.runs = [slice(low, high) for low, high in zip(cuts[:-1], cuts[1:])]
+
+    def tiles(self):
+        """(first row, partial scores by list, own rows) of each tile of rows."""
+        for low in range(0, len(self.ids), self.tile):
+            tile = slice(low, low + self.tile)
+            parts = [(self.a[:, run] @ self.b[tile, run].T).astype(np.int64) for run in self.runs]
+            yield low, parts, self.query_ids[:, None] == self.ids[None, tile]
+
+    def entries(self, q: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """Partial scores, by list, of the rows ``at`` for the queries ``q``."""
+        return [(self.a[q, run] * self.b[at, run]).sum(1).astype(np.int64) for run in self.runs]
 
 
 def top_inner_products(
@@ -101,55 +113,46 @@ def top_inner_products(
         wide = asked.select("*", number, copies)
         return wide.groupBy("block", F.col("slot").cast("bigint").alias("slot")).cogroup(rows)
 
+    sent = [f"sent{j}" for j in range(settings.lists)]
+    least = [f"least{j}" for j in range(settings.lists)]
+    schema = ", ".join(["query_id bigint, vec_id bigint", *(f"{name} bigint" for name in sent)])
+    names = ["query_id", "vec_id", *sent]
+
     def highest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """The k highest entries of each query and list in this block, and the list's least."""
-        made = []
-        if len(left) and len(right):
-            ids, best, least = right["id"].to_numpy(), {}, {}
-            for part, low, partial, own in _partials(left, right, settings):
+        """Rows with one of the k highest entries of a list, all their entries, and the
+        least entry that each list has for the query in this block."""
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=[*names, *least])
+        block = _Block(left, right, settings)
+        best = [None] * settings.lists
+        floors = [None] * settings.lists
+        for low, parts, own in block.tiles():
+            for j, partial in enumerate(parts):
                 floor = np.where(own, np.iinfo(np.int64).max, partial).min(1)
-                least[part] = np.minimum(least.get(part, floor), floor)
+                floors[j] = floor if floors[j] is None else np.minimum(floors[j], floor)
                 partial[own] = np.iinfo(np.int64).min
-                names = np.broadcast_to(ids[low : low + partial.shape[1]], partial.shape)
-                if part in best:
-                    partial = np.hstack([best[part][0], partial])
-                    names = np.hstack([best[part][1], names])
+                at = np.broadcast_to(np.arange(low, low + partial.shape[1]), partial.shape)
+                if best[j] is not None:
+                    partial = np.hstack([best[j][0], partial])
+                    at = np.hstack([best[j][1], at])
                 keep = min(k, partial.shape[1])
-                at = np.argpartition(-partial, keep - 1, axis=1)[:, :keep]
-                best[part] = np.take_along_axis(partial, at, 1), np.take_along_axis(names, at, 1)
-            for part, (partial, names) in best.items():
-                frame = pd.DataFrame(
-                    {
-                        "query_id": np.repeat(left["id"].to_numpy(), partial.shape[1]),
-                        "list": part,
-                        "vec_id": names.ravel(),
-                        "partial": partial.ravel(),
-                        "least": np.repeat(least[part], partial.shape[1]),
-                    }
-                )
-                made.append(frame[frame["partial"] > np.iinfo(np.int64).min])
-        return pd.concat(made) if made else pd.DataFrame(columns=["query_id", "list", "vec_id", "partial", "least"])
-
-    schema = "query_id bigint, list int, vec_id bigint, partial bigint"
-    local = stored(met(queries).applyInPandas(highest, schema + ", least bigint"), "topk-local")
-    floors = local.groupBy("query_id", "list").agg(F.min("least").alias("least"))
-    floors = floors.groupBy("query_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("list", "least"))).alias("least")
-    )
-
-    def bounds(entries: DataFrame, missing: Column) -> Column:
-        """Sum over lists of a candidate's partial, or of ``missing`` where it was not sent."""
-        lists = F.sequence(F.lit(0), F.lit(settings.lists - 1))
-        return F.aggregate(
-            lists,
-            F.lit(0).cast("bigint"),
-            lambda total, j: total + F.coalesce(F.try_element_at("sent", j), missing(j)),
-        )
-
-    def by_candidate(entries: DataFrame) -> DataFrame:
-        sent = F.map_from_entries(F.collect_list(F.struct("list", "partial"))).alias("sent")
-        wide = entries.groupBy("query_id", "vec_id").agg(sent).join(floors, "query_id")
-        return wide.withColumn("low", bounds(wide, lambda j: F.element_at("least", j)))
+                chosen = np.argpartition(-partial, keep - 1, axis=1)[:, :keep]
+                best[j] = tuple(np.take_along_axis(x, chosen, 1) for x in (partial, at))
+        q = np.concatenate([np.repeat(np.arange(len(left)), x.shape[1]) for x, _ in best])
+        at = np.concatenate([x.ravel() for _, x in best])
+        real = np.concatenate([x.ravel() for x, _ in best]) > np.iinfo(np.int64).min
+        q, at = np.unique(np.stack([q[real], at[real]]), axis=1)
+        made = {"query_id": block.query_ids[q], "vec_id": block.ids[at]}
+        made |= dict(zip(sent, block.entries(q, at)))
+        made |= {name: floors[j][q] for j, name in enumerate(least)}
+        return pd.DataFrame(made)
+
+    floor_schema = ", ".join(f"{name} bigint" for name in least)
+    local = stored(met(queries).applyInPandas(highest, f"{schema}, {floor_schema}"), "topk-local")
+    floors = local.groupBy("query_id").agg(*(F.min(name).alias(name) for name in least))
+
+    def total(parts) -> Column:
+        return reduce(operator.add, parts)
 
     best_first = W.partitionBy("query_id").orderBy(F.desc("low"), "vec_id")
 
@@ -163,31 +166,35 @@ def top_inner_products(
         )
 
     least_of_all = F.lit(np.iinfo(np.int64).min // 4)
-    entries = local.select("query_id", "list", "vec_id", "partial")
     cutoff = F.coalesce(F.ceil(F.col("total") / settings.lists), least_of_all)
-    cutoffs = reached(by_candidate(entries)).select("query_id", cutoff.alias("cutoff"))
-    cutoffs = stored(cutoffs, "topk-cutoffs")
+    known = local.withColumn("low", total(F.col(name) for name in sent))
+    cutoffs = reached(known).join(floors, "query_id")
+    cutoffs = stored(cutoffs.select("query_id", cutoff.alias("cutoff"), *least), "topk-cutoffs")
     asked = stored(queries.join(cutoffs.withColumnRenamed("query_id", "id"), "id"), "topk-asked")
 
     def sufficient(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Every entry that reaches its query's cutoff."""
+        """Every entry that reaches its query's cutoff, entries of one row side by side."""
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=names)
+        block, cut = _Block(left, right, settings), left["cutoff"].to_numpy()
         made = []
-        if len(left) and len(right):
-            ids, names = left["id"].to_numpy(), right["id"].to_numpy()
-            cut = left["cutoff"].to_numpy()[:, None]
-            for part, low, partial, own in _partials(left, right, settings):
-                q, v = np.nonzero((partial >= cut) & ~own)
-                made.append(
-                    pd.DataFrame(
-                        {"query_id": ids[q], "list": part, "vec_id": names[low + v], "partial": partial[q, v]}
-                    )
-                )
-        return pd.concat(made) if made else pd.DataFrame(columns=["query_id", "list", "vec_id", "partial"])
-
-    found = by_candidate(met(asked).applyInPandas(sufficient, schema))
-    found = found.join(cutoffs, "query_id")
-    found = found.withColumn("high", bounds(found, lambda j: F.col("cutoff") - 1))
-    found = stored(found.select("query_id", "vec_id", "low", "high"), "topk-entries")
+        for low, parts, own in block.tiles():
+            over = [(partial >= cut[:, None]) & ~own for partial in parts]
+            q, v = np.nonzero(np.logical_or.reduce(over))
+            frame = {"query_id": block.query_ids[q], "vec_id": block.ids[low + v]}
+            for name, partial, held in zip(sent, parts, over):
+                frame[name] = pd.arrays.IntegerArray(partial[q, v], ~held[q, v])
+            made.append(pd.DataFrame(frame))
+        return pd.concat(made)
+
+    found = met(asked).applyInPandas(sufficient, schema).join(cutoffs, "query_id")
+    found = found.select(
+        "query_id",
+        "vec_id",
+        total(F.coalesce(s, f) for s, f in zip(sent, least)).alias("low"),
+        total(F.coalesce(F.col(s), F.col("cutoff") - 1) for s in sent).alias("high"),
+    )
+    found = stored(found, "topk-entries")
     open_ = found.join(reached(found), "query_id").where(
         F.col("total").isNull() | (F.col("high") >= F.col("total"))
     )
