@@ -529,11 +529,13 @@ def one_of_each(
         rows.where("n = 0").select("id", "content")
     )
     kept = kept.select(F.struct("id", "content").alias("row_key")).distinct()
-    named = docs.withColumn(
-        "row_key",
-        F.struct(docs[id_col].alias("id"), F.xxhash64(text_of(text_col)).alias("content")),
+    named = docs.select(
+        F.struct(*(docs[name] for name in docs.columns)).alias("row"),
+        F.struct(docs[id_col].alias("id"), F.xxhash64(text_of(text_col)).alias("content")).alias(
+            "row_key"
+        ),
     )
-    return named.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
+    return named.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
 
 
 def _grouped(rows: DataFrame, groups: DataFrame, first) -> DataFrame:

@@ -142,7 +142,7 @@ def _plan(documents: DataFrame, mix: Mix) -> DataFrame:
     upto = W.partitionBy(*LEVELS).orderBy("range")
     ranges = ranges.withColumn("upto", F.sum("n").over(upto))
     # The first range that does not fit whole is the one the prefix ends in.
-    cut = ranges.where(F.col("upto") > F.col("rest")).groupBy(*LEVELS).agg(
+    cut = ranges.where("rest > 0 AND upto > rest").groupBy(*LEVELS).agg(
         F.min(F.struct("range", (F.col("upto") - F.col("n")).alias("before"))).alias("cut")
     )
     cut = cut.select(*LEVELS, F.col("cut.range").alias("range"), F.col("cut.before").alias("before"))
@@ -155,7 +155,7 @@ def _plan(documents: DataFrame, mix: Mix) -> DataFrame:
     bounds = cut.join(last, list(LEVELS), "left").select(
         *LEVELS, F.coalesce("last", "range").alias("last")
     )
-    # Without a cut the rest is 0 tokens of an empty leaf, or the leaf has no rows at all.
+    # Without a cut the leaf takes no part of an epoch.
     return leaves.join(bounds, list(LEVELS), "left").select(*LEVELS, "epochs", "last")
 
 

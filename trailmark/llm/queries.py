@@ -14,6 +14,7 @@ from trailmark.llm import (
     licenses,
     lm,
     mixing,
+    oracle,
     quality,
     repeats,
     token_counts,
@@ -143,4 +144,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Twins of what SQL can express; the others are tested against brute force."""
+    return {
+        "op1_mix_sources": oracle.mix_sources(MIX),
+        "op5_ngram_jaccard": oracle.NGRAM_JACCARD,
+        "op7_top_k": oracle.TOP_K,
+    }

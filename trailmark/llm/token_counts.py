@@ -129,6 +129,7 @@ def append_misses(
 
     once = texts.join(chosen, ["content", "row_id"], "left_semi")
     encoded = once.select("content", "text").mapInArrow(run, "content string, n_tokens bigint")
+    encoded = encoded.dropDuplicates(["content"])  # rows may repeat an id and a text
     encoded.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode(
         "append"
     ).parquet(cache_path)
@@ -151,7 +152,7 @@ def count_tokens(
     """
     append_misses(docs, tokenizer_path, cache_path, id_col, text_col, by_piece)
     spark = docs.sparkSession
-    # Repeated rows and writers that met the same miss leave equal entries: one is enough.
+    # Writers that met the same miss leave equal entries: one is enough.
     known = (
         read_cache(spark, cache_path)
         .where(F.col("tokenizer") == tokenizer_digest(tokenizer_path))
