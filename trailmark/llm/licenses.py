@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import text_of
+from trailmark.llm.common import hash_sample, text_of
 
 UNKNOWN = "unknown"
 
@@ -236,11 +236,11 @@ def fit(negatives: list[str], settings: Settings = Settings(), templates=None) -
 
 def train(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> Model:
     """Fits on the templates and ``settings.sample`` paragraphs of the corpus: those with
-    the smallest hashes, found by a limit in every task before one over all."""
+    the smallest hashes."""
     line = F.explode(F.split(text_of(text_col), "\n")).alias("line")
     place = F.xxhash64("line", F.lit(settings.seed))
     lines = docs.select(line).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
-    rows = lines.orderBy(place, "line").limit(settings.sample).collect()
+    rows = hash_sample(lines, place, settings.sample, "line").collect()
     return fit([row.line for row in rows], settings)
 
 

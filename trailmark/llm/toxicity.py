@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import crc_of, text_of
+from trailmark.llm.common import crc_of, hash_sample, text_of
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -162,13 +162,11 @@ def train(
     Terms are hashed on the executors; the driver gets the term hashes of at most
     ``settings.sample`` texts. Rows without an id, a label or a text teach nothing.
     """
-    wanted = (
-        labels.select(labels[id_col].alias("id"), labels[label_col].cast("double").alias("label"))
-        .where("id is not null and label is not null")
-        .withColumn("place", F.xxhash64(F.col("id").cast("string"), F.lit(settings.seed)))
-        .orderBy("place", "id", "label")
-        .limit(settings.sample)
-    )
+    marked = labels.select(
+        labels[id_col].alias("id"), labels[label_col].cast("double").alias("label")
+    ).where("id is not null and label is not null")
+    place = F.xxhash64(F.col("id").cast("string"), F.lit(settings.seed))
+    wanted = hash_sample(marked, place, settings.sample, "id", "label")
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     texts = texts.where("text is not null")
 
@@ -181,7 +179,7 @@ def train(
             yield pa.RecordBatch.from_arrays(columns, [*keep, "terms"])
 
     # At most ``sample`` rows of an id and a label: a size bound that a broadcast may have.
-    labelled = texts.join(F.broadcast(wanted.drop("place")), "id").select("id", "label", "text")
+    labelled = texts.join(F.broadcast(wanted), "id").select("id", "label", "text")
     kind = labelled.schema["id"].dataType.simpleString()
     found = labelled.mapInArrow(run, f"id {kind}, label double, terms array<int>").toArrow()
     rows = sorted(
