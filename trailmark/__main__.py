@@ -19,7 +19,7 @@ from trailmark.session import build_session
 from trailmark.sinks.results import CatalogTarget, FileTarget, JdbcTarget, Target
 from trailmark.sources.actions import read_table
 from trailmark.sources.click_log import read_file_lines, read_kafka_lines
-from trailmark.sources.dimensions import JdbcConnection, read_jdbc
+from trailmark.sources.dimensions import JdbcConnection, JdbcSplit, read_jdbc
 from trailmark.sources.tasks import find_task
 from trailmark.streaming.ad_blacklist import AdBlacklistStream
 
@@ -37,6 +37,13 @@ def _arguments() -> argparse.ArgumentParser:
     database.add_argument("--jdbc-url")
     database.add_argument("--jdbc-user")
     database.add_argument("--jdbc-driver")
+    database.add_argument(
+        "--jdbc-split",
+        action="append",
+        default=[],
+        metavar="TABLE=COLUMN,LOWER,UPPER,PARTITIONS",
+        help="read a large table in so many ranges of a numeric column",
+    )
 
     for job in ("session", "page", "product"):
         task = jobs.add_parser(job, parents=[database])
@@ -83,9 +90,22 @@ def _connection(options: argparse.Namespace) -> JdbcConnection:
     return JdbcConnection(options.jdbc_url, options.jdbc_user, password, options.jdbc_driver)
 
 
+def _split(options: argparse.Namespace, table: str) -> JdbcSplit | None:
+    for text in options.jdbc_split:
+        name, _, parts = text.partition("=")
+        if name == table:
+            try:
+                column, lower, upper, partitions = parts.split(",")
+                return JdbcSplit(column, int(lower), int(upper), int(partitions))
+            except ValueError:
+                raise SystemExit(f"--jdbc-split: cannot read {text!r}") from None
+    return None
+
+
 def _source(spark: SparkSession, name: str, options: argparse.Namespace) -> DataFrame:
     if name.startswith(_JDBC):
-        return read_jdbc(spark, _connection(options), name.removeprefix(_JDBC))
+        table = name.removeprefix(_JDBC)
+        return read_jdbc(spark, _connection(options), table, _split(options, table))
     return read_table(spark, name)
 
 

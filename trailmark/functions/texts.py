@@ -82,11 +82,7 @@ def with_record_field(record: Column, field: str, value: str, delimiter: str = "
     """
     mark = _quoted(delimiter)
     record = F.regexp_replace(record, f"{mark}+\\z", "")
-    part = F.lit(_part_pattern(field, f"(?:=[^{mark}]*)?", delimiter))
-    old = F.regexp_substr(record, part)
-    new = F.concat(
-        F.when(F.startswith(old, F.lit(delimiter)), F.lit(delimiter)).otherwise(F.lit("")),
-        F.lit(f"{field}={value}"),
-    )
-    changed = F.overlay(record, new, F.regexp_instr(record, part), F.length(old))
-    return F.when(old.isNull(), record).otherwise(changed)
+    # The shortest text before a whole part of that name: the first such part.
+    part = f"(?s)\\A((?:.*?{mark})??){_quoted(field)}(?:=[^{mark}]*)?(?={mark}|\\z)"
+    new = "".join(ch if ch.isalnum() else "\\" + ch for ch in f"{field}={value}")
+    return F.regexp_replace(record, part, f"$1{new}")
