@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -22,7 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder all executors can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="trailmark-")
+        made = tempfile.mkdtemp(prefix="trailmark-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _local_folders[application] = made
     return _local_folders[application]
 
 
