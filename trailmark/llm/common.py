@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,11 +19,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which all executors reach.
 
-    A session without that setting (tests, one machine) gets a temporary folder.
+    A session without that setting gets a temporary folder on one machine (tests), and is
+    an error on a cluster.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="trailmark-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
