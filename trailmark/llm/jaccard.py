@@ -121,25 +121,37 @@ def _index(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _summed(parts: DataFrame, *by: str) -> DataFrame:
-    """Adds up sketch parts as they stream by; a task holds sums, never a group."""
+    """Adds up sketch parts as they stream by in order: a task holds one sum at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int], np.ndarray] = {}
+        total = np.zeros(1 << _PART, np.int64)
+        now = None
+
+        def made() -> pa.RecordBatch:
+            at = np.flatnonzero(total)
+            count = np.minimum(total[at], 2**32 - 1)
+            blob = zlib.compress(at.astype("<u2").tobytes() + count.astype("<u4").tobytes(), 1)
+            row = zip((*now, blob), (pa.int32(), pa.int32(), pa.binary()))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([value], kind) for value, kind in row], ["part", "salt", "counts"]
+            )
+
         for batch in batches:
-            rows = zip(batch.column("part").to_pylist(), batch.column("salt").to_pylist(), batch.column("counts"))
-            for part, salt, blob in rows:
+            numbers = zip(batch.column("part").to_pylist(), batch.column("salt").to_pylist())
+            for own, blob in zip(numbers, batch.column("counts")):
+                if own != now:
+                    if now is not None:
+                        yield made()
+                    now = own
+                    total[:] = 0
                 raw = zlib.decompress(blob.as_py())
                 n = len(raw) // 6
-                total = sums.setdefault((part, salt), np.zeros(1 << _PART, np.int64))
                 total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<u4", n, 2 * n)
-        for (part, salt), total in sums.items():
-            at = np.flatnonzero(total)
-            count = np.minimum(total[at], 2**32 - 1)
-            blob = zlib.compress(at.astype("<u2").tobytes() + count.astype("<u4").tobytes(), 1)
-            columns = [pa.array([part], pa.int32()), pa.array([salt], pa.int32()), pa.array([blob], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "salt", "counts"])
+        if now is not None:
+            yield made()
 
-    return parts.repartition(*by).mapInArrow(run, "part int, salt int, counts binary")
+    dealt = parts.repartition(*by).sortWithinPartitions("part", "salt")
+    return dealt.mapInArrow(run, "part int, salt int, counts binary")
 
 
 def _levels(index: DataFrame, settings: Settings) -> np.ndarray:
