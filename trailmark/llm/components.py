@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trailmark.llm.common import stored
@@ -13,23 +12,23 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (x, y); a component is its least node.
 
     Alternating stars: a round links each node's larger neighbours to its least one, then
-    its smaller ones, until nothing changes. A hub's neighbours stay rows of a window, and
-    every round ends in the shared folder. Rounds grow with the logarithm of the path
-    lengths.
+    its smaller ones, until nothing changes. A hub's neighbours are rows of a join, which
+    adaptive execution splits, and every round ends in the shared folder. Rounds grow with
+    the logarithm of the path lengths.
     """
     now = stored(edges.where("x <> y").select("x", "y").distinct(), "edges")
     before = None
     while True:
         both = now.select("x", "y").union(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        least = F.least("x", F.min("y").over(W.partitionBy("x")))
-        large = both.withColumn("m", least).where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y"))
+        large = both.join(_least(both), "x").where("y > x").select(
+            F.col("y").alias("x"), F.least("x", "m").alias("y")
+        )
         # Each node keeps its least neighbour, and hands it to its other smaller ones.
         down = large.where("x <> y").select(
             F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")
         ).distinct()
-        m = F.min("y").over(W.partitionBy("x"))
-        small = down.withColumn("m", m).select(F.col("y").alias("x"), F.col("m").alias("y"))
-        kept = small.where("x <> y").union(down.groupBy("x").agg(F.min("y").alias("y")))
+        small = down.join(_least(down), "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
+        kept = small.where("x <> y").union(_least(down).withColumnRenamed("m", "y"))
         after = stored(kept.distinct(), "edges")
         mark = tuple(after.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
         now = after
@@ -39,3 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     leaves = now.select(F.col("x").alias("node"), F.col("y").alias("component"))
     roots = now.select(F.col("y").alias("node"), F.col("y").alias("component"))
     return leaves.union(roots).distinct()
+
+
+def _least(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("x").agg(F.min("y").alias("m"))

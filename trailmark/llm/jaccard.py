@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm import bloom
@@ -451,7 +451,7 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return named.where(~same).select("key", "n", "other", "other_n")
 
 
-def _links(open_: DataFrame, sets: DataFrame, links: DataFrame | None, settings: Settings, rounds: int = 3):
+def _links(open_: DataFrame, sets: DataFrame, links: DataFrame | None, settings: Settings, rounds: int = 2):
     """Links among ``open_`` pairs that, with ``links``, join all that all of them join.
 
     Each round verifies a pair or so for every entity, then drops the pairs that fell
@@ -464,7 +464,7 @@ def _links(open_: DataFrame, sets: DataFrame, links: DataFrame | None, settings:
         found = _verified(chosen, sets, settings)
         links = stored(found if links is None else links.union(found), "jaccard-links")
         if turn < rounds - 1:
-            groups = components(links.select(F.col("key").alias("x"), F.col("other").alias("y")))
+            groups = _groups(links, open_.sparkSession)
             rest = open_.join(chosen.select("key", "other"), ["key", "other"], "left_anti")
             open_ = stored(_apart(rest, groups), "jaccard-open")
     return links
@@ -472,13 +472,14 @@ def _links(open_: DataFrame, sets: DataFrame, links: DataFrame | None, settings:
 
 def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     """The rows (id, content, n, key), and the components (node, component) of linked keys."""
+    spark = docs.sparkSession
     texts = docs.select(
         docs[id_col].alias("id"),
         text_of(text_col).alias("text"),
         F.xxhash64(text_of(text_col)).alias("content"),
     )
     index = _index(texts, settings)
-    sent = docs.sparkSession.sparkContext.broadcast(_levels(index, settings))
+    sent = spark.sparkContext.broadcast(_levels(index, settings))
     proposed = stored(_pairs(_buckets(texts, sent, settings), settings, grouped=False), "jaccard-pairs")
     pairs = proposed.where("token is null").select(*PAIR).dropDuplicates(["key", "other"])
     make, agree = _filters(sent, settings)
@@ -490,9 +491,9 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
 
     near = filtered(pairs, "near")
     links = _links(near, _entities(texts, index, near, whole, "near-sets"), None, settings)
-    if links is not None:
-        groups = components(links.select(F.col("key").alias("x"), F.col("other").alias("y")))
-        large = proposed.where("token is not null").select("token", "key", "n")
+    groups = _groups(links, spark)
+    large = proposed.where("token is not null").select("token", "key", "n")
+    if not large.isEmpty():
         named = large.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
             "token", "key", "n", F.coalesce("component", "key").alias("component")
         )
@@ -501,12 +502,16 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
         if not rest.isEmpty():
             far = filtered(rest, "far")
             links = _links(far, _entities(texts, index, far, whole, "far-sets"), links, settings)
-        groups = components(links.select(F.col("key").alias("x"), F.col("other").alias("y")))
-    else:
-        groups = docs.sparkSession.createDataFrame([], "node binary, component binary")
+            groups = _groups(links, spark)
     return index.where("key is not null").select("id", "content", "n", "key"), groups
 
 
+def _groups(links: DataFrame | None, spark: SparkSession) -> DataFrame:
+    if links is None:
+        return spark.createDataFrame([], "node binary, component binary")
+    return components(links.select(F.col("key").alias("x"), F.col("other").alias("y")))
+
+
 def similar_groups(
     docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
