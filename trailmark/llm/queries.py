@@ -21,12 +21,13 @@ from trailmark.llm import (
     topk,
     toxicity,
 )
-from trailmark.llm.common import shared_folder
+from trailmark.llm.common import make_importable, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    make_importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
