@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm import bpe, jaccard, mixing, repeats, toxicity
-from trailmark.llm.common import stored
+from trailmark.llm.common import make_importable, stored
 from trailmark.llm.queries import MIX
 
 # Stages without a SQL form (a trained model, byte spans): tested against brute force.
@@ -22,12 +22,14 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 def toxic_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, fitted on the labelled ones, does not reject."""
+    make_importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.train(docs, labels))
 
 
 def near_duplicates_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones."""
+    make_importable(spark)
     return jaccard.one_of_each(docs)
 
 
@@ -35,6 +37,7 @@ def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Texts without the strings of 200 bytes that also start elsewhere. Every row stays,
     with ``n_chars`` of the text it has left; the halves of a character that a cut went
     through go with it."""
+    make_importable(spark)
     others = [name for name in docs.columns if name != "text"]
     told = docs.select(F.struct(*others).alias("row"), "text")
     cut = repeats.with_text(repeats.remove_repeats(told, id_col="row"))
@@ -52,6 +55,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, decoded_sha256) of every row."""
+    make_importable(spark)
     ranks = public_tokenizers.path(RANKS)
     told = docs.select(F.struct("doc_id", "lang", "source").alias("row"), "text")
     ids = bpe.encode(told, ranks, public_tokenizers.PATTERN, id_col="row")
