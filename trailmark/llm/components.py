@@ -19,14 +19,12 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.where("x <> y").select("x", "y").distinct(), "edges")
     before = None
     while True:
-        both = now.select("x", "y").union(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        both = now.union(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
         large = both.join(_least(both), "x").where("y > x").select(
             F.col("y").alias("x"), F.least("x", "m").alias("y")
         )
         # Each node keeps its least neighbour, and hands it to its other smaller ones.
-        down = large.where("x <> y").select(
-            F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")
-        ).distinct()
+        down = large.where("x <> y")
         small = down.join(_least(down), "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
         kept = small.where("x <> y").union(_least(down).withColumnRenamed("m", "y"))
         after = stored(kept.distinct(), "edges")

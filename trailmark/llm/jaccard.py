@@ -7,9 +7,9 @@ they deal out tokens of like counts. Buckets of the first order propose pairs; a
 lives on only if the prefixes of the other orders meet as well and the counts of tokens
 by hash class leave room for enough common ones. What is left is verified exactly.
 
-Equal sets are one entity from the start. Components, not all links, are asked for, so a
-pair inside one component is never verified: large buckets first propose neighbours in a
-few seeded orders, and only pairs still between components are proposed in full.
+Equal sets are one entity from the start. Components, not all links, are asked for, so
+large buckets first propose neighbours in a few seeded orders, and then only pairs that are
+still between components.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm import bloom
@@ -430,46 +430,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
     return _meet(pairs, sets, agree)
 
 
-def _one_each(pairs: DataFrame) -> DataFrame:
-    """At least one pair for every entity that has any: its least by hash."""
-    sides = pairs.select("*", F.col("key").alias("side")).union(
-        pairs.select("*", F.col("other").alias("side"))
-    )
-    chosen = sides.groupBy("side").agg(
-        F.min(F.struct(F.xxhash64("key", "other").alias("h"), "key", "n", "other", "other_n")).alias("p")
-    )
-    return chosen.select("p.key", "p.n", "p.other", "p.other_n").distinct()
-
-
-def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs whose entities are in different components; an unknown entity is alone."""
-    named = (
-        pairs.join(groups.select(F.col("node").alias("key"), F.col("component").alias("a")), "key", "left")
-        .join(groups.select(F.col("node").alias("other"), F.col("component").alias("b")), "other", "left")
-    )
-    same = F.coalesce("a", "key") == F.coalesce("b", "other")
-    return named.where(~same).select("key", "n", "other", "other_n")
-
-
-def _links(open_: DataFrame, sets: DataFrame, links: DataFrame | None, settings: Settings, rounds: int = 2):
-    """Links among ``open_`` pairs that, with ``links``, join all that all of them join.
-
-    Each round verifies a pair or so for every entity, then drops the pairs that fell
-    inside a component; the last round verifies whatever is left.
-    """
-    for turn in range(rounds):
-        if open_.isEmpty():
-            break
-        chosen = stored(_one_each(open_), "jaccard-chosen") if turn < rounds - 1 else open_
-        found = _verified(chosen, sets, settings)
-        links = stored(found if links is None else links.union(found), "jaccard-links")
-        if turn < rounds - 1:
-            groups = _groups(links, open_.sparkSession)
-            rest = open_.join(chosen.select("key", "other"), ["key", "other"], "left_anti")
-            open_ = stored(_apart(rest, groups), "jaccard-open")
-    return links
-
-
 def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     """The rows (id, content, n, key), and the components (node, component) of linked keys."""
     spark = docs.sparkSession
@@ -489,9 +449,13 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
         marks = _entities(texts, index, pairs, make, f"{name}-marks")
         return stored(_meet(pairs, marks, agree), f"jaccard-{name}")
 
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        sets = _entities(texts, index, pairs, whole, f"{name}-sets")
+        return stored(_verified(pairs, sets, settings), f"jaccard-{name}-links")
+
     near = filtered(pairs, "near")
-    links = _links(near, _entities(texts, index, near, whole, "near-sets"), None, settings)
-    groups = _groups(links, spark)
+    links = verified(near, "near")
+    groups = _groups(links)
     large = proposed.where("token is not null").select("token", "key", "n")
     if not large.isEmpty():
         named = large.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
@@ -500,15 +464,11 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
         rest = _pairs(named, settings, grouped=True).select(*PAIR).dropDuplicates(["key", "other"])
         rest = stored(rest.join(pairs, ["key", "other"], "left_anti"), "jaccard-rest")
         if not rest.isEmpty():
-            far = filtered(rest, "far")
-            links = _links(far, _entities(texts, index, far, whole, "far-sets"), links, settings)
-            groups = _groups(links, spark)
+            groups = _groups(links.union(verified(filtered(rest, "far"), "far")))
     return index.where("key is not null").select("id", "content", "n", "key"), groups
 
 
-def _groups(links: DataFrame | None, spark: SparkSession) -> DataFrame:
-    if links is None:
-        return spark.createDataFrame([], "node binary, component binary")
+def _groups(links: DataFrame) -> DataFrame:
     return components(links.select(F.col("key").alias("x"), F.col("other").alias("y")))
 
 
