@@ -8,12 +8,12 @@ import pytest
 
 from tests.frames import table, tuples
 from trailmark import __main__ as command
-from trailmark.operators import categories, sampling
+from trailmark.operators import categories
 from trailmark.params import ParamError
 from trailmark.plans.session_analysis import session_reports
 from trailmark.schemas import TASK
 from trailmark.sinks import results
-from trailmark.sources.dimensions import JdbcConnection
+from trailmark.sources.dimensions import JdbcConnection, JdbcSplit
 from trailmark.verification import queries
 from trailmark.verification.views import Views
 
@@ -126,7 +126,7 @@ def test_product_job(spark, inputs, tmp_path):
 
 def test_sample_and_top_sessions_stay_within_their_bounds(spark):
     views = Views(spark, FOLDER)
-    assert queries._sample(views).count() <= queries.SAMPLE_TOTAL <= sampling.BROADCAST_SESSIONS
+    assert queries._sample(views).count() <= queries.SAMPLE_TOTAL
     bound = categories.TOP_CATEGORIES * categories.TOP_SESSIONS
     assert queries.category_top_sessions(views).count() <= bound
 
@@ -156,7 +156,10 @@ def test_jdbc_names_reach_the_database(monkeypatch, spark):
     options = command._arguments().parse_args(line.split())
     command._source(spark, options.cities, options)
     connection = JdbcConnection("u", "me", "secret", None)
-    assert seen == [(connection, "city_info")]
+    assert seen == [(connection, "city_info", None)]
+    options.jdbc_split = ["city_info=city_id,0,100,4"]
+    command._source(spark, options.cities, options)
+    assert seen[1] == (connection, "city_info", JdbcSplit("city_id", 0, 100, 4))
     assert command._target(options) == results.JdbcTarget(connection)
     options.jdbc_url = None
     with pytest.raises(SystemExit, match="jdbc-url"):

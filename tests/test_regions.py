@@ -54,8 +54,13 @@ def test_days_of_text_times_are_compared_in_the_files(spark, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(action_time,2020-05-01)" in plan
 
-    assert within_days(log, "2020-05-01", None) is log
-    assert within_days(log, "2020-5-1", "2020-05-02") is log
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    assert tuples(within_days(stored, "2020-05-02", None), "event_id") == [(2,), (3,)]
+    assert tuples(within_days(stored, None, "2020-04-30"), "event_id") == [(0,)]
+    for bounds in (("2020-05-02", None), ("2020-5-1", "2020-05-02")):
+        plan = within_days(stored, *bounds)._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [IsNotNull(action_time), " in plan
+    assert within_days(log, "2020-5-1", None) is log
     parsed = with_action_time(log)
     assert within_days(parsed, "2020-05-01", "2020-05-02") is parsed
 
