@@ -186,8 +186,8 @@ def _prefix(tokens: np.ndarray, levels: np.ndarray, order: int, settings: Settin
 
 
 def _buckets(docs: DataFrame, sent, settings: Settings) -> DataFrame:
-    """(token, key, n): each entity's prefix in the first order. Tokens that the sketch has
-    seen once are in no other set. A task sends an entity once, however many copies it has."""
+    """(token, key, n): each entity's prefix in the first order. A task sends an entity
+    once, however many copies it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = sent.value
@@ -201,7 +201,6 @@ def _buckets(docs: DataFrame, sent, settings: Settings) -> DataFrame:
                     continue
                 seen.add(key)
                 first = _prefix(made, levels, 0, settings)
-                first = first[levels[first & np.uint64(len(levels) - 1)] > 1]
                 tokens.append(first)
                 keys.append(key)
                 sizes.append(len(made))
@@ -248,12 +247,18 @@ def _bucket_pairs(keys, sizes, groups, large: bool, settings: Settings):
             yield left, right
 
 
+def _room(marks: list[bytes], classes: int) -> np.ndarray:
+    """The counts by hash class of each mark, which they end in."""
+    return np.stack([np.frombuffer(mark, np.uint8)[-classes:] for mark in marks])
+
+
 def _pairs(buckets: DataFrame, settings: Settings, grouped: bool) -> DataFrame:
     """Pairs (key, n, other, other_n) that buckets propose, key < other, with repeats.
 
     Large buckets first propose neighbours, and their members come out as well (token,
-    key, n). With ``grouped`` (such members with a ``component``) they propose all pairs
-    between components. A bucket streams through one task, never through a group.
+    key, n). With ``grouped`` (such members with a ``component`` and their ``data`` for the
+    filters) they propose the pairs between components that the count filter leaves. A
+    bucket streams through one task, never through a group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,6 +270,7 @@ def _pairs(buckets: DataFrame, settings: Settings, grouped: bool) -> DataFrame:
             cuts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
             keys, sizes = table["key"].to_pylist(), table["n"].to_numpy()
             names = table["component"].to_pylist() if grouped else keys
+            marks = table["data"].to_pylist() if grouped else None
             made: list[tuple] = []
             for low, high in zip(cuts[:-1], cuts[1:]):
                 if high - low < 2:
@@ -283,8 +289,15 @@ def _pairs(buckets: DataFrame, settings: Settings, grouped: bool) -> DataFrame:
                     groups = np.array([numbers.setdefault(names[i], len(numbers)) for i in at])
                     if len(numbers) < 2:
                         continue
+                    room = _room([marks[i] for i in at], settings.classes)
                 for left, right in _bucket_pairs(bucket, sizes[at], groups, large and not grouped, settings):
                     near = _close(sizes[at[left]], sizes[at[right]], settings.percent)
+                    if grouped and near.any():
+                        left, right = left[near], right[near]
+                        both = np.minimum(room[left[0]], room[right])
+                        common = both.sum(1, dtype=np.int64)
+                        near = enough(common, sizes[at[left]], sizes[at[right]], settings.percent)
+                        near |= (both == 255).any(1)  # a full class says nothing
                     for a, b in zip(left[near].tolist(), right[near].tolist()):
                         x, y = bucket[a], bucket[b]
                         n, m = sizes[at[a]], sizes[at[b]]
@@ -458,8 +471,10 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     groups = _groups(links)
     large = proposed.where("token is not null").select("token", "key", "n")
     if not large.isEmpty():
-        named = large.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
-            "token", "key", "n", F.coalesce("component", "key").alias("component")
+        marks = _entities(texts, index, large.select("key", F.col("key").alias("other")), make, "large-marks")
+        named = large.join(groups.withColumnRenamed("node", "key"), "key", "left").join(marks, "key")
+        named = named.select(
+            "token", "key", "n", F.coalesce("component", "key").alias("component"), "data"
         )
         rest = _pairs(named, settings, grouped=True).select(*PAIR).dropDuplicates(["key", "other"])
         rest = stored(rest.join(pairs, ["key", "other"], "left_anti"), "jaccard-rest")
