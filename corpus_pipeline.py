@@ -19,6 +19,9 @@ ORACLE_SQL = None
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
+# Near copies in the pipeline; op5's own contract (three words, 90 percent) binds its query.
+NEAR = jaccard.Settings(percent=80, width=5)
+
 
 def toxic_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, fitted on the labelled ones, does not reject."""
@@ -28,9 +31,9 @@ def toxic_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones."""
+    """One document of each group that has 80 percent of its runs of five words in common."""
     make_importable(spark)
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, NEAR)
 
 
 def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

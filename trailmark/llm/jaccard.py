@@ -339,7 +339,9 @@ def _rows(made: list[tuple]) -> pa.RecordBatch:
 # --- filters and verification -------------------------------------------------------------
 
 
-def _entities(docs: DataFrame, index: DataFrame, pairs: DataFrame, make, name: str) -> DataFrame:
+def _entities(
+    docs: DataFrame, index: DataFrame, pairs: DataFrame, make, name: str, settings: Settings
+) -> DataFrame:
     """(key, data) of the entities in ``pairs``, one row each; ``data`` is make(set).
 
     One text stands for an entity. A Bloom filter of the wanted texts goes out with the
@@ -363,7 +365,7 @@ def _entities(docs: DataFrame, index: DataFrame, pairs: DataFrame, make, name: s
                 if content[i] in seen:
                     continue
                 seen.add(content[i])
-                tokens = shingle_set(batch.column("text")[i].as_py())
+                tokens = shingle_set(batch.column("text")[i].as_py(), settings.width)
                 keys.append(set_key(tokens))
                 data.append(make(tokens))
                 kept.append(content[i])
@@ -459,11 +461,11 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     whole = lambda tokens: tokens.astype("<u8").tobytes()
 
     def filtered(pairs: DataFrame, name: str) -> DataFrame:
-        marks = _entities(texts, index, pairs, make, f"{name}-marks")
+        marks = _entities(texts, index, pairs, make, f"{name}-marks", settings)
         return stored(_meet(pairs, marks, agree), f"jaccard-{name}")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        sets = _entities(texts, index, pairs, whole, f"{name}-sets")
+        sets = _entities(texts, index, pairs, whole, f"{name}-sets", settings)
         return stored(_verified(pairs, sets, settings), f"jaccard-{name}-links")
 
     near = filtered(pairs, "near")
@@ -471,7 +473,8 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     groups = _groups(links)
     large = proposed.where("token is not null").select("token", "key", "n")
     if not large.isEmpty():
-        marks = _entities(texts, index, large.select("key", F.col("key").alias("other")), make, "large-marks")
+        members = large.select("key", F.col("key").alias("other"))
+        marks = _entities(texts, index, members, make, "large-marks", settings)
         named = large.join(groups.withColumnRenamed("node", "key"), "key", "left").join(marks, "key")
         named = named.select(
             "token", "key", "n", F.coalesce("component", "key").alias("component"), "data"
