@@ -28,7 +28,8 @@ class Settings:
     """``sample`` bounds the labelled texts the model is fitted on: those with the
     smallest hashes, so the choice depends on the rows alone. A term gets a weight if
     ``least`` of them hold it and either the labels' shares among those differ by
-    ``signal`` standard errors, or it is ``common`` enough to say something in a pair."""
+    ``signal`` standard errors, or it is ``common``, or it makes a pair with another term
+    in which the labels' shares are ``pair_signal`` off from what either term says."""
 
     bits: int = 18
     factors: int = 4
@@ -36,6 +37,7 @@ class Settings:
     least: int = 5
     signal: float = 4.0
     common: float = 0.3
+    pair_signal: float = 7.0
     epochs: int = 12
     rate: float = 0.1
     decay: float = 1e-4
@@ -109,7 +111,72 @@ def _chosen(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> n
     spread = np.sqrt(np.maximum(counts * share * (1 - share), 1e-12))
     telling = np.abs(hits - counts * share) >= settings.signal * spread
     common = counts >= settings.common * len(texts)
-    return np.flatnonzero((counts >= settings.least) & (telling | common))
+    often = counts >= settings.least
+    chosen = often & (telling | common)
+    if 0 < share < 1:
+        chosen[_paired(texts, labels, np.flatnonzero(often), counts, hits, share, settings)] = True
+    return np.flatnonzero(chosen)
+
+
+def _deviance(hits, counts, share):
+    """Twice the log likelihood ratio of ``hits`` in ``counts`` against a share."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        yes = np.where(hits > 0, hits * np.log(hits / (counts * share)), 0.0)
+        no = counts - hits
+        rest = np.where(no > 0, no * np.log(no / (counts * (1 - share))), 0.0)
+    return 2 * (yes + rest)
+
+
+def _paired(texts, labels, often, counts, hits, share, settings: Settings) -> np.ndarray:
+    """Hashes of the terms in a pair that holds label 1 more often than the term of the two
+    that holds it most, or less often than the one that holds it least.
+
+    Every pair is counted that has texts enough for its deviance to reach the square of
+    ``pair_signal``; blocks of terms keep the counts in bounded memory.
+    """
+    least = settings.pair_signal**2
+    misses = counts - hits
+    more = 2 * hits[often] * -np.log(share) >= least
+    less = 2 * misses[often] * -np.log(1 - share) >= least
+    found = often[more | less]
+    shares = hits[found] / counts[found]
+    place = np.full(1 << settings.bits, -1)
+    place[found] = np.arange(len(found))
+    flat = place[np.fromiter((h for one in texts for h in one), np.int64)]
+    row = np.repeat(np.arange(len(texts)), [len(one) for one in texts])[flat >= 0]
+    flat = flat[flat >= 0]
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    step = 512
+    cuts = np.searchsorted(flat, np.arange(0, len(found) + step, step))
+    positive = np.asarray(labels) == 1
+
+    def block(k: int) -> np.ndarray:
+        own = slice(cuts[k], cuts[k + 1])
+        made = np.zeros((len(texts), min(step, len(found) - k * step)), np.float32)
+        made[row[own], flat[own] - k * step] = 1
+        return made
+
+    chosen = np.zeros(len(found), bool)
+    blocks = len(cuts) - 1
+    for i in range(blocks):
+        left = block(i)
+        for j in range(i, blocks):
+            right = left if i == j else block(j)
+            both = (left[positive].T @ right[positive]).astype(float)
+            held = both + left[~positive].T @ right[~positive]
+            a = shares[i * step : i * step + left.shape[1], None]
+            b = shares[None, j * step : j * step + right.shape[1]]
+            high = np.maximum(np.maximum(a, b), share)
+            low = np.minimum(np.minimum(a, b), share)
+            at = np.flatnonzero((both > held * high) & (held >= settings.least))
+            far = at[_deviance(both.flat[at], held.flat[at], high.flat[at]) >= least]
+            at = np.flatnonzero((both < held * low) & (held >= settings.least))
+            far = np.concatenate([far, at[_deviance(both.flat[at], held.flat[at], low.flat[at]) >= least]])
+            x, y = np.unravel_index(far, both.shape)
+            chosen[i * step + x] = True
+            chosen[j * step + y] = True
+    return found[chosen]
 
 
 def fit(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> Model:
