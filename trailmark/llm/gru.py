@@ -15,13 +15,15 @@ NAMES = ("embed", "win", "bin", "rec", "wclass", "bclass", "wword", "bword")
 
 @dataclass(frozen=True)
 class Shape:
-    """``window``: steps of truncated backpropagation, and of scoring between outputs."""
+    """``window``: steps of truncated backpropagation, and of scoring between outputs.
+    A stream is read in ``lanes`` at most, in fewer if that leaves under ``updates`` windows."""
 
     hidden: int = 16
     embed: int = 16
     classes: int = 40
     window: int = 32
-    lanes: int = 32
+    lanes: int = 128
+    updates: int = 64
     rate: float = 0.01
     seed: int = 11
 
@@ -78,11 +80,11 @@ class Model:
     def _steps(self, inputs, fresh, h):
         """Hidden states after each step; ``fresh`` marks where a text starts."""
         w, size = self.w, self.shape.hidden
-        table = w["embed"] @ w["win"] + w["bin"]
+        told = w["embed"][np.asarray(inputs)] @ w["win"] + w["bin"]
         trace = []
-        for x, new in zip(inputs, fresh):
+        for g, new in zip(told, fresh):
             h = np.where(new[:, None], 0, h).astype(np.float32)
-            g, u = table[x], h @ w["rec"]
+            u = h @ w["rec"]
             zr = _sigmoid(g[:, : 2 * size] + u[:, : 2 * size])
             z, r = zr[:, :size], zr[:, size:]
             n = np.tanh(g[:, 2 * size :] + r * u[:, 2 * size :])
@@ -156,7 +158,7 @@ class Model:
     def train(self, stream: np.ndarray, fresh: np.ndarray, begin: int) -> int:
         """One pass of truncated backpropagation (AdaGrad) over a stream of texts."""
         shape = self.shape
-        lanes = max(1, min(shape.lanes, len(stream) // (2 * shape.window)))
+        lanes = max(1, min(shape.lanes, len(stream) // (shape.updates * shape.window)))
         steps = len(stream) // lanes
         if not steps:
             return 0

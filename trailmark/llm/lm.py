@@ -11,14 +11,16 @@ with N' and V' the counts and number of words outside the model's vocabulary.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,15 +34,17 @@ END = b"\n"
 
 @dataclass(frozen=True)
 class Settings:
-    """The recurrent weights are fitted on one training text in ``every``: a share, so
-    what they see grows with the corpus. Each slot of about ``slot_bytes`` of them trains
-    on its own from common weights, and the slots' weights are averaged in each round.
+    """The recurrent weights are fitted on every training text (one in ``every``). Each slot
+    of about ``slot_bytes`` trains on its own from common weights, and the slots' weights
+    are averaged in each round. The recurrent vocabulary has ``vocabulary`` words, and from
+    some size of the corpus on ``growth`` times the square root of its training tokens.
     """
 
     vocabulary: int = 2_000
+    growth: float = 10.0
     pack_bytes: int = 8 << 20
-    every: int = 64
-    slot_bytes: int = 1 << 20
+    every: int = 1
+    slot_bytes: int = 8 << 20
     rounds: int = 3
     shape: gru.Shape = gru.Shape()
 
@@ -117,48 +121,72 @@ def _numbered(texts: list[str], places: dict[bytes, int], unknown: int) -> list[
     return made
 
 
-def _fitted(texts: DataFrame, weights: dict, counts: np.ndarray, places: dict, settings: Settings):
-    """Weights after ``rounds`` of local training and averaging."""
+def _slots(table: pa.Table, settings: Settings) -> Iterator[list[str]]:
+    """A pack's training texts in slots, in an order that its rows' order does not change."""
+    texts = [text for text, out in zip(table["text"].to_pylist(), table["held_out"].to_pylist()) if not out]
+    ordered = sorted((zlib.crc32(text.encode()), text) for text in texts)
+    slot, size = [], 0
+    for crc, text in ordered:
+        if crc % settings.every:
+            continue
+        slot.append(text)
+        size += len(text)
+        if size >= settings.slot_bytes:
+            yield slot
+            slot, size = [], 0
+    if slot:
+        yield slot
+
+
+def _fitted(packs: DataFrame, weights: dict, counts: np.ndarray, places: dict, settings: Settings):
+    """Weights after ``rounds`` of local training and averaging. Texts stay in their packs;
+    a task sends one average of its slots' weights."""
+    context = packs.sparkSession.sparkContext
     unknown, end = places[b""], places[END]
-    sample = texts.where(~F.col("held_out")).where(
-        F.floor(F.col("crc") / 7) % settings.every == 0
-    )
-    total = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slots = max(1, -(-total // settings.slot_bytes))
-    sample = stored(
-        sample.select(
-            F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(slots)).alias("slot"), "text"
-        ),
-        "lm-sample",
-    )
-
-    def train(now: bytes):
-        def run(rows: pd.DataFrame) -> pd.DataFrame:
-            model = gru.Model(gru.unpack(now, weights), counts, settings.shape)
-            lists = _numbered(sorted(rows["text"]), places, unknown)
-            fresh = np.zeros(sum(map(len, lists)), bool)
-            fresh[np.cumsum([0] + [len(one) for one in lists[:-1]])] = True
-            n = model.train(np.concatenate(lists), fresh, end)
-            return pd.DataFrame({"slot": rows["slot"][:1], "n": [n], "weights": [gru.pack(model.w)]})
+    words = context.broadcast((places, counts))
+
+    def train(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            places, counts = words.value
+            base = gru.unpack(sent.value, gru.start(counts, settings.shape))
+            total, seen = 0.0, 0
+            for batch in batches:
+                for blob in batch.column("texts"):
+                    for slot in _slots(_unpacked(blob.as_py()), settings):
+                        lists = _numbered(slot, places, unknown)
+                        fresh = np.zeros(sum(map(len, lists)), bool)
+                        fresh[np.cumsum([0] + [len(one) for one in lists[:-1]])] = True
+                        model = gru.Model(base, counts, settings.shape)
+                        n = model.train(np.concatenate(lists), fresh, end)
+                        total = total + n * np.frombuffer(gru.pack(model.w), "<f4").astype(float)
+                        seen += n
+            if seen:
+                blob = (total / seen).astype("<f4").tobytes()
+                columns = [[TaskContext.get().partitionId()], [seen], [blob]]
+                arrays = [pa.array(v, k) for v, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["slot", "n", "weights"])
 
         return run
 
     def mean(rows: pd.DataFrame) -> pd.DataFrame:
         n = rows["n"].to_numpy(float)
-        flat = np.stack([np.frombuffer(blob, "<f4") for blob in rows["weights"]])
-        share = n / n.sum() if n.sum() else np.full(len(n), 1 / len(n))
-        blob = (share @ flat).astype("<f4").tobytes()
+        total = sum(k * np.frombuffer(blob, "<f4").astype(float) for k, blob in zip(n, rows["weights"]))
+        blob = (total / n.sum()).astype("<f4").tobytes()
         return pd.DataFrame({"slot": rows["slot"][:1], "n": [int(n.sum())], "weights": [blob]})
 
     schema = "slot bigint, n bigint, weights binary"
-    for _ in range(settings.rounds if total else 0):
-        step = sample.groupBy("slot").applyInPandas(train(gru.pack(weights)), schema)
-        left = slots
-        while left > 1:  # averages of at most 32 weights each, until one is left
+    for _ in range(settings.rounds):
+        sent = context.broadcast(gru.pack(weights))
+        step = stored(packs.select("texts").mapInArrow(train(sent), schema), "lm-round")
+        left = step.agg(F.max("slot")).first()[0]
+        if left is None:  # nothing to learn from
+            break
+        while left:  # averages of at most 32 weights each, until one is left
             step = step.withColumn("slot", F.floor(F.col("slot") / 32))
             step = step.groupBy("slot").applyInPandas(mean, schema)
-            left = -(-left // 32)
+            left //= 32
         weights = gru.unpack(bytes(step.first().weights), weights)
+        sent.destroy()
     return weights
 
 
@@ -179,10 +207,9 @@ def score_texts(
         docs[id_col].alias("id"),
         text_of(text_col).alias("text"),
         held_out.alias("held_out"),
-        crc_of(id_col).alias("crc"),
     )
     kind = texts.schema["id"].dataType.simpleString()
-    rows = _packs(texts.select("id", "text", "held_out"), settings)
+    rows = _packs(texts, settings)
     by_word = W.partitionBy("word")
     # A word is in a pack once, so a group has at most one row for each pack.
     counted = stored(
@@ -197,7 +224,8 @@ def score_texts(
     words = counted.where("place = 1 and c > 0").select("word", "c")
     all_n, all_v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = words.where(F.col("word") != F.lit(END)).orderBy(F.desc("c"), "word")
-    found = [(bytes(row.word), row.c) for row in top.limit(settings.vocabulary).collect()]
+    size = max(settings.vocabulary, int(settings.growth * math.sqrt(all_n)))
+    found = [(bytes(row.word), row.c) for row in top.limit(size).collect()]
     end_n = words.where(F.col("word") == F.lit(END)).collect()
     found.append((END, end_n[0].c if end_n else 0))
     known_n = sum(c for _, c in found)
@@ -206,8 +234,12 @@ def score_texts(
     found.sort(key=lambda pair: (-pair[1], pair[0]))
     places = {word: i for i, (word, _) in enumerate(found)}
     counts = np.array([c for _, c in found], float)
-    weights = _fitted(texts, gru.start(counts, settings.shape), counts, places, settings)
-    # The vocabulary and the weights have the size the settings give them.
+    # A class has about as many words as there are classes.
+    classes = max(settings.shape.classes, math.isqrt(len(found)))
+    settings = replace(settings, shape=replace(settings.shape, classes=classes))
+    packs = rows.where("texts is not null").select("pack", "texts")
+    weights = _fitted(packs, gru.start(counts, settings.shape), counts, places, settings)
+    # Both grow with the square root of the corpus.
     sent = docs.sparkSession.sparkContext.broadcast((gru.pack(weights), places, counts))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -241,7 +273,6 @@ def score_texts(
         "base_score double, score double"
     )
     names = [part.split()[0] for part in schema.split(", ")]
-    packs = rows.where("texts is not null").select("pack", "texts")
     scored = (
         packs.groupBy("pack")
         .cogroup(counted.select("pack", "word", "c").groupBy("pack"))
