@@ -4,13 +4,18 @@ Sparse word n-grams feed a multinomial logistic regression over licence families
 ``unknown``. It learns from templates, cut and padded at random, against paragraphs of the
 corpus. A temperature fitted on variants it has not seen calibrates its probabilities, and
 a family counts only if a template of that family agrees with the paragraph.
+
+A paragraph is a line. A notice that is wrapped over lines is looked for in windows of
+neighbouring lines, up to a line without words, and is told by the first of them.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -62,8 +67,9 @@ _WORD = re.compile(r"[^\W_]+")
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the corpus paragraphs that stand for ``unknown``. ``agreement`` is the share of a template's word pairs that a
-    paragraph must hold to confirm its family."""
+    """``sample`` bounds the corpus paragraphs that stand for ``unknown``. ``agreement`` is
+    the share of a template's word pairs that a paragraph must hold to confirm its family.
+    A wrapped notice has them within ``spread`` times as many words as the template."""
 
     sample: int = 4_000
     variants: int = 60
@@ -72,6 +78,7 @@ class Settings:
     decay: float = 1e-4
     probability: float = 0.5
     agreement: float = 0.6
+    spread: float = 2.0
     seed: int = 3
 
 
@@ -84,6 +91,19 @@ def paragraphs(text: str) -> list[str]:
     return [line for line in text.split("\n") if _WORD.search(line)]
 
 
+def runs(text: str) -> Iterator[tuple[int, list[str]]]:
+    """Paragraphs with no line between them that holds no word, and the first one's number."""
+    first, run = 0, []
+    for line in text.split("\n"):
+        if _WORD.search(line):
+            run.append(line)
+        elif run:
+            yield first, run
+            first, run = first + len(run), []
+    if run:
+        yield first, run
+
+
 def grams(words: list[str], vocabulary: frozenset[str]) -> set[str]:
     """Word n-grams up to three words long whose words are all in ``vocabulary``."""
     made: set[str] = set()
@@ -135,6 +155,64 @@ class Model:
             for pairs in self.templates.get(family, ())
         )
 
+    def windows(self, run: list[list[str]]) -> list[tuple[int, int]]:
+        """(first, last) of the neighbouring lines that hold a template between them: the
+        shortest at each place, two lines at least, in order."""
+        if len(run) < 2:
+            return []
+        words = [word for line in run for word in line]
+        of = [i for i, line in enumerate(run) for _ in line]
+        own: dict[int, list[tuple[int, tuple[str, str]]]] = {}
+        for at, pair in enumerate(zip(words, words[1:])):
+            for k in self.places.get(pair, ()):
+                own.setdefault(k, []).append((at, pair))
+        made = set()
+        for k, hits in own.items():
+            pairs, length = self.notices[k]
+            if len({pair for _, pair in hits}) < self.settings.agreement * len(pairs):
+                continue
+            held: Counter = Counter()
+            low = 0
+            for at, pair in hits:
+                held[pair] += 1
+                while low < len(hits) and (
+                    at - hits[low][0] >= self.settings.spread * length or held[hits[low][1]] > 1
+                ):
+                    old = hits[low][1]
+                    held[old] -= 1
+                    if not held[old]:
+                        del held[old]
+                    low += 1
+                if len(held) >= self.settings.agreement * len(pairs):
+                    first, last = of[hits[low][0]], of[at + 1]
+                    if first < last:
+                        made.add((first, last))
+        return sorted(made)
+
+    @cached_property
+    def notices(self) -> list[tuple[frozenset, int]]:
+        """Word pairs and number of words of every template."""
+        return [(pairs, len(pairs) + 1) for sets in self.templates.values() for pairs in sets]
+
+    @cached_property
+    def places(self) -> dict[tuple[str, str], list[int]]:
+        """The templates that hold a word pair."""
+        made: dict[tuple[str, str], list[int]] = {}
+        for k, (pairs, _) in enumerate(self.notices):
+            for pair in pairs:
+                made.setdefault(pair, []).append(k)
+        return made
+
+    def other_lines(self, text: str) -> list[str]:
+        """Paragraphs outside of wrapped notices."""
+        made = []
+        for _, run in runs(text):
+            inside: set[int] = set()
+            for first, last in self.windows([words_of(line) for line in run]):
+                inside.update(range(first, last + 1))
+            made += [line for i, line in enumerate(run) if i not in inside]
+        return made
+
     def scan(self, text: str) -> tuple[int, list[tuple[int, str, float]]]:
         """Number of paragraphs, and (paragraph, family, probability) of confirmed ones."""
         lines = [words_of(line) for line in paragraphs(text)]
@@ -147,7 +225,21 @@ class Model:
             family, chance = self.families[best[i]], float(chances[i, best[i]])
             if chance >= self.settings.probability and self.confirmed(family, lines[i]):
                 made.append((int(i), family, chance))
-        return len(lines), made
+        told = {(i, family) for i, family, _ in made}
+        for start, run in runs(text):
+            own = lines[start : start + len(run)]
+            for first, last in self.windows(own):
+                words = [word for line in own[first : last + 1] for word in line]
+                chances = self.probabilities([words])[0]
+                k = int(chances.argmax())
+                family, chance = self.families[k], float(chances[k])
+                inside = {(start + i, family) for i in range(first, last + 1)}
+                if family == UNKNOWN or inside & told or chance < self.settings.probability:
+                    continue
+                if self.confirmed(family, words):
+                    told |= inside
+                    made.append((start + first, family, chance))
+        return len(lines), sorted(made)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -176,19 +268,26 @@ def _variants(words: list[str], padding: list[list[str]], random, n: int) -> Ite
         yield made
 
 
+def _shell(settings: Settings, templates: dict) -> Model:
+    """A model that knows the templates and has no weights."""
+    known = {
+        family: tuple(frozenset(_pairs(words_of(text))) for text in texts)
+        for family, texts in templates.items()
+    }
+    vocabulary = frozenset(w for texts in templates.values() for text in texts for w in words_of(text))
+    return Model(
+        settings, (*templates, UNKNOWN), vocabulary, {}, np.zeros((0, 0)), np.zeros(0), 1.0, known
+    )
+
+
 def fit(negatives: list[str], settings: Settings = Settings(), templates=None) -> Model:
     """A model from templates and corpus paragraphs; the same input gives the same model.
 
     Corpus paragraphs that a template confirms teach nothing, as they are no negatives.
     """
     templates = TEMPLATES if templates is None else templates
-    families = (*templates, UNKNOWN)
-    known = {
-        family: tuple(frozenset(_pairs(words_of(text))) for text in texts)
-        for family, texts in templates.items()
-    }
-    vocabulary = frozenset(w for texts in templates.values() for text in texts for w in words_of(text))
-    shell = Model(settings, families, vocabulary, {}, np.zeros((0, 0)), np.zeros(0), 1.0, known)
+    shell = _shell(settings, templates)
+    families, vocabulary, known = shell.families, shell.vocabulary, shell.templates
     lines = [words_of(line) for line in negatives]
     lines = [words for words in lines if not any(shell.confirmed(f, words) for f in templates)]
     random = np.random.default_rng(settings.seed)
@@ -236,10 +335,16 @@ def fit(negatives: list[str], settings: Settings = Settings(), templates=None) -
 
 def train(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> Model:
     """Fits on the templates and ``settings.sample`` paragraphs of the corpus: those with
-    the smallest hashes."""
-    line = F.explode(F.split(text_of(text_col), "\n")).alias("line")
+    the smallest hashes. Lines of a wrapped notice are no negatives either."""
+    shell = _shell(settings, TEMPLATES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [line for text in batch.column("text") for line in shell.other_lines(text.as_py())]
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
+
+    lines = docs.select(text_of(text_col).alias("text")).mapInArrow(run, "line string")
     place = F.xxhash64("line", F.lit(settings.seed))
-    lines = docs.select(line).where(F.col("line").rlike(r"[\p{L}\p{N}]"))
     rows = hash_sample(lines, place, settings.sample, "line").collect()
     return fit([row.line for row in rows], settings)
 
