@@ -113,6 +113,7 @@ def _chosen(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> n
     common = counts >= settings.common * len(texts)
     often = counts >= settings.least
     chosen = often & (telling | common)
+    del flat, each
     if 0 < share < 1:
         chosen[_paired(texts, labels, np.flatnonzero(often), counts, hits, share, settings)] = True
     return np.flatnonzero(chosen)
@@ -140,14 +141,19 @@ def _paired(texts, labels, often, counts, hits, share, settings: Settings) -> np
     less = 2 * misses[often] * -np.log(1 - share) >= least
     found = often[more | less]
     shares = hits[found] / counts[found]
-    place = np.full(1 << settings.bits, -1)
+    place = np.full(1 << settings.bits, -1, np.int32)
     place[found] = np.arange(len(found))
-    flat = place[np.fromiter((h for one in texts for h in one), np.int64)]
-    row = np.repeat(np.arange(len(texts)), [len(one) for one in texts])[flat >= 0]
-    flat = flat[flat >= 0]
+    # Text by text, as all terms at once would take several times the memory.
+    own = []
+    for one in texts:
+        at = place[np.array(one, np.int64)]
+        own.append(at[at >= 0])
+    flat = np.concatenate(own)
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), [len(one) for one in own])
+    del own
     order = np.argsort(flat, kind="stable")
     flat, row = flat[order], row[order]
-    step = 512
+    step = 256
     cuts = np.searchsorted(flat, np.arange(0, len(found) + step, step))
     positive = np.asarray(labels) == 1
 
