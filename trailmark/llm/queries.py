@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trailmark.llm import (
     bpe,
+    conversations,
     jaccard,
     licenses,
     lm,
@@ -129,6 +130,39 @@ def op10_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that the contract deals by the crc of their keys."""
+    key = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
+    dealt = F.crc32(F.concat(key[0], F.lit(":"), key[1]).cast("binary")) % 20
+    told = rows.select(
+        "conv_id",
+        "turn",
+        *(F.coalesce(F.col(name), F.lit(" ")).alias(name) for name in ("role", "text")),
+        dealt.alias("dealt"),
+    ).where("dealt != 0")
+    text = (
+        F.when(F.col("dealt") == 1, "")
+        .when(F.col("dealt") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+    )
+    role = F.when(F.col("dealt") == 4, "user").otherwise(F.col("role"))
+    times = F.explode(F.array_repeat(F.lit(0), F.when(F.col("dealt") == 3, 2).otherwise(1)))
+    return told.select("conv_id", "turn", role.alias("role"), text.alias("text"), times)
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations")
+    found = conversations.digests(conversations.repair(_damaged(rows)))
+    asked = rows.select("conv_id").distinct()
+    told = asked.join(found, asked["conv_id"].eqNullSafe(found["conv"]), "left")
+    return told.select(
+        "conv_id",
+        *(F.coalesce(f"plan.{name}", F.lit(0)).alias(name) for name in conversations.COUNTS),
+        F.coalesce("plan.audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -141,6 +175,7 @@ def queries() -> dict[str, Query]:
         "op8_lm_scores": op8_lm_scores,
         "op9_bpe": op9_bpe,
         "op10_repeated_strings": op10_repeated_strings,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
