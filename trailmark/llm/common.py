@@ -74,3 +74,21 @@ def hash_sample(df: DataFrame, place: Column, n: int, *ties: str) -> DataFrame:
     if cutoff < 2**63:
         df = df.where(place < F.lit(cutoff))
     return df.orderBy(place, *ties).limit(n)
+
+
+# A key of more than this part of all rows counts as hot: there are at most as many.
+HOT_PARTS = 512
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined by ``key`` with ``table``, which has one row per key that says in
+    ``count`` how many rows have it.
+
+    The keys that hold more than one row in ``HOT_PARTS`` are at most ``HOT_PARTS``: their
+    part of the table is broadcast and their rows stay where they are. The others move.
+    """
+    total = table.agg(F.sum(count)).head()[0] or 0
+    hot = F.col(count) * HOT_PARTS > F.lit(total)
+    few = F.broadcast(table.where(hot))
+    told = rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti")
+    return rows.join(few, key).unionByName(told.join(table.where(~hot), key)).drop(count)

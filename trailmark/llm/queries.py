@@ -21,6 +21,7 @@ from trailmark.llm import (
     token_counts,
     topk,
     toxicity,
+    whitening,
 )
 from trailmark.llm.common import make_importable, shared_folder
 
@@ -130,6 +131,22 @@ def op10_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _grid_vectors(rows: DataFrame) -> DataFrame:
+    """(vec_id, x): null entries stand for null and non-finite ones, and for those of 2^43 or
+    more, whose grid number would not fit a long. The operator leaves such vectors out."""
+
+    def on_grid(v):
+        # NaN is greater than all numbers here.
+        return F.when(F.abs(v) < 2.0**43, F.floor(v.cast("double") * 1024) + F.lit(100_000))
+
+    return rows.select("vec_id", F.transform("embedding", on_grid).alias("x"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    told = whitening.whiten(_grid_vectors(_table(spark, folder, "embeddings")))
+    return told.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 def _damaged(rows: DataFrame) -> DataFrame:
     """Conversations with the faults that the contract deals by the crc of their keys."""
     key = [F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")]
@@ -175,6 +192,7 @@ def queries() -> dict[str, Query]:
         "op8_lm_scores": op8_lm_scores,
         "op9_bpe": op9_bpe,
         "op10_repeated_strings": op10_repeated_strings,
+        "op12_whitening": op12_whitening,
         "op13_conversation_repair": op13_conversation_repair,
     }
 
