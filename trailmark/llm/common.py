@@ -80,7 +80,9 @@ def hash_sample(df: DataFrame, place: Column, n: int, *ties: str) -> DataFrame:
 HOT_PARTS = 512
 
 
-def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+def join_counted(
+    rows: DataFrame, table: DataFrame, key: str | list[str], count: str
+) -> DataFrame:
     """``rows`` joined by ``key`` with ``table``, which has one row per key that says in
     ``count`` how many rows have it.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trailmark.llm import (
     bpe,
+    chunk_reuse,
     conversations,
     jaccard,
     licenses,
@@ -131,6 +132,18 @@ def op10_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = chunk_reuse.encode(_table(spark, folder, "documents"), path)
+    decoded = chunk_reuse.decode(encoded, path, keep=True)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def _grid_vectors(rows: DataFrame) -> DataFrame:
     """(vec_id, x): null entries stand for null and non-finite ones, and for those of 2^43 or
     more, whose grid number would not fit a long. The operator leaves such vectors out."""
@@ -192,6 +205,7 @@ def queries() -> dict[str, Query]:
         "op8_lm_scores": op8_lm_scores,
         "op9_bpe": op9_bpe,
         "op10_repeated_strings": op10_repeated_strings,
+        "op11_chunked_bpe": op11_chunked_bpe,
         "op12_whitening": op12_whitening,
         "op13_conversation_repair": op13_conversation_repair,
     }
