@@ -42,7 +42,7 @@ REUSED = 64  # shorter chunks are encoded where they stand
 
 BLOCK = 4 << 20  # bytes hashed, and of texts encoded, at a time
 SEEN = 200_000  # digests whose texts a task remembers to have sent
-MEMO_WORDS = 500_000  # words a worker remembers; results do not depend on these bounds
+MEMO_WORDS = 100_000  # words a worker remembers, twice; results do not depend on these bounds
 MEMO_LENGTH = 48
 
 BLANK = re.compile(rb"[ \t\n\r]")
@@ -127,11 +127,15 @@ def chunks(data: bytes, places: list[int], start: int, end: int) -> list[tuple[i
     return parts
 
 
-class Coder(dict):
-    """Word (bytes without the four white spaces above) -> its ids as little-endian uint32."""
+class Coder:
+    """Encodes words (bytes without the four white spaces above) to little-endian uint32.
+
+    Words are remembered in two generations: when the young one is full it becomes the old
+    one, and words that are met again move back, so frequent words stay known.
+    """
 
     def __init__(self, path: str) -> None:
-        super().__init__({b"": b""})
+        self.young, self.old = {b"": b""}, {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # cores belong to Spark's tasks
         from tokenizers import Tokenizer
 
@@ -145,19 +149,18 @@ class Coder(dict):
 
     def encode(self, data: bytes) -> bytes:
         words = data.translate(TO_SPACE).split(b" ")
-        ids = list(map(self.get, words))
+        ids = list(map(self.young.get, words))
         if None in ids:
-            unknown = list({word for word, found in zip(words, ids) if found is None})
+            missed = {word for word, found in zip(words, ids) if found is None}
+            fresh = {word: self.old[word] for word in missed if word in self.old}
+            unknown = list(missed - fresh.keys())
             texts = [word.decode() for word in unknown]
             made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            fresh = {
-                word: np.array(one.ids, "<u4").tobytes() for word, one in zip(unknown, made)
-            }
+            fresh |= {word: np.array(one.ids, "<u4").tobytes() for word, one in zip(unknown, made)}
             ids = [fresh[word] if found is None else found for word, found in zip(words, ids)]
-            if len(self) > MEMO_WORDS:
-                self.clear()
-                self[b""] = b""
-            self.update((word, found) for word, found in fresh.items() if len(word) <= MEMO_LENGTH)
+            if len(self.young) > MEMO_WORDS:
+                self.young, self.old = {b"": b""}, self.young
+            self.young.update(item for item in fresh.items() if len(item[0]) <= MEMO_LENGTH)
         return b"".join(ids)
 
     def decode(self, ids: bytes) -> str:
