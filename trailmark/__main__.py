@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trailmark.operators.ads import THRESHOLD
 from trailmark.operators.sampling import DEFAULT_TOTAL
 from trailmark.plans import area_top_products, page_funnel, session_analysis
-from trailmark.session import build_session
+from trailmark.session import build_session, stream_session
 from trailmark.sinks.results import CatalogTarget, FileTarget, JdbcTarget, Target
 from trailmark.sources.actions import read_table
 from trailmark.sources.click_log import read_file_lines, read_kafka_lines
@@ -75,6 +75,9 @@ def _arguments() -> argparse.ArgumentParser:
     source.add_argument("--files", help="folder of log files")
     ads.add_argument("--topics", default="", help="comma list, with --kafka")
     ads.add_argument("--threshold", type=int, default=THRESHOLD)
+    ads.add_argument("--max-offsets", type=int, help="most lines of a batch, with --kafka")
+    ads.add_argument("--keep-days", type=int, help="drop a day's state when it is this old")
+    ads.add_argument("--state-partitions", type=int, help="fixed when the stream first starts")
     ads.add_argument("--available-now", action="store_true", help="stop when all is read")
 
     export = jobs.add_parser("ads-export", parents=[database])
@@ -118,12 +121,24 @@ def _target(options: argparse.Namespace) -> Target:
 
 
 def _run_ads(spark: SparkSession, options: argparse.Namespace) -> None:
+    session = stream_session(spark, options.state_partitions)
     if options.kafka:
-        lines = read_kafka_lines(spark, options.kafka, options.topics.split(","))
+        topics, most = options.topics.split(","), options.max_offsets
+        lines = read_kafka_lines(session, options.kafka, topics, max_offsets=most)
     else:
-        lines = read_file_lines(spark, options.files)
-    stream = AdBlacklistStream(spark, options.root, options.threshold)
-    stream.start(lines, options.available_now).awaitTermination()
+        lines = read_file_lines(session, options.files)
+    stream = AdBlacklistStream(
+        spark, options.root, options.threshold, keep_days=options.keep_days
+    )
+    running = [
+        stream.start(lines, options.available_now),
+        stream.start_quarantine(lines, options.available_now),
+    ]
+    if options.available_now:
+        for query in running:
+            query.awaitTermination()
+    else:
+        session.streams.awaitAnyTermination()
 
 
 def _run_task(spark: SparkSession, options: argparse.Namespace) -> None:

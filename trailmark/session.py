@@ -50,3 +50,30 @@ def build_session(
         if key not in configured:
             spark.conf.set(key, value)
     return spark
+
+
+# Keyed state in files of its own on each executor, with only a batch's changes uploaded;
+# empty batches would take batch numbers without anything to count.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for streams with keyed state, next to ``spark`` and its settings.
+
+    ``partitions`` are those of the state, which stay what they were when a stream first
+    started; as many as the cluster has cores if not given.
+    """
+    made = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        made.conf.set(key, spark.conf.get(key))
+    for key, value in STREAM_SETTINGS.items():
+        made.conf.set(key, value)
+    number = partitions or spark.sparkContext.defaultParallelism
+    made.conf.set("spark.sql.shuffle.partitions", str(number))
+    return made

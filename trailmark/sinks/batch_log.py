@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trailmark.sinks.folders import Folders
 
-class BatchLog:
+
+class BatchLog(Folders):
     def __init__(
         self,
         spark: SparkSession,
@@ -33,7 +35,7 @@ class BatchLog:
         by: str | None = None,
         rollup_every: int = 100,
     ):
-        self.spark = spark
+        super().__init__(spark)
         self.root = root.rstrip("/")
         self.schema = schema
         self.merge = merge
@@ -153,29 +155,3 @@ class BatchLog:
             if newest:
                 paths.append(f"{root}/{folder}/upto={newest}")
         return paths
-
-    def _fs(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
-    def _exists(self, path: str) -> bool:
-        fs, hadoop_path = self._fs(path)
-        return fs.exists(hadoop_path)
-
-    def _delete(self, path: str) -> None:
-        fs, hadoop_path = self._fs(path)
-        fs.delete(hadoop_path, True)
-
-    def _fs_create(self, path: str) -> None:
-        fs, hadoop_path = self._fs(path)
-        fs.create(hadoop_path, True).close()
-
-    def _names(self, folder: str, prefix: str) -> list[str]:
-        fs, hadoop_path = self._fs(folder)
-        if not fs.exists(hadoop_path):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-        return [name for name in names if name.startswith(prefix)]
-
-    def _numbers(self, folder: str, prefix: str) -> list[int]:
-        return [int(name[len(prefix) :]) for name in self._names(folder, prefix)]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from trailmark.sources.dimensions import JdbcConnection
 
@@ -75,6 +76,80 @@ class JdbcTarget:
     def save(self, writer: DataFrameWriter, table: str) -> None:
         writer.format("jdbc").options(**self.options(table)).save()
 
+    def upsert(self, df: DataFrame, table: str, keys: Sequence[str], batch_id: int) -> None:
+        """Replaces the rows of the given keys: executors fill a staging table, and one
+        transaction merges it and moves the table's fence to ``batch_id``. A batch that the
+        fence has passed changes nothing."""
+        staging = f"{table}_staging"
+        self.save(self.spread(df).write.mode("overwrite").option("truncate", "true"), staging)
+        merge = merge_statement(self.connection.url, table, staging, keys, df.columns)
+        self.transaction(df.sparkSession, fence_statement(table, batch_id), [merge])
+
+    def transaction(self, spark: SparkSession, fence: str, statements: Sequence[str]) -> bool:
+        """Runs the statements if ``fence`` updates a row; all of it or nothing."""
+        options = self.connection.options()
+        jvm = spark._jvm
+        if self.connection.driver:
+            registry = jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry
+            registry.register(self.connection.driver)
+        properties = jvm.java.util.Properties()
+        for key in ("user", "password"):
+            if key in options:
+                properties.setProperty(key, options[key])
+        connection = jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+        try:
+            connection.setAutoCommit(False)
+            statement = connection.createStatement()
+            passed = statement.executeUpdate(fence) > 0
+            if passed:
+                for text in statements:
+                    statement.executeUpdate(text)
+                connection.commit()
+            else:
+                connection.rollback()
+            return passed
+        finally:
+            connection.close()
+
+
+# Holds the last batch applied to each table (table_name, batch_id); made by the caller.
+FENCES = "trailmark_batches"
+
+
+def fence_statement(table: str, batch_id: int) -> str:
+    return (
+        f"UPDATE {FENCES} SET batch_id = {batch_id} "
+        f"WHERE table_name = '{table}' AND batch_id < {batch_id}"
+    )
+
+
+def merge_statement(
+    url: str, table: str, staging: str, keys: Sequence[str], columns: Sequence[str]
+) -> str:
+    """One statement that takes the rows of ``staging`` over by key, as the database at
+    ``url`` has it."""
+    names = ", ".join(columns)
+    values = [name for name in columns if name not in keys]
+    if url.startswith(("jdbc:mysql:", "jdbc:mariadb:")):
+        changed = [f"{name} = VALUES({name})" for name in values] or [f"{keys[0]} = {table}.{keys[0]}"]
+        return (
+            f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} "
+            f"ON DUPLICATE KEY UPDATE {', '.join(changed)}"
+        )
+    if url.startswith(("jdbc:postgresql:", "jdbc:sqlite:")):
+        changed = ", ".join(f"{name} = excluded.{name}" for name in values)
+        return (
+            f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} WHERE true "
+            f"ON CONFLICT ({', '.join(keys)}) DO {f'UPDATE SET {changed}' if values else 'NOTHING'}"
+        )
+    on = " AND ".join(f"t.{key} = s.{key}" for key in keys)
+    changed = ", ".join(f"{name} = s.{name}" for name in values)
+    update = f"WHEN MATCHED THEN UPDATE SET {changed} " if values else ""
+    return (
+        f"MERGE INTO {table} t USING {staging} s ON ({on}) {update}"
+        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({', '.join(f's.{n}' for n in columns)})"
+    )
+
 
 Target = FileTarget | CatalogTarget | JdbcTarget
 

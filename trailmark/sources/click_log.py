@@ -17,25 +17,48 @@ FIRST_MILLIS = -62_135_510_400_000
 LAST_MILLIS = 253_402_214_399_999
 
 
+# Where a line of a message log comes from; names it for good.
+OFFSETS = ("topic", "partition", "offset")
+
+
 def kafka_options(
-    servers: str, topics: Sequence[str], starting_offsets: str = "latest"
+    servers: str,
+    topics: Sequence[str],
+    starting_offsets: str = "latest",
+    max_offsets: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Offsets live in the query's checkpoint, so a restart resumes where it stopped."""
-    return {
+    """Offsets live in the query's checkpoint, so a restart resumes where it stopped.
+
+    ``max_offsets`` bounds a batch, so the backlog after a stop is worked off in batches of
+    a size that fits; ``min_partitions`` splits few large topic partitions over more tasks.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "true",
     }
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
+    return options
 
 
 def read_kafka_lines(
-    spark: SparkSession, servers: str, topics: Sequence[str], starting_offsets: str = "latest"
+    spark: SparkSession,
+    servers: str,
+    topics: Sequence[str],
+    starting_offsets: str = "latest",
+    max_offsets: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Streaming ``value`` lines; needs Spark's Kafka connector on the class path."""
-    options = kafka_options(servers, topics, starting_offsets)
+    """Streaming ``value`` lines with their ``OFFSETS``; needs Spark's Kafka connector on the
+    class path."""
+    options = kafka_options(servers, topics, starting_offsets, max_offsets, min_partitions)
     stream = spark.readStream.format("kafka").options(**options).load()
-    return stream.select(F.col("value").cast("string").alias("value"))
+    return stream.select(F.col("value").cast("string").alias("value"), *OFFSETS)
 
 
 def read_file_lines(
@@ -73,15 +96,15 @@ def parse_click_log(lines: DataFrame) -> DataFrame:
     return parsed.withColumn("malformed", ~F.coalesce(complete, F.lit(False))).drop("tokens")
 
 
-def valid_clicks(parsed: DataFrame) -> DataFrame:
-    """Clicks with their day in the session's time zone."""
+def valid_clicks(parsed: DataFrame, *others: str) -> DataFrame:
+    """Clicks with their day in the session's time zone, and the ``others`` columns."""
     # Checked here as well, as filters may be reordered and the conversion can fail.
     in_range = F.col("millis").between(FIRST_MILLIS, LAST_MILLIS)
     time = F.timestamp_millis(F.when(in_range, F.col("millis")))
     return parsed.where(~F.col("malformed")).select(
-        format_date(time).alias("day"), "province", "city", "user_id", "ad_id"
+        format_date(time).alias("day"), "province", "city", "user_id", "ad_id", *others
     )
 
 
-def malformed_lines(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("malformed")).select("value")
+def malformed_lines(parsed: DataFrame, *others: str) -> DataFrame:
+    return parsed.where(F.col("malformed")).select("value", *others)

@@ -587,6 +587,11 @@ SELECT day, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY day, user
         ),
         "ad_stream_counts": _with(
             """
+SELECT day, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY day, user_id, ad_id""",
+            _blacklist(864000, 4),
+        ),
+        "ad_upserted_counts": _with(
+            """
 SELECT day, user_id, ad_id, count(*) AS click_count FROM kept GROUP BY day, user_id, ad_id""",
             _blacklist(864000, 4),
         ),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trailmark.functions import labels, texts, times
@@ -13,12 +14,13 @@ from trailmark.operators import ads, categories, funnel, regions, sampling, sess
 from trailmark.params import JobParams
 from trailmark.plans.area_top_products import area_top_products
 from trailmark.plans.page_funnel import page_convert_rates
+from trailmark.session import stream_session
 from trailmark.sinks import staging
 from trailmark.sources.actions import scan_actions, scan_clicks
 from trailmark.sources.click_log import parse_click_log
 from trailmark.sources.dimensions import city_dimension
 from trailmark.sources.tasks import task_params
-from trailmark.streaming.ad_blacklist import AdBlacklistStream
+from trailmark.streaming.ad_blacklist import AdBlacklistStream, publish_totals, totals_table
 from trailmark.verification.views import Views
 
 TASK_ID = 1
@@ -29,6 +31,7 @@ SAMPLE_TOTAL = 600
 SEED = "0"
 CLICK_THRESHOLD = 4
 STREAM_THRESHOLD = 4
+STREAM_KEEP_DAYS = 30
 LEVELS = {"ASIA": "A", "EUROPE": "A", "AMERICA": "B", "AFRICA": "C"}
 OTHER_LEVEL = "D"
 
@@ -329,13 +332,17 @@ def ad_daily_counts(v: Views) -> DataFrame:
 _streams: dict[tuple[str, str], tuple[AdBlacklistStream, str]] = {}
 
 
-def _streamed(v: Views) -> AdBlacklistStream:
-    """The stream run over all clicks; three queries look at what one run leaves."""
+def _run(v: Views) -> tuple[AdBlacklistStream, str]:
+    """The stream run over all clicks; four queries look at what one run leaves."""
     key = v.spark.sparkContext.applicationId, v.folder
     if key not in _streams:
         folder = staging.run_folder(v.spark, "ad-stream")
         _streams[key] = _run_stream(v, folder), folder
-    return _streams[key][0]
+    return _streams[key]
+
+
+def _streamed(v: Views) -> AdBlacklistStream:
+    return _run(v)[0]
 
 
 def drop_streams(spark: SparkSession) -> None:
@@ -351,8 +358,15 @@ def _run_stream(v: Views, folder: str) -> AdBlacklistStream:
     lines = v.click_lines(v.stream_clicks)
     lines.select("batch", "value").write.partitionBy("batch").text(f"{folder}/batches")
     stored = v.spark.read.text(f"{folder}/batches")
-    stream = AdBlacklistStream(v.spark, f"{folder}/state", STREAM_THRESHOLD, rollup_every=2)
-    source = v.spark.readStream.format("text").schema("value string")
+    totals = totals_table(v.spark, f"{folder}/totals")
+    stream = AdBlacklistStream(
+        v.spark,
+        f"{folder}/state",
+        STREAM_THRESHOLD,
+        publish=publish_totals(totals),
+        keep_days=STREAM_KEEP_DAYS,
+    )
+    source = stream_session(v.spark).readStream.format("text").schema("value string")
     numbers = sorted(row.batch for row in stored.select("batch").distinct().collect())
     for number in numbers:
         batch = stored.where(F.col("batch") == number).select("value")
@@ -370,13 +384,21 @@ def ad_stream_blacklist(v: Views) -> DataFrame:
 
 
 def ad_stream_filter(v: Views) -> DataFrame:
-    """Clicks kept per micro-batch."""
+    """Clicks kept per micro-batch: by how much a batch raised the totals it changed."""
     stored = v.spark.read.parquet(f"{_streamed(v).counts.root}/batches")
-    return stored.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
-        F.sum("click_count").alias("kept_clicks")
+    earlier = W.partitionBy(*ads.CLICK_KEYS).orderBy("batch_id")
+    before = F.coalesce(F.lag("click_count").over(earlier), F.lit(0))
+    raised = stored.withColumn("kept", F.col("click_count") - before)
+    return raised.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
+        F.sum("kept").alias("kept_clicks")
     )
 
 
+def ad_upserted_counts(v: Views) -> DataFrame:
+    """Totals as the stream kept them up to date by key, batch by batch."""
+    return totals_table(v.spark, f"{_run(v)[1]}/totals").read()
+
+
 _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "action_scan_by_date": action_scan_by_date,
     "click_scan_by_time": click_scan_by_time,
@@ -430,6 +452,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "ad_stream_counts": ad_stream_counts,
     "ad_stream_blacklist": ad_stream_blacklist,
     "ad_stream_filter": ad_stream_filter,
+    "ad_upserted_counts": ad_upserted_counts,
 }
 
 
