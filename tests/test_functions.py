@@ -188,3 +188,31 @@ def test_area_level(spark):
         "D级",
     ]
     assert values(spark, labels.area_level(F.col("x"), {}, "z"), ["华北"]) == ["z"]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2024-02-31 25:61:00", "2024-03-03 02:01:00"),
+        ("2024-1-5 9:5:7", "2024-01-05 09:05:07"),
+        ("2024-01-05 09:05:07.250 and more", "2024-01-05 09:05:07"),
+        ("2024-13-01 00:00:00", "2025-01-01 00:00:00"),
+        ("2024-00-00 00:00:00", "2023-11-30 00:00:00"),
+        ("  2024- 01-05  09:05:07", "2024-01-05 09:05:07"),
+        ("2024-01-05 09:05:86400", "2024-01-06 09:05:00"),
+        ("2023-02-29 00:00:00", "2023-03-01 00:00:00"),
+        ("0000-01-01 00:00:00", None),
+        ("9999-12-31 23:59:60", None),
+        ("2024-01-05 09:05", None),
+        ("2024-01-05", None),
+        ("-2024-01-05 09:05:07", None),
+        ("2024-01-05 09:05:x", None),
+        ("99999999999-01-05 09:05:07", None),
+        ("999999999-999999999-999999999 999999999:999999999:999999999", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_times_are_read_leniently(spark, text, expected):
+    row = table(spark, "text string", (text,)).select(times.format_time(times.parse_time(F.col("text"))))
+    assert row.first()[0] == expected

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.frames import table, tuples
 from trailmark import __main__ as command
@@ -12,12 +13,19 @@ from trailmark.operators import categories
 from trailmark.params import ParamError
 from trailmark.plans.session_analysis import session_reports
 from trailmark.schemas import TASK
-from trailmark.sinks import results
+from trailmark.sinks import results, staging
 from trailmark.sources.dimensions import JdbcConnection, JdbcSplit
 from trailmark.verification import queries
 from trailmark.verification.views import Views
 
 FOLDER = "/root/testdata/sf0.001"
+TABLES = (
+    "session_aggr_stat",
+    "session_random_extract",
+    "session_detail",
+    "top10_category",
+    "top10_category_session",
+)
 PARAMS = {"startDate": ["2024-01-01"], "endDate": ["2024-01-30"], "targetPageFlow": ["1,2,3"]}
 
 
@@ -52,41 +60,92 @@ def run(inputs, out, job, task, *more):
     )
 
 
+def report(spark, out, name):
+    return results.read_report(spark, results.FileTarget(str(out)), name)
+
+
 def test_session_job(spark, inputs, tmp_path):
     more = ["--users", f"{inputs}/users", "--sample", "600"]
     run(inputs, tmp_path, "session", 1, *more)
     views = Views(spark, FOLDER)
 
     def written(name):
-        return tuples(spark.read.parquet(f"{tmp_path}/{name}"))
+        return tuples(report(spark, tmp_path, name))
 
     assert written("session_aggr_stat") == tuples(queries.session_stat_ratios(views))
     assert written("session_random_extract") == tuples(queries.session_sample(views))
     assert written("top10_category") == tuples(queries.category_top10(views))
     assert written("top10_category_session") == tuples(queries.category_top_sessions(views))
-    detail = spark.read.parquet(f"{tmp_path}/session_detail")
+    detail = report(spark, tmp_path, "session_detail")
     sampled = detail.where("source = 'sample'").drop("top_category_id")
     assert tuples(sampled) == tuples(queries.session_sample_detail(views))
     listed = detail.where("source = 'top_category'")
     assert tuples(listed) == tuples(queries.category_top_session_detail(views))
 
-    details = detail.count()
+    # Another task adds its rows, a rerun replaces the task's own.
+    before = tuples(detail)
+    run(inputs, tmp_path, "session", 2, *more)
+    both = tuples(report(spark, tmp_path, "session_detail"))
+    run(inputs, tmp_path, "session", 1, *more)
+    assert len(both) > len(before) and tuples(report(spark, tmp_path, "session_detail")) == both
+    assert report(spark, tmp_path, "session_aggr_stat").count() == 2
+
+
+def test_session_job_that_appends_or_overwrites(spark, inputs, tmp_path):
+    more = ["--users", f"{inputs}/users", "--mode"]
+    for mode, stats in (("append", 1), ("append", 2), ("overwrite", 1)):
+        run(inputs, tmp_path, "session", 1, *more, mode)
+        assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").count() == stats
+    # Both detail reports of a run are in one table.
+    detail = spark.read.parquet(f"{tmp_path}/session_detail")
+    assert {row.source for row in detail.collect()} == {"sample", "top_category"}
+
+
+def test_a_job_that_dies_between_tables_leaves_nothing(spark, inputs, tmp_path, monkeypatch):
+    more = ["--users", f"{inputs}/users"]
+    run(inputs, tmp_path, "session", 2, *more)
+    before = {name: tuples(report(spark, tmp_path, name)) for name in TABLES}
+
+    made = results.TaskReports.write
 
-    # A second run appends under another task, overwriting replaces every table once.
+    def third_fails(self, task_id, reports):
+        broken = reports[3][1].withColumn("task_id", F.raise_error(F.lit("gone")).cast("long"))
+        return made(self, task_id, [*reports[:3], (reports[3][0], broken), *reports[4:]])
+
+    for task in (1, 2):
+        with monkeypatch.context() as patch, pytest.raises(Exception, match="gone"):
+            patch.setattr(results.TaskReports, "write", third_fails)
+            run(inputs, tmp_path, "session", task, *more)
+        assert {name: tuples(report(spark, tmp_path, name)) for name in TABLES} == before
     run(inputs, tmp_path, "session", 2, *more)
-    assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").count() == 2
-    run(inputs, tmp_path, "session", 1, *more, "--mode", "overwrite")
-    assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").count() == 1
-    assert spark.read.parquet(f"{tmp_path}/session_detail").count() == details
+    assert {name: tuples(report(spark, tmp_path, name)) for name in TABLES} == before
+    run(inputs, tmp_path, "session", 1, *more)
+    assert report(spark, tmp_path, "session_aggr_stat").count() == 2
+    # Of each task the last run and the one before it at most.
+    assert len(list(tmp_path.glob("session_detail/task=2/run=*"))) == 2
+    assert len(list(tmp_path.glob("session_detail/task=1/run=*"))) == 1
+
+
+def test_reports_with_and_without_staging_are_equal(spark, inputs, tmp_path):
+    """Observed lengths and sessions looked up by name change no report."""
+    logs = spark.read.parquet(f"{inputs}/actions"), spark.read.parquet(f"{inputs}/users")
+    plain = session_reports(*logs, queries.ALL)
+    stage = lambda df, name: staging.staged(df, str(tmp_path), name)
+    made = session_reports(*logs, queries.ALL, stage=stage, staged=True)
+    assert [name for name, _ in plain] == [name for name, _ in made]
+    for (_, one), (_, other) in zip(plain, made):
+        assert one.dtypes == other.dtypes and tuples(one) == tuples(other)
+    lengths = made[0][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in lengths.lower()  # nothing is read for them
 
 
 def test_session_job_with_criteria(spark, inputs, tmp_path):
     run(inputs, tmp_path, "session", 2, "--users", f"{inputs}/users")
     matching = queries._filtered(queries.SEX)(Views(spark, FOLDER))
     kept = {row.session_id for row in matching.collect()}
-    top = spark.read.parquet(f"{tmp_path}/top10_category_session").collect()
+    top = report(spark, tmp_path, "top10_category_session").collect()
     assert top and {row.session_id for row in top} <= kept
-    assert spark.read.parquet(f"{tmp_path}/session_aggr_stat").first().session_count == len(kept)
+    assert report(spark, tmp_path, "session_aggr_stat").first().session_count == len(kept)
 
 
 def test_reports_are_lazy_without_staging(spark, inputs):
@@ -105,7 +164,7 @@ def test_reports_are_lazy_without_staging(spark, inputs):
 
 def test_page_job(spark, inputs, tmp_path):
     run(inputs, tmp_path, "page", 1)
-    row = spark.read.parquet(f"{tmp_path}/page_split_convert_rate").first()
+    row = report(spark, tmp_path, "page_split_convert_rate").first()
     assert row.task_id == 1
     assert [part.split("=")[0] for part in row.convert_rate.split("|")] == ["1_2", "2_3"]
 
@@ -120,7 +179,7 @@ def test_page_job_needs_a_flow_and_a_task(inputs, tmp_path):
 def test_product_job(spark, inputs, tmp_path):
     more = ["--cities", f"{inputs}/cities", "--products", f"{inputs}/products"]
     run(inputs, tmp_path, "product", 1, *more)
-    found = spark.read.parquet(f"{tmp_path}/area_top3_product").drop("area_level")
+    found = report(spark, tmp_path, "area_top3_product").drop("area_level")
     assert tuples(found) == tuples(queries.area_top3(Views(spark, FOLDER)).drop("area_level"))
 
 

@@ -16,10 +16,22 @@ from trailmark.operators.ads import THRESHOLD
 from trailmark.operators.sampling import DEFAULT_TOTAL
 from trailmark.plans import area_top_products, page_funnel, session_analysis
 from trailmark.session import build_session, stream_session
-from trailmark.sinks.results import CatalogTarget, FileTarget, JdbcTarget, Target
+from trailmark.sinks.results import (
+    CatalogTarget,
+    FileTarget,
+    JdbcTarget,
+    Target,
+    write_actions,
+    write_bucketed_actions,
+)
 from trailmark.sources.actions import read_table
 from trailmark.sources.click_log import read_file_lines, read_kafka_lines
-from trailmark.sources.dimensions import JdbcConnection, JdbcSplit, read_jdbc
+from trailmark.sources.dimensions import (
+    JdbcConnection,
+    JdbcSplit,
+    read_jdbc,
+    read_jdbc_evenly,
+)
 from trailmark.sources.tasks import find_task
 from trailmark.streaming.ad_blacklist import AdBlacklistStream
 
@@ -44,6 +56,14 @@ def _arguments() -> argparse.ArgumentParser:
         metavar="TABLE=COLUMN,LOWER,UPPER,PARTITIONS",
         help="read a large table in so many ranges of a numeric column",
     )
+    database.add_argument(
+        "--jdbc-even",
+        action="append",
+        default=[],
+        metavar="TABLE=COLUMN,PARTITIONS",
+        help="read a large table in parts of equally many rows, by bounds the database is\n"
+        "asked for",
+    )
 
     for job in ("session", "page", "product"):
         task = jobs.add_parser(job, parents=[database])
@@ -51,7 +71,13 @@ def _arguments() -> argparse.ArgumentParser:
         task.add_argument("--tasks", default="task")
         task.add_argument("--actions", default="user_visit_action")
         task.add_argument("--out", required=True)
-        task.add_argument("--mode", default="append", choices=["append", "overwrite"])
+        task.add_argument(
+            "--mode",
+            default="replace",
+            choices=["replace", "append", "overwrite"],
+            help="replace what the task wrote before, in all tables at once (default),\n"
+            "append to the tables, or overwrite them",
+        )
     session = jobs.choices["session"]
     session.add_argument("--users", default="user_info")
     session.add_argument("--sample", type=int, default=DEFAULT_TOTAL)
@@ -68,6 +94,13 @@ def _arguments() -> argparse.ArgumentParser:
         "--by-day", action="store_true", help="update_date is the day of the action's time"
     )
 
+    store = jobs.add_parser("store", help="write an action log in the layout the jobs read best")
+    store.add_argument("--actions", required=True)
+    kind = store.add_mutually_exclusive_group(required=True)
+    kind.add_argument("--path", help="folder: days, with an index by session")
+    kind.add_argument("--table", help="catalog table: days, in buckets by session")
+    store.add_argument("--buckets", type=int, default=512, help="with --table")
+
     ads = jobs.add_parser("ads")
     ads.add_argument("--root", required=True, help="folder for counts, blacklist, checkpoint")
     source = ads.add_mutually_exclusive_group(required=True)
@@ -108,6 +141,11 @@ def _split(options: argparse.Namespace, table: str) -> JdbcSplit | None:
 def _source(spark: SparkSession, name: str, options: argparse.Namespace) -> DataFrame:
     if name.startswith(_JDBC):
         table = name.removeprefix(_JDBC)
+        for text in options.jdbc_even:
+            named, _, how = text.partition("=")
+            column, _, parts = how.partition(",")
+            if named == table:
+                return read_jdbc_evenly(spark, _connection(options), table, column, int(parts))
         return read_jdbc(spark, _connection(options), table, _split(options, table))
     return read_table(spark, name)
 
@@ -164,6 +202,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"trailmark-{options.job}", hive=options.hive)
     if options.job == "ads":
         _run_ads(spark, options)
+    elif options.job == "store":
+        actions = read_table(spark, options.actions)
+        if options.path:
+            write_actions(actions, options.path)
+        else:
+            write_bucketed_actions(actions, options.table, options.buckets)
     elif options.job == "ads-export":
         AdBlacklistStream(spark, options.root).export(_target(options))
     else:

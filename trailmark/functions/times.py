@@ -16,9 +16,41 @@ DATE_HOUR = "yyyy-MM-dd_HH"
 HOUR = "HH"
 
 
+# The fields of a time as they may be written: any number of digits a count can have, blanks
+# before them, anything after the seconds.
+_FIELDS = r"^\s*(\d{1,9})-\s*(\d{1,9})-\s*(\d{1,9}) \s*(\d{1,9}):\s*(\d{1,9}):\s*(\d{1,9})"
+_FIRST_SECOND, _LAST_SECOND = -62_135_596_800, 253_402_300_799  # of the years 1 to 9999
+
+
 def parse_time(text: Column) -> Column:
-    """Wall-clock timestamp, null for text that is no time."""
-    return F.try_to_timestamp(text, F.lit(TIME_INPUT)).cast("timestamp_ntz")
+    """Wall-clock timestamp, null for text that is no time.
+
+    Lenient: fields need no padding, and what is too much for one rolls over into the next
+    larger one, so ``2024-02-31 25:61:00`` is 2024-03-03 02:01. Text after the seconds is
+    ignored. Times outside the years 1 to 9999 are null.
+    """
+    exact = F.try_to_timestamp(text, F.lit(TIME_INPUT)).cast("timestamp_ntz")
+    first, last = (F.lit(day).cast("timestamp_ntz") for day in ("0001-01-01", "9999-12-31 23:59:59"))
+    return F.coalesce(F.when(exact.between(first, last), exact), _rolled_over(text))
+
+
+def _rolled_over(text: Column) -> Column:
+    """A time by calendar arithmetic on its fields; looked at only where text is unusual."""
+    found = F.regexp_extract_all(text, F.lit(_FIELDS), F.lit(0))
+
+    def field(group: int) -> Column:
+        part = F.get(F.regexp_extract_all(text, F.lit(_FIELDS), F.lit(group)), F.lit(0))
+        return part.try_cast("long")
+
+    year, month, day, hour, minute, second = map(field, range(1, 7))
+    years = year + F.floor((month - 1) / 12)
+    in_reach = (F.size(found) > 0) & years.between(1, 9999)
+    first = F.make_date(
+        F.when(in_reach, years).cast("int"), (F.pmod(month - 1, F.lit(12)) + 1).cast("int"), F.lit(1)
+    )
+    seconds = (F.unix_date(first) + day - 1) * 86_400 + hour * 3_600 + minute * 60 + second
+    seconds = F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds)
+    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def parse_date_key(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.functions.numeric import half_up_ratio
@@ -161,6 +161,23 @@ def _bucket_counts(column: str, prefix: str, buckets: tuple) -> list[Column]:
     ]
 
 
+# More names than this are joined with, not put into the filter that scans are given.
+MOST_NAMED = 10_000
+
+
+def named_sessions(actions: DataFrame, named: DataFrame, most: int) -> DataFrame:
+    """All actions of few sessions: ``named`` holds ``most`` session ids at most, such as a
+    sample of given size.
+
+    The ids become part of the scan's filter, where an index by session answers it. Beyond
+    ``MOST_NAMED`` the rows are joined instead.
+    """
+    if most > MOST_NAMED:
+        return session_detail(actions, named.distinct())
+    ids = sorted(row.session_id for row in named.distinct().collect())
+    return actions.where(F.col("session_id").isin(ids) if ids else F.lit(False))
+
+
 def visit_length_histogram(sessions: DataFrame) -> DataFrame:
     counts = _bucket_counts("visit_length", "visit_length", VISIT_BUCKETS)
     return sessions.agg(F.count(F.lit(1)).alias("session_count"), *counts)
@@ -171,14 +188,39 @@ def step_length_histogram(sessions: DataFrame) -> DataFrame:
     return sessions.agg(F.count(F.lit(1)).alias("session_count"), *counts)
 
 
-def session_stat_ratios(sessions: DataFrame, task_id: int = 0) -> DataFrame:
-    """The one-row report: share of sessions per bucket, null when there are none."""
-    visits = _bucket_counts("visit_length", "visit_length", VISIT_BUCKETS)
-    steps = _bucket_counts("step_length", "step_length", STEP_BUCKETS)
-    counts = sessions.agg(F.count(F.lit(1)).alias("session_count"), *visits, *steps)
+def _length_counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("session_count"),
+        *_bucket_counts("visit_length", "visit_length", VISIT_BUCKETS),
+        *_bucket_counts("step_length", "step_length", STEP_BUCKETS),
+    ]
+
+
+def _ratios(counts: DataFrame, task_id: int) -> DataFrame:
     names = [name for name in counts.columns if name != "session_count"]
     return counts.select(
         F.lit(task_id).cast("long").alias("task_id"),
         "session_count",
         *(half_up_ratio(name, "session_count").alias(f"{name}_ratio") for name in names),
     )
+
+
+def session_stat_ratios(sessions: DataFrame, task_id: int = 0) -> DataFrame:
+    """The one-row report: share of sessions per bucket, null when there are none."""
+    return _ratios(sessions.agg(*_length_counts()), task_id)
+
+
+def observed_lengths(sessions: DataFrame, observation: Observation) -> DataFrame:
+    """``sessions``, whose lengths are counted as they pass to wherever they are written.
+
+    Counts are of the tasks that wrote the rows, each once, as long as no shuffle comes
+    between this and the write.
+    """
+    return sessions.observe(observation, *_length_counts())
+
+
+def length_ratios(spark: SparkSession, counts: dict[str, int], task_id: int = 0) -> DataFrame:
+    """The report of ``session_stat_ratios`` from observed counts."""
+    names = [name for name, _ in counts.items()]
+    schema = ", ".join(f"{name} long" for name in names)
+    return _ratios(spark.createDataFrame([tuple(counts[name] for name in names)], schema), task_id)

@@ -42,8 +42,9 @@ def run(
     products: DataFrame,
     params: JobParams,
     target: results.Target,
-    mode: str = "append",
+    mode: str = "replace",
     by_day: bool = False,
 ) -> None:
     report = area_top_products(actions, cities, products, params, by_day=by_day)
-    results.write_result(report, target, results.AREA_TOP3_PRODUCT, mode)
+    reports = [(results.AREA_TOP3_PRODUCT, report)]
+    results.write_reports(reports, target, params.task_id, mode)

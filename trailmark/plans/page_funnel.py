@@ -17,8 +17,9 @@ def page_convert_rates(actions: DataFrame, params: JobParams) -> DataFrame:
 
 
 def run(
-    actions: DataFrame, params: JobParams, target: results.Target, mode: str = "append"
+    actions: DataFrame, params: JobParams, target: results.Target, mode: str = "replace"
 ) -> None:
     rates = page_convert_rates(actions, params)
     report = funnel.page_convert_text(rates, params.task_id)
-    results.write_result(report, target, results.PAGE_SPLIT_CONVERT_RATE, mode)
+    reports = [(results.PAGE_SPLIT_CONVERT_RATE, report)]
+    results.write_reports(reports, target, params.task_id, mode)

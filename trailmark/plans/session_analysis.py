@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from trailmark.operators import categories, sampling, sessions
 from trailmark.params import JobParams
@@ -26,16 +26,26 @@ def session_reports(
     seed: str = "0",
     stage: Stage = _lazy,
     told: bool = True,
+    staged: bool = False,
 ) -> list[tuple[str, DataFrame]]:
     """(result table, rows) pairs of the whole analysis.
 
-    ``stage`` is applied to what several reports read. The log itself is read three
-    times: for the rollup, for the counts per session and category, and for the
-    actions of the few sessions whose detail is kept. ``told``: see ``detail_record``.
+    ``stage`` is applied to what several reports read; ``staged`` says that it writes
+    there and then. The lengths are then counted while the sessions pass to their table,
+    and the few sessions whose detail is kept are looked up in the log by name, for all
+    reports at once. The log itself is read three times: for the rollup, for the counts
+    per session and category, and for that lookup. ``told``: see ``detail_record``.
     """
     task = params.task_id
     log = with_action_time(scan_actions(actions, params.start_date, params.end_date))
-    chosen = stage(sessions.selected_sessions(log, users, params), "sessions")
+    chosen = sessions.selected_sessions(log, users, params)
+    if staged:
+        lengths = Observation("session lengths")
+        chosen = stage(sessions.observed_lengths(chosen, lengths), "sessions")
+        ratios = sessions.length_ratios(actions.sparkSession, lengths.get, task)
+    else:
+        chosen = stage(chosen, "sessions")
+        ratios = sessions.session_stat_ratios(chosen, task)
 
     touched = categories.session_category_counts(log)
     touched = stage(sessions.session_detail(touched, chosen), "session_categories")
@@ -47,8 +57,12 @@ def session_reports(
     top_sessions = stage(
         categories.category_top_sessions(touched, top_categories, task), "top_sessions"
     )
+    if staged:
+        named = sample.select("session_id").union(top_sessions.select("session_id"))
+        most = total + categories.TOP_CATEGORIES * categories.TOP_SESSIONS
+        log = stage(sessions.named_sessions(log, named, most), "named_sessions")
     return [
-        (results.SESSION_AGGR_STAT, sessions.session_stat_ratios(chosen, task)),
+        (results.SESSION_AGGR_STAT, ratios),
         (results.SESSION_RANDOM_EXTRACT, sampling.sample_report(log, sample, task)),
         (
             results.SESSION_DETAIL,
@@ -78,13 +92,12 @@ def run(
     target: results.Target,
     total: int = sampling.DEFAULT_TOTAL,
     seed: str = "0",
-    mode: str = "append",
+    mode: str = "replace",
     told: bool = True,
 ) -> None:
     """Writes all reports; what they share is kept in the cluster's shared folder meanwhile.
 
-    Both detail reports go to one table, so ``mode="overwrite"`` applies to the first
-    write of each table only.
+    ``mode``: see ``write_reports``. Both detail reports go to one table.
     """
     spark = actions.sparkSession
     folder = staging.run_folder(spark, "session-analysis")
@@ -97,10 +110,8 @@ def run(
             seed,
             stage=lambda df, name: staging.staged(df, folder, name),
             told=told,
+            staged=True,
         )
-        written: set[str] = set()
-        for table, rows in reports:
-            results.write_result(rows, target, table, "append" if table in written else mode)
-            written.add(table)
+        results.write_reports(reports, target, params.task_id, mode)
     finally:
         staging.drop_folder(spark, folder)

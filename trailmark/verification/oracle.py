@@ -550,7 +550,11 @@ SELECT event_id,
        coalesce(time < TIMESTAMP '2024-01-15 09:05:07', false) AS is_before,
        coalesce(time > TIMESTAMP '2024-01-15 09:05:07', false) AS is_after,
        coalesce((epoch_us(time) - epoch_us(TIMESTAMP '2024-01-15 09:05:07')) // 1000000, 0)
-         AS seconds
+         AS seconds,
+       strftime(make_date(year(ts), 1, 1) + to_months(CAST(month(ts) + 12 AS INTEGER))
+         + to_days(CAST(day(ts) + 30 AS INTEGER)) + to_hours(hour(ts) + 24)
+         + to_minutes(minute(ts) + 75) + to_seconds(second(ts) + 61), '%Y-%m-%d %H:%M:%S')
+         AS rolled_over
 FROM t""",
         "string_functions": """
 WITH t AS (

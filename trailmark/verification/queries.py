@@ -257,11 +257,16 @@ def area_level(v: Views) -> DataFrame:
 def time_functions(v: Views) -> DataFrame:
     """Texts with an unpadded hour; those of error events are unreadable."""
     text = F.date_format("ts", times.TIME_INPUT)
+    # Fields of the same event beyond their range: 13 months, 31 days, 24 hours more.
+    parts = [F.year("ts"), F.month("ts") + 13, F.day("ts") + 31, F.hour("ts") + 24]
+    parts += [F.minute("ts") + 75, F.second("ts") + 61]
+    beyond = F.format_string("%d-%d-%d %d:%d:%d and more", *parts)
     events = v.table("events").select(
         "event_id",
         F.when(F.col("event_type") == "error", F.lit("bad")).otherwise(text).alias("text"),
         F.lit("2024-01-15 9:05:07").alias("other"),
         F.date_format("ts", times.DATE_KEY).alias("key"),
+        beyond.alias("beyond"),
     )
     text, other = F.col("text"), F.col("other")
     time = times.parse_time(text)
@@ -276,6 +281,7 @@ def time_functions(v: Views) -> DataFrame:
         times.is_before(text, other).alias("is_before"),
         times.is_after(text, other).alias("is_after"),
         times.text_seconds_between(other, text).alias("seconds"),
+        times.format_time(times.parse_time(F.col("beyond"))).alias("rolled_over"),
     )
 
 
