@@ -46,3 +46,34 @@ def test_a_pair_may_also_speak_for_label_0():
         labels.append(float(random.random() < (0.0 if a and b else 0.4)))
     model = toxicity.fit(texts, np.array(labels), toxicity.Settings(signal=50.0))
     assert {1, 2} == set(model.kept.tolist())
+
+
+def test_scores_equal_the_sum_over_pairs():
+    """b + sum w + sum over pairs of <v, v>, pair by pair."""
+    random = np.random.default_rng(3)
+    kept = np.array([3, 8, 9, 20, 21, 40])
+    model = toxicity.Model(
+        toxicity.Settings(), kept, 0.3, random.normal(size=6), random.normal(size=(6, 4))
+    )
+    texts = [[], [3], [1, 2], [3, 8, 40], [8, 9, 20, 21, 40, 41], sorted(kept.tolist())]
+    for text, score in zip(texts, model.scores(texts)):
+        own = [kept.tolist().index(h) for h in text if h in kept]
+        z = model.bias + sum(model.linear[i] for i in own)
+        z += sum(model.pairs[i] @ model.pairs[j] for i in own for j in own if i < j)
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-12
+
+
+def test_rows_that_repeat_an_id_teach_once(spark):
+    rows = [(i % 40, f"{'vile' if i % 40 % 2 else 'kind'} words {i % 7}") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit_flat
+    toxicity.fit_flat = lambda flat, starts, *rest: seen.append(len(starts) - 1) or fit(flat, starts, *rest)
+    try:
+        model = toxicity.train(docs, labels)
+    finally:
+        toxicity.fit_flat = fit
+    assert seen == [40]
+    low, high = model.scores([toxicity.terms(word, model.settings) for word in ("kind", "vile")])
+    assert low < 0.5 < high

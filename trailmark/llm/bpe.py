@@ -15,6 +15,7 @@ import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,10 @@ from pyspark.sql import DataFrame
 from trailmark.llm.common import text_of
 from trailmark.llm.pieces import pieces
 
-# Bounds of what a worker remembers of encoded pre-tokens and pieces; results do not
-# depend on them.
-MEMO_TOKENS = 600_000
-MEMO_PIECES = 100_000
+# Bounds of what a worker remembers of encoded pre-tokens and pieces, each in two
+# generations; results do not depend on them.
+MEMO_TOKENS = 250_000
+MEMO_PIECES = 50_000
 MEMO_LENGTH = 64
 
 
@@ -112,38 +113,61 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class _Tokens(dict):
-    """Pre-token -> its ids as little-endian int32 bytes, filled as pre-tokens turn up."""
+class _Memo(dict):
+    """Text -> its ids as little-endian int32 bytes, filled as texts turn up.
+
+    When it is full it becomes the old generation, in which texts are still found and from
+    which they move back: what is frequent is never forgotten.
+    """
+
+    most = 0
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        packed = self.old.get(text)
+        if packed is None:
+            packed = self.made(text)
+            if len(text) > MEMO_LENGTH:
+                return packed
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[text] = packed
+        return packed
+
+    def made(self, text: str) -> bytes:
+        raise NotImplementedError
+
+
+class _Tokens(_Memo):
+    """Of pre-tokens."""
+
+    most = MEMO_TOKENS
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         super().__init__()
         self.ranks = ranks
 
-    def __missing__(self, token: str) -> bytes:
-        ids = merge(token.encode(), self.ranks)
-        packed = struct.pack(f"<{len(ids)}i", *ids)
-        if len(token) <= MEMO_LENGTH:
-            if len(self) >= MEMO_TOKENS:
-                self.clear()
-            self[token] = packed
-        return packed
+    def made(self, text: str) -> bytes:
+        ids = merge(text.encode(), self.ranks)
+        return struct.pack(f"<{len(ids)}i", *ids)
 
 
-class Encoder(dict):
-    """Piece of text -> its ids, as above: most pieces of a text were met before."""
+class Encoder(_Memo):
+    """Of pieces of text: most pieces of a text were met before."""
+
+    most = MEMO_PIECES
 
     def __init__(self, path: str, pattern: str) -> None:
         super().__init__()
         self.tokens = _Tokens(load_ranks(path))
         self.split = regex.compile(pattern).findall
 
-    def __missing__(self, piece: str) -> bytes:
-        packed = b"".join(map(self.tokens.__getitem__, self.split(piece)))
-        if len(piece) <= MEMO_LENGTH:
-            if len(self) >= MEMO_PIECES:
-                self.clear()
-            self[piece] = packed
-        return packed
+    def made(self, text: str) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.__getitem__, pieces(text))), "<i4")
@@ -156,8 +180,13 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 @lru_cache(maxsize=4)
-def tokens_by_id(path: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in load_ranks(path).items()}
+def tokens_by_id(path: str) -> pa.Array:
+    """The bytes of each id; null where there is none."""
+    ranks = load_ranks(path)
+    made: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        made[rank] = token
+    return pa.array(made, pa.binary())
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -167,6 +196,20 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
 
 
+# Tokens decoded at a time.
+_DECODED = 1 << 20
+
+
+def _runs(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of lists, which end at ``cuts``, of about ``_DECODED`` ids."""
+    row = 0
+    while row < len(cuts):
+        before = int(cuts[row - 1]) if row else 0
+        stop = max(row + 1, int(np.searchsorted(cuts, before + _DECODED, "right")))
+        yield row, stop
+        row = stop
+
+
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -203,10 +246,20 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
         tokens = tokens_by_id(ranks_path)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
-            ids = lists.flatten().to_numpy()
             cuts = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
-            parts = (part.tolist() for part in np.split(ids, cuts[:-1]))
-            made = [b"".join(map(tokens.__getitem__, part)) for part in parts]
+            flat = lists.flatten()
+            made, low = [], 0
+            # Bytes of all tokens stand one after another: a text is a slice of them.
+            for start, stop in _runs(cuts):
+                high = int(cuts[stop - 1])
+                part = tokens.take(flat.slice(low, high - low))
+                if part.null_count:
+                    raise ValueError("an id outside the ranks")
+                ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset :][: len(part) + 1]
+                blob = part.buffers()[2].to_pybytes() if len(part) else b""
+                bounds = ends[np.concatenate([[0], cuts[start:stop] - low])].tolist()
+                made += [blob[a:b] for a, b in pairwise(bounds)]
+                low = high
             columns = [*batch.columns[:-1], pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 

@@ -15,6 +15,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,13 +58,22 @@ class Model:
     pairs: np.ndarray
 
     def scores(self, texts: list[list[int]]) -> np.ndarray:
-        flat, starts = _packed([self._rows(one) for one in texts])
-        return _sigmoid(_forward(flat, starts, self.bias, self.linear, self.pairs)[0])
+        return self.scores_of(*_packed(texts))
 
-    def _rows(self, hashes: list[int]) -> np.ndarray:
-        found = np.searchsorted(self.kept, hashes)
-        found = np.minimum(found, len(self.kept) - 1)
-        return found[self.kept[found] == hashes] if len(self.kept) else found[:0]
+    def scores_of(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Scores of texts whose hashes stand one after another, each text's sorted."""
+        rows, starts = self.rows(flat, starts)
+        return _sigmoid(_forward(rows, starts, self.bias, self.linear, self.pairs)[0])
+
+    def rows(self, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Table rows of the hashes that have a weight, and where each text's start."""
+        if not len(self.kept):
+            return np.zeros(0, np.int64), np.zeros_like(starts)
+        found = np.minimum(np.searchsorted(self.kept, flat), len(self.kept) - 1)
+        held = self.kept[found] == flat
+        upto = np.zeros(len(flat) + 1, np.int64)
+        np.cumsum(held, out=upto[1:])
+        return found[held], upto[starts]
 
 
 def terms(text: str, settings: Settings) -> list[int]:
@@ -76,11 +86,11 @@ def terms(text: str, settings: Settings) -> list[int]:
     return sorted(hashed)
 
 
-def _packed(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _packed(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists one after another, and where each starts."""
     starts = np.zeros(len(lists) + 1, np.int64)
     np.cumsum([len(one) for one in lists], out=starts[1:])
-    flat = np.concatenate(lists) if lists else np.zeros(0)
-    return flat.astype(np.int64), starts
+    return np.fromiter((h for one in lists for h in one), np.int32, starts[-1]), starts
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -101,21 +111,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _chosen(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> np.ndarray:
+def _chosen(flat, starts, positive: np.ndarray, settings: Settings) -> np.ndarray:
     """Sorted hashes of the terms that get a weight."""
-    size = 1 << settings.bits
-    flat = np.fromiter((h for one in texts for h in one), np.int64)
-    each = np.repeat(np.asarray(labels, float), [len(one) for one in texts])
-    counts, hits = np.bincount(flat, minlength=size), np.bincount(flat, each, size)
-    share = float(np.mean(labels)) if len(labels) else 0.0
+    size, n = 1 << settings.bits, len(positive)
+    counts = np.bincount(flat, minlength=size)
+    hits = np.bincount(flat[np.repeat(positive, np.diff(starts))], minlength=size)
+    share = float(positive.mean()) if n else 0.0
     spread = np.sqrt(np.maximum(counts * share * (1 - share), 1e-12))
     telling = np.abs(hits - counts * share) >= settings.signal * spread
-    common = counts >= settings.common * len(texts)
     often = counts >= settings.least
-    chosen = often & (telling | common)
-    del flat, each
+    chosen = often & (telling | (counts >= settings.common * n))
     if 0 < share < 1:
-        chosen[_paired(texts, labels, np.flatnonzero(often), counts, hits, share, settings)] = True
+        often = np.flatnonzero(often)
+        chosen[_paired(flat, starts, positive, often, counts, hits, share, settings)] = True
     return np.flatnonzero(chosen)
 
 
@@ -128,7 +136,7 @@ def _deviance(hits, counts, share):
     return 2 * (yes + rest)
 
 
-def _paired(texts, labels, often, counts, hits, share, settings: Settings) -> np.ndarray:
+def _paired(flat, starts, positive, often, counts, hits, share, settings: Settings) -> np.ndarray:
     """Hashes of the terms in a pair that holds label 1 more often than the term of the two
     that holds it most, or less often than the one that holds it least.
 
@@ -143,23 +151,18 @@ def _paired(texts, labels, often, counts, hits, share, settings: Settings) -> np
     shares = hits[found] / counts[found]
     place = np.full(1 << settings.bits, -1, np.int32)
     place[found] = np.arange(len(found))
-    # Text by text, as all terms at once would take several times the memory.
-    own = []
-    for one in texts:
-        at = place[np.array(one, np.int64)]
-        own.append(at[at >= 0])
-    flat = np.concatenate(own)
-    row = np.repeat(np.arange(len(texts), dtype=np.int32), [len(one) for one in own])
-    del own
+    n = len(positive)
+    flat = place[flat]
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))[flat >= 0]
+    flat = flat[flat >= 0]
     order = np.argsort(flat, kind="stable")
     flat, row = flat[order], row[order]
     step = 256
     cuts = np.searchsorted(flat, np.arange(0, len(found) + step, step))
-    positive = np.asarray(labels) == 1
 
     def block(k: int) -> np.ndarray:
         own = slice(cuts[k], cuts[k + 1])
-        made = np.zeros((len(texts), min(step, len(found) - k * step)), np.float32)
+        made = np.zeros((n, min(step, len(found) - k * step)), np.float32)
         made[row[own], flat[own] - k * step] = 1
         return made
 
@@ -186,8 +189,13 @@ def _paired(texts, labels, often, counts, hits, share, settings: Settings) -> np
 
 
 def fit(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> Model:
+    """A model from texts given as sorted hashes, one list each."""
+    return fit_flat(*_packed(texts), labels, settings)
+
+
+def fit_flat(flat: np.ndarray, starts: np.ndarray, labels: np.ndarray, settings: Settings) -> Model:
     """Mini-batch AdaGrad on the logistic loss; the same input gives the same model."""
-    kept = _chosen(texts, labels, settings)
+    kept = _chosen(flat, starts, np.asarray(labels) == 1, settings)
     share = float(np.mean(labels)) if len(labels) else 0.0
     share = min(max(share, 1e-3), 1 - 1e-3)
     random = np.random.default_rng(settings.seed)
@@ -196,14 +204,15 @@ def fit(texts: list[list[int]], labels: np.ndarray, settings: Settings) -> Model
     bias = np.log(share / (1 - share))
     if not len(kept) or len(set(labels.tolist())) < 2:
         return Model(settings, kept, bias, linear, np.zeros_like(pairs))
-    shell = Model(settings, kept, bias, linear, pairs)
-    rows = [shell._rows(one) for one in texts]
+    told, cuts = Model(settings, kept, bias, linear, pairs).rows(flat, starts)
+    rows = np.split(told, cuts[1:-1])
     past, past_pairs = np.full(len(kept), 1e-8), np.full(pairs.shape, 1e-8)
     for _ in range(settings.epochs):
         order = random.permutation(len(rows))
         for low in range(0, len(order), settings.batch):
             chosen = order[low : low + settings.batch]
-            flat, starts = _packed([rows[i] for i in chosen])
+            flat = np.concatenate([rows[i] for i in chosen])
+            starts = np.cumsum([0, *(len(rows[i]) for i in chosen)])
             score, joint, v = _forward(flat, starts, bias, linear, pairs)
             error = _sigmoid(score) - labels[chosen]
             bias -= settings.rate * error.mean()
@@ -233,7 +242,8 @@ def train(
     """A model from labelled texts (all rows given; hold rows out before).
 
     Terms are hashed on the executors; the driver gets the term hashes of at most
-    ``settings.sample`` texts. Rows without an id, a label or a text teach nothing.
+    ``settings.sample`` texts, as two arrays. Of rows that repeat an id one teaches. Rows
+    without an id, a label or a text teach nothing.
     """
     marked = labels.select(
         labels[id_col].alias("id"), labels[label_col].cast("double").alias("label")
@@ -254,11 +264,29 @@ def train(
     # At most ``sample`` rows of an id and a label: a size bound that a broadcast may have.
     labelled = texts.join(F.broadcast(wanted), "id").select("id", "label", "text")
     kind = labelled.schema["id"].dataType.simpleString()
-    found = labelled.mapInArrow(run, f"id {kind}, label double, terms array<int>").toArrow()
-    rows = sorted(
-        zip(found["id"].to_pylist(), found["label"].to_pylist(), found["terms"].to_pylist())
-    )
-    return fit([row[2] for row in rows], np.array([row[1] for row in rows]), settings)
+    hashed = labelled.mapInArrow(run, f"id {kind}, label double, terms array<int>")
+    # Ids may repeat: of each id and label the text with the smallest hash stays.
+    told = F.struct(F.xxhash64("terms"), "terms")
+    found = hashed.groupBy("id", "label").agg(F.min(told).alias("told"))
+    found = found.select("id", "label", F.col("told.terms").alias("terms")).toArrow()
+    labels = found["label"].to_numpy()
+    order = sorted(range(len(labels)), key=list(zip(found["id"].to_pylist(), labels)).__getitem__)
+    lists = found["terms"].combine_chunks().take(pa.array(order, pa.int64()))
+    del found
+    starts = np.cumsum([0, *pa.compute.list_value_length(lists).to_pylist()])
+    return fit_flat(lists.flatten().to_numpy(), starts, labels[order], settings)
+
+
+# Texts scored at a time.
+_BATCH = 500
+
+
+def _scored(texts: pa.Array, model: Model) -> np.ndarray:
+    made = [np.zeros(0)]
+    for low in range(0, len(texts), _BATCH):
+        part = texts.slice(low, _BATCH)
+        made.append(model.scores([terms(text.as_py() or "", model.settings) for text in part]))
+    return np.concatenate(made)
 
 
 def score(
@@ -276,9 +304,7 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = sent.value
         for batch in batches:
-            made = []
-            for text in batch.column("text"):
-                made.append(fitted.scores([terms(text.as_py(), fitted.settings)])[0])
+            made = _scored(batch.column("text"), fitted)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(made, pa.float64())], ["id", "score"]
             )
@@ -299,9 +325,7 @@ def without_toxic(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = sent.value
         for batch in batches:
-            found = [terms(text.as_py() or "", fitted.settings) for text in batch.column(place)]
-            scores = np.concatenate([fitted.scores([one]) for one in found] or [np.zeros(0)])
-            yield batch.filter(pa.array(scores < threshold))
+            yield batch.filter(pa.array(_scored(batch.column(place), fitted) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
 
