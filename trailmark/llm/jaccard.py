@@ -475,6 +475,9 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     if not large.isEmpty():
         members = large.select("key", F.col("key").alias("other"))
         marks = _entities(texts, index, members, make, "large-marks", settings)
+        # Of the filter data the counts by hash class alone go to each bucket of an entity.
+        counts = F.substring("data", -settings.classes, settings.classes).alias("data")
+        marks = marks.select("key", counts)
         named = large.join(groups.withColumnRenamed("node", "key"), "key", "left").join(marks, "key")
         named = named.select(
             "token", "key", "n", F.coalesce("component", "key").alias("component"), "data"
