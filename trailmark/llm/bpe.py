@@ -26,10 +26,9 @@ from pyspark.sql import DataFrame
 from trailmark.llm.common import text_of
 from trailmark.llm.pieces import pieces
 
-# Bounds of what a worker remembers of encoded pre-tokens and pieces, each in two
-# generations; results do not depend on them.
-MEMO_TOKENS = 250_000
-MEMO_PIECES = 50_000
+# Bound of what a worker remembers of encoded pieces and pre-tokens, in each of two
+# generations; results do not depend on it.
+MEMO_ENTRIES = 300_000
 MEMO_LENGTH = 64
 
 
@@ -40,6 +39,8 @@ def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
     if whole is not None:
         return [whole]
     n = len(token)
+    if n == 2:  # one pair, which has no rank
+        return [ranks[token[:1]], ranks[token[1:]]]
     end = list(range(1, n + 1))  # where the part that starts here ends
     before = list(range(-1, n - 1))  # where the part to the left starts
     pair: list[int | None] = [None] * n  # rank of the pair whose left part starts here
@@ -113,62 +114,45 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class _Memo(dict):
-    """Text -> its ids as little-endian int32 bytes, filled as texts turn up.
+class Encoder(dict):
+    """Piece or pre-token -> its ids as little-endian int32 bytes, filled as they turn up.
 
-    When it is full it becomes the old generation, in which texts are still found and from
-    which they move back: what is frequent is never forgotten.
+    A pre-token alone splits into itself, so both kinds share one memory; most pieces are a
+    single pre-token. When it is full it becomes the old generation, in which entries are
+    still found and from which they move back: what is frequent is never forgotten.
     """
 
-    most = 0
-
-    def __init__(self) -> None:
+    def __init__(self, path: str, pattern: str) -> None:
         super().__init__()
         self.old: dict[str, bytes] = {}
+        self.ranks = load_ranks(path)
+        self.split = regex.compile(pattern).findall
 
-    def __missing__(self, text: str) -> bytes:
-        packed = self.old.get(text)
+    def __missing__(self, piece: str) -> bytes:
+        packed = self.old.get(piece)
         if packed is None:
-            packed = self.made(text)
-            if len(text) > MEMO_LENGTH:
-                return packed
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[text] = packed
+            parts = self.split(piece)
+            if len(parts) == 1:
+                return self._merged(piece)
+            packed = b"".join([self.get(part) or self._part(part) for part in parts])
+        return self._kept(piece, packed)
+
+    def _part(self, token: str) -> bytes:
+        packed = self.old.get(token)
+        return self._merged(token) if packed is None else self._kept(token, packed)
+
+    def _merged(self, token: str) -> bytes:
+        ids = merge(token.encode(), self.ranks)
+        return self._kept(token, struct.pack(f"<{len(ids)}i", *ids))
+
+    def _kept(self, text: str, packed: bytes) -> bytes:
+        if len(text) <= MEMO_LENGTH:
+            if len(self) >= MEMO_ENTRIES:
+                self.old = dict(self)
+                self.clear()
+            self[text] = packed
         return packed
 
-    def made(self, text: str) -> bytes:
-        raise NotImplementedError
-
-
-class _Tokens(_Memo):
-    """Of pre-tokens."""
-
-    most = MEMO_TOKENS
-
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        super().__init__()
-        self.ranks = ranks
-
-    def made(self, text: str) -> bytes:
-        ids = merge(text.encode(), self.ranks)
-        return struct.pack(f"<{len(ids)}i", *ids)
-
-
-class Encoder(_Memo):
-    """Of pieces of text: most pieces of a text were met before."""
-
-    most = MEMO_PIECES
-
-    def __init__(self, path: str, pattern: str) -> None:
-        super().__init__()
-        self.tokens = _Tokens(load_ranks(path))
-        self.split = regex.compile(pattern).findall
-
-    def made(self, text: str) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, self.split(text)))
-
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.__getitem__, pieces(text))), "<i4")
 
