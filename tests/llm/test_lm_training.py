@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
+
+import numpy as np
 
 from tests.llm import docs as fixture
-from trailmark.llm import lm
+from trailmark.llm import gru, lm
 
 
 def chained(seed, words):
@@ -42,3 +45,42 @@ def test_vocabulary_grows_with_the_corpus(spark, monkeypatch):
     rows = [(i, " ".join(f"t{i}x{k}" for k in range(200)), "en", "s", 1) for i in range(700)]
     lm.score_texts(fixture.table(spark, rows), lm.held_out_rows())
     assert seen[0] > 3_000
+
+
+def test_the_last_tokens_of_a_slot_are_learned():
+    """A stream that does not fill its lanes; a word stands at its very end alone."""
+    counts = np.array([500.0, 300, 200, 40, 30, 20, 10, 1])
+    shape = replace(gru.Shape(), classes=3, window=4, lanes=8, updates=2)
+    stream = np.array([i % 7 for i in range(67)] + [7], np.int32)
+    fresh = np.zeros(len(stream), bool)
+    fresh[::17] = True
+
+    def trained(stream):
+        model = gru.Model(gru.start(counts, shape), counts, shape)
+        assert model.train(stream, fresh, 0) == len(stream)
+        return model.w
+
+    one, other = trained(stream), trained(np.append(stream[:-1], 6).astype(np.int32))
+    assert any((one[name] != other[name]).any() for name in gru.NAMES)
+
+
+def test_filled_up_steps_teach_nothing():
+    counts = np.array([50.0, 30, 20, 4, 3, 2])
+    shape = replace(gru.Shape(), classes=2, window=4)
+    model = gru.Model(gru.start(counts, shape), counts, shape)
+    random = np.random.default_rng(1)
+    inputs, targets = random.integers(0, 6, (2, 4, 3))
+    fresh, used = np.zeros((4, 3), bool), np.ones((4, 3), bool)
+    used[2:, 2] = False
+    changed = targets.copy()
+    changed[2:, 2] = (targets[2:, 2] + 1) % 6
+
+    def gradients(targets):
+        total = {name: np.zeros_like(value) for name, value in model.w.items()}
+        trace, _ = model._steps(inputs, fresh, np.zeros((3, shape.hidden), np.float32))
+        for name, rows, grad in model._gradients(trace, inputs, fresh, targets, used):
+            total[name][rows] += grad
+        return total
+
+    one, other = gradients(targets), gradients(changed)
+    assert all(np.allclose(one[name], other[name], atol=1e-6) for name in gru.NAMES)

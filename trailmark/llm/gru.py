@@ -156,14 +156,17 @@ class Model:
         return made
 
     def train(self, stream: np.ndarray, fresh: np.ndarray, begin: int) -> int:
-        """One pass of truncated backpropagation (AdaGrad) over a stream of texts."""
+        """One pass of truncated backpropagation (AdaGrad) over a stream of texts. Lanes are
+        filled up at the end with steps that teach nothing."""
         shape = self.shape
         lanes = max(1, min(shape.lanes, len(stream) // (shape.updates * shape.window)))
-        steps = len(stream) // lanes
+        steps = -(-len(stream) // lanes)
         if not steps:
             return 0
-        targets = stream[: steps * lanes].reshape(lanes, steps).T
-        new = fresh[: steps * lanes].reshape(lanes, steps).T.copy()
+        filling = (0, steps * lanes - len(stream))
+        targets = np.pad(stream, filling, constant_values=begin).reshape(lanes, steps).T
+        new = np.pad(fresh, filling).reshape(lanes, steps).T.copy()
+        used = np.pad(np.ones(len(stream), bool), filling).reshape(lanes, steps).T
         new[0] = True
         inputs = np.where(new, begin, np.vstack([targets[:1], targets[:-1]]))
         past = {name: np.full(value.shape, 1e-6, np.float32) for name, value in self.w.items()}
@@ -171,15 +174,15 @@ class Model:
         for low in range(0, steps, shape.window):
             cut = slice(low, low + shape.window)
             trace, after = self._steps(inputs[cut], new[cut], h)
-            for name, rows, grad in self._gradients(trace, inputs[cut], new[cut], targets[cut]):
+            for name, rows, grad in self._gradients(trace, inputs[cut], new[cut], targets[cut], used[cut]):
                 grad = np.clip(grad, -1, 1)
                 past[name][rows] += grad**2
                 self.w[name][rows] -= shape.rate * grad / np.sqrt(past[name][rows])
             h = after
-        return steps * lanes
+        return len(stream)
 
-    def _gradients(self, trace, inputs, fresh, targets):
-        """(weight, rows, gradient) of the mean loss per lane and step."""
+    def _gradients(self, trace, inputs, fresh, targets, used=None):
+        """(weight, rows, gradient) of the mean loss per lane and step, of the ``used`` steps."""
         w, size = self.w, self.shape.hidden
         states = np.concatenate([step[5] for step in trace])
         flat = targets.ravel()
@@ -187,6 +190,9 @@ class Model:
         scale = 1 / targets.shape[1]
         dtop = np.exp(top)
         dtop[np.arange(len(flat)), classes] -= 1
+        told = None if used is None or used.all() else used.ravel()[:, None].astype(np.float32)
+        if told is not None:
+            dtop *= told
         dstates = dtop @ w["wclass"].T
         every = slice(None)
         made = [
@@ -196,6 +202,8 @@ class Model:
         for rows, low, high, part in inner:
             d = np.exp(part)
             d[np.arange(len(rows)), flat[rows] - low] -= 1
+            if told is not None:
+                d *= told[rows]
             dstates[rows] += d @ w["wword"][low:high]
             made.append(("wword", slice(low, high), d.T @ states[rows] * scale))
             made.append(("bword", slice(low, high), d.sum(0) * scale))
