@@ -223,3 +223,13 @@ def test_jdbc_names_reach_the_database(monkeypatch, spark):
     options.jdbc_url = None
     with pytest.raises(SystemExit, match="jdbc-url"):
         command._target(options)
+
+
+def test_store_writes_both_layouts(spark, inputs, tmp_path):
+    actions = tuples(spark.read.parquet(f"{inputs}/actions").select("session_id", "page_id"))
+    command.main(["store", "--actions", f"{inputs}/actions", "--path", f"{tmp_path}/log"])
+    assert tuples(spark.read.parquet(f"{tmp_path}/log").select("session_id", "page_id")) == actions
+    line = ["store", "--actions", f"{inputs}/actions", "--table", "stored_log", "--buckets", "2"]
+    command.main(line)
+    assert tuples(spark.table("stored_log").select("session_id", "page_id")) == actions
+    spark.sql("DROP TABLE stored_log")
