@@ -10,6 +10,12 @@ from dataclasses import dataclass
 
 import numpy as np
 
+# Tokens scored at once, about.
+_AT_ONCE = 8_192
+
+# exp of scores up to here, and sums of many, are normal single-precision numbers.
+_SAFE = 60
+
 NAMES = ("embed", "win", "bin", "rec", "wclass", "bclass", "wword", "bword")
 
 
@@ -22,7 +28,7 @@ class Shape:
     embed: int = 16
     classes: int = 40
     window: int = 32
-    lanes: int = 128
+    lanes: int = 512
     updates: int = 64
     rate: float = 0.01
     seed: int = 11
@@ -62,9 +68,28 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(states, weights, bias, at, normal: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of the columns ``at``, one for each row, and what the scores were
+    turned into: probabilities if ``normal``. Rows are shifted only if a score could pass
+    what exp can hold (states lie between -1 and 1)."""
+    scores = states @ weights
+    scores += bias
+    if (np.abs(weights).sum(0) + np.abs(bias)).max() > _SAFE:
+        scores -= scores.max(1, keepdims=True)
+    logs = scores[np.arange(len(at)), at].astype(np.float64)
+    np.exp(scores, out=scores)
+    total = scores @ np.ones(scores.shape[1], scores.dtype)
+    if normal:
+        scores /= total[:, None]
+    return logs - np.log(total), scores
+
+
+def _summed(values: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, and the sums of the rows that have them."""
+    order = np.argsort(numbers, kind="stable")
+    ordered = numbers[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    return ordered[first], np.add.reduceat(values[order], first, axis=0)
 
 
 class Model:
@@ -81,34 +106,41 @@ class Model:
         """Hidden states after each step; ``fresh`` marks where a text starts."""
         w, size = self.w, self.shape.hidden
         told = w["embed"][np.asarray(inputs)] @ w["win"] + w["bin"]
+        goes_on = (~np.asarray(fresh))[:, :, None]
         trace = []
-        for g, new in zip(told, fresh):
-            h = np.where(new[:, None], 0, h).astype(np.float32)
+        for g, on in zip(told, goes_on):
+            h = h * on
             u = h @ w["rec"]
             zr = _sigmoid(g[:, : 2 * size] + u[:, : 2 * size])
             z, r = zr[:, :size], zr[:, size:]
-            n = np.tanh(g[:, 2 * size :] + r * u[:, 2 * size :])
-            old, h = h, (1 - z) * n + z * h
-            trace.append((old, z, r, n, u[:, 2 * size :], h))
+            un = u[:, 2 * size :]
+            n = np.tanh(g[:, 2 * size :] + r * un)
+            old, h = h, n + z * (h - n)
+            trace.append((old, z, r, n, un, h))
         return trace, h
 
-    def _outputs(self, states, targets):
-        """Log probabilities of targets, with what the gradient needs."""
+    def _outputs(self, states, targets, normal=True):
+        """Log probabilities of targets, with what the gradient needs: the order by class
+        that all of it is in, where each class's targets start, the probabilities of classes
+        and, for each class, (class, its targets, probabilities of its words)."""
         w = self.w
         classes = self.of[targets]
-        top = _log_softmax(states @ w["wclass"] + w["bclass"])
-        logs = top[np.arange(len(targets)), classes].astype(np.float64)
         order = np.argsort(classes, kind="stable")
-        cuts = np.searchsorted(classes[order], np.arange(len(self.bounds)))
+        classes, states, targets = classes[order], states[order], targets[order]
+        found, top = _softmax(states, w["wclass"], w["bclass"], classes, normal)
+        cuts = np.searchsorted(classes, np.arange(len(self.bounds)))
         inner = []
-        for c in range(len(self.bounds) - 1):
-            rows = order[cuts[c] : cuts[c + 1]]
+        for c in np.flatnonzero(np.diff(cuts)):
             low, high = self.bounds[c], self.bounds[c + 1]
-            if len(rows) and high - low > 1:
-                part = _log_softmax(states[rows] @ w["wword"][low:high].T + w["bword"][low:high])
-                logs[rows] += part[np.arange(len(rows)), targets[rows] - low]
-                inner.append((rows, low, high, part))
-        return logs, top, classes, inner
+            if high - low > 1:
+                rows = slice(cuts[c], cuts[c + 1])
+                words = w["wword"][low:high].T
+                logs, part = _softmax(states[rows], words, w["bword"][low:high], targets[rows] - low, normal)
+                found[rows] += logs
+                inner.append((c, rows, part))
+        logs = np.empty(len(targets))
+        logs[order] = found
+        return logs, order, top, inner
 
     def score(self, texts: list[np.ndarray], begin: int) -> np.ndarray:
         """Natural-log probability of each text (arrays of word numbers), read after ``begin``.
@@ -145,13 +177,15 @@ class Model:
                 fresh[at, lane] = True
                 at += n
         h = np.zeros((lanes, self.shape.hidden), np.float32)
-        for low in range(0, steps, self.shape.window):
-            cut = slice(low, low + self.shape.window)
+        # Few lanes have longer windows, which changes no result.
+        window = max(self.shape.window, _AT_ONCE // lanes)
+        for low in range(0, steps, window):
+            cut = slice(low, low + window)
             trace, h = self._steps(inputs[cut], fresh[cut], h)
             states = np.concatenate([step[5] for step in trace])
             own = owner[cut].ravel()
             used = own >= 0
-            logs = self._outputs(states[used], targets[cut].ravel()[used])[0]
+            logs = self._outputs(states[used], targets[cut].ravel()[used], normal=False)[0]
             made += np.bincount(own[used], logs, len(texts))
         return made
 
@@ -175,9 +209,11 @@ class Model:
             cut = slice(low, low + shape.window)
             trace, after = self._steps(inputs[cut], new[cut], h)
             for name, rows, grad in self._gradients(trace, inputs[cut], new[cut], targets[cut], used[cut]):
-                grad = np.clip(grad, -1, 1)
+                np.clip(grad, -1, 1, out=grad)
                 past[name][rows] += grad**2
-                self.w[name][rows] -= shape.rate * grad / np.sqrt(past[name][rows])
+                grad *= shape.rate
+                grad /= np.sqrt(past[name][rows])
+                self.w[name][rows] -= grad
             h = after
         return len(stream)
 
@@ -186,11 +222,11 @@ class Model:
         w, size = self.w, self.shape.hidden
         states = np.concatenate([step[5] for step in trace])
         flat = targets.ravel()
-        _, top, classes, inner = self._outputs(states, flat)
+        _, order, dtop, inner = self._outputs(states, flat)
         scale = 1 / targets.shape[1]
-        dtop = np.exp(top)
-        dtop[np.arange(len(flat)), classes] -= 1
-        told = None if used is None or used.all() else used.ravel()[:, None].astype(np.float32)
+        states, flat = states[order], flat[order]
+        dtop[np.arange(len(flat)), self.of[flat]] -= 1
+        told = None if used is None or used.all() else used.ravel()[order, None].astype(np.float32)
         if told is not None:
             dtop *= told
         dstates = dtop @ w["wclass"].T
@@ -199,38 +235,47 @@ class Model:
             ("wclass", every, states.T @ dtop * scale),
             ("bclass", every, dtop.sum(0) * scale),
         ]
-        for rows, low, high, part in inner:
-            d = np.exp(part)
-            d[np.arange(len(rows)), flat[rows] - low] -= 1
+        # Classes without a target here have no gradient; those with one are runs of words.
+        seen = [slice(self.bounds[c], self.bounds[c + 1]) for c, _, _ in inner]
+        dword, dbias = np.zeros_like(w["wword"]), np.zeros_like(w["bword"])
+        for (_, rows, d), words in zip(inner, seen):
+            d[np.arange(len(d)), flat[rows] - words.start] -= 1
             if told is not None:
                 d *= told[rows]
-            dstates[rows] += d @ w["wword"][low:high]
-            made.append(("wword", slice(low, high), d.T @ states[rows] * scale))
-            made.append(("bword", slice(low, high), d.sum(0) * scale))
-        dstates = dstates.reshape(len(trace), -1, size)
+            dstates[rows] += d @ w["wword"][words]
+            np.dot(d.T, states[rows], out=dword[words])
+            dbias[words] = d.sum(0)
+        dword *= scale
+        dbias *= scale
+        made += [("wword", every, dword), ("bword", every, dbias)]
+        back_again = np.empty_like(dstates)
+        back_again[order] = dstates
+        dstates = back_again.reshape(len(trace), -1, size)
         back = np.zeros_like(dstates[0])
         drec = np.zeros_like(w["rec"])
-        gates = np.zeros((len(trace), back.shape[0], 3 * size), np.float32)
+        gates = np.zeros((len(trace), back.shape[0], 3 * size), dstates.dtype)
+        through = np.empty((back.shape[0], 3 * size), dstates.dtype)
+        goes_on = (~np.asarray(fresh))[:, :, None]
         for t in range(len(trace) - 1, -1, -1):
             old, z, r, n, un, _ = trace[t]
             dh = dstates[t] + back
-            dn = dh * (1 - z) * (1 - n**2)
-            dz = dh * (old - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            through = np.concatenate([dz, dr, dn * r], 1)
-            gates[t] = np.concatenate([dz, dr, dn], 1)
+            stays = dh * z
+            dn = (dh - stays) * (1 - n * n)
+            gates[t, :, :size] = stays * (old - n) * (1 - z)
+            gates[t, :, size : 2 * size] = dn * un * r * (1 - r)
+            gates[t, :, 2 * size :] = dn
+            through[:, : 2 * size] = gates[t, :, : 2 * size]
+            through[:, 2 * size :] = dn * r
             drec += old.T @ through
-            back = np.where(fresh[t][:, None], 0, dh * z + through @ w["rec"].T)
-        gates = gates.reshape(-1, 3 * size) * scale
-        x = inputs.ravel()
-        used, place = np.unique(x, return_inverse=True)
-        per_word = np.zeros((len(used), 3 * size), np.float32)
-        np.add.at(per_word, place, gates)
+            back = (stays + through @ w["rec"].T) * goes_on[t]
+        gates = gates.reshape(-1, 3 * size)
+        gates *= scale
+        words, per_word = _summed(gates, np.asarray(inputs).ravel())
         made += [
             ("rec", every, drec * scale),
             ("bin", every, gates.sum(0)),
-            ("win", every, w["embed"][used].T @ per_word),
-            ("embed", used, per_word @ w["win"].T),
+            ("win", every, w["embed"][words].T @ per_word),
+            ("embed", words, per_word @ w["win"].T),
         ]
         return made
 

@@ -34,9 +34,10 @@ END = b"\n"
 
 @dataclass(frozen=True)
 class Settings:
-    """The recurrent weights are fitted on every training text (one in ``every``). Each slot
-    of about ``slot_bytes`` trains on its own from common weights, and the slots' weights
-    are averaged in each round. The recurrent vocabulary has ``vocabulary`` words, and from
+    """The recurrent weights are fitted on every training text (one in ``every``), once each:
+    texts are dealt over ``rounds`` by their crc32. In a round each slot of about
+    ``slot_bytes`` trains on its own from common weights, and the slots' weights are
+    averaged. The recurrent vocabulary has ``vocabulary`` words, and from
     some size of the corpus on ``growth`` times the square root of its training tokens.
     """
 
@@ -121,13 +122,14 @@ def _numbered(texts: list[str], places: dict[bytes, int], unknown: int) -> list[
     return made
 
 
-def _slots(table: pa.Table, settings: Settings) -> Iterator[list[str]]:
-    """A pack's training texts in slots, in an order that its rows' order does not change."""
+def _slots(table: pa.Table, settings: Settings, turn: int | None = None) -> Iterator[list[str]]:
+    """A pack's training texts in slots, in an order that its rows' order does not change;
+    only those of round ``turn`` if one is given."""
     texts = [text for text, out in zip(table["text"].to_pylist(), table["held_out"].to_pylist()) if not out]
     ordered = sorted((zlib.crc32(text.encode()), text) for text in texts)
     slot, size = [], 0
     for crc, text in ordered:
-        if crc % settings.every:
+        if crc % settings.every or turn not in (None, crc // settings.every % settings.rounds):
             continue
         slot.append(text)
         size += len(text)
@@ -139,20 +141,20 @@ def _slots(table: pa.Table, settings: Settings) -> Iterator[list[str]]:
 
 
 def _fitted(packs: DataFrame, weights: dict, counts: np.ndarray, places: dict, settings: Settings):
-    """Weights after ``rounds`` of local training and averaging. Texts stay in their packs;
-    a task sends one average of its slots' weights."""
+    """Weights after ``rounds`` of local training and averaging, each on its share of the
+    texts. Texts stay in their packs; a task sends one average of its slots' weights."""
     context = packs.sparkSession.sparkContext
     unknown, end = places[b""], places[END]
     words = context.broadcast((places, counts))
 
-    def train(sent):
+    def train(sent, turn: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             places, counts = words.value
             base = gru.unpack(sent.value, gru.start(counts, settings.shape))
             total, seen = 0.0, 0
             for batch in batches:
                 for blob in batch.column("texts"):
-                    for slot in _slots(_unpacked(blob.as_py()), settings):
+                    for slot in _slots(_unpacked(blob.as_py()), settings, turn):
                         lists = _numbered(slot, places, unknown)
                         fresh = np.zeros(sum(map(len, lists)), bool)
                         fresh[np.cumsum([0] + [len(one) for one in lists[:-1]])] = True
@@ -175,12 +177,12 @@ def _fitted(packs: DataFrame, weights: dict, counts: np.ndarray, places: dict, s
         return pd.DataFrame({"slot": rows["slot"][:1], "n": [int(n.sum())], "weights": [blob]})
 
     schema = "slot bigint, n bigint, weights binary"
-    for _ in range(settings.rounds):
+    for turn in range(settings.rounds):
         sent = context.broadcast(gru.pack(weights))
-        step = stored(packs.select("texts").mapInArrow(train(sent), schema), "lm-round")
+        step = stored(packs.select("texts").mapInArrow(train(sent, turn), schema), "lm-round")
         left = step.agg(F.max("slot")).first()[0]
-        if left is None:  # nothing to learn from
-            break
+        if left is None:  # nothing to learn from in this round
+            continue
         while left:  # averages of at most 32 weights each, until one is left
             step = step.withColumn("slot", F.floor(F.col("slot") / 32))
             step = step.groupBy("slot").applyInPandas(mean, schema)
@@ -234,8 +236,9 @@ def score_texts(
     found.sort(key=lambda pair: (-pair[1], pair[0]))
     places = {word: i for i, (word, _) in enumerate(found)}
     counts = np.array([c for _, c in found], float)
-    # A class has about as many words as there are classes.
-    classes = max(settings.shape.classes, math.isqrt(len(found)))
+    # As many as make the classes and the words of a token's class fewest together.
+    share = counts[counts > 0] / max(1.0, counts.sum())
+    classes = max(settings.shape.classes, int(np.sqrt(share).sum()))
     settings = replace(settings, shape=replace(settings.shape, classes=classes))
     packs = rows.where("texts is not null").select("pack", "texts")
     weights = _fitted(packs, gru.start(counts, settings.shape), counts, places, settings)
