@@ -64,7 +64,7 @@ def _packs(texts: DataFrame, settings: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         names = ["pack", "texts", "word", "n"]
-        kinds = [pa.string(), pa.binary(), pa.binary(), pa.int64()]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
         held: list[pa.RecordBatch] = []
         size = 0
 
@@ -104,8 +104,9 @@ def _packs(texts: DataFrame, settings: Settings) -> DataFrame:
             yield from made()
 
     # Named by the plan, not in the task: a task run again names its packs anew as a whole.
-    named = texts.withColumn("name", F.expr("uuid()"))
-    schema = "pack string, texts binary, word binary, n bigint"
+    # Packs that happen to have one name are scored as one.
+    named = texts.withColumn("name", F.expr("xxhash64(uuid())"))
+    schema = "pack bigint, texts binary, word binary, n bigint"
     return stored(named.mapInArrow(run, schema), "lm-packs")
 
 
