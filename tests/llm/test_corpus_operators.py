@@ -55,6 +55,19 @@ def test_mixing_edges(spark):
     assert mixing.mix_sources(empty, mixing.source_domain(empty["source"])).count() == 0
 
 
+def test_mixing_columns_with_names_it_adds(spark):
+    docs = fixture.table(spark).selectExpr("*", *(f"'mine' AS {name}" for name in mixing.ADDED))
+    domain = mixing.source_domain(docs["source"])
+    bare = fixture.table(spark)
+    plain = mixing.mix_sources(bare, mixing.source_domain(bare["source"]))
+    plain = plain.select("doc_id", *mixing.ADDED)
+    told = mixing.mix_sources(docs, domain)
+    assert Counter(told.columns) == Counter(docs.columns)
+    assert Counter(told.select(*plain.columns).collect()) == Counter(plain.collect())
+    rows = mixing.placed(docs, domain).collect()
+    assert {row.row[name] for row in rows for name in mixing.ADDED} == {"mine"}
+
+
 def brute_sets(texts):
     made = []
     for _, text in texts:

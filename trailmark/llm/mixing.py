@@ -163,7 +163,11 @@ def _order(mix: Mix, epoch: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(mix.seed), epoch.cast("string"), F.col("id")))
 
 
-def mix_sources(
+# Columns that ``mix_sources`` adds.
+ADDED = ("mix_domain", "mix_tokens", "mix_copies")
+
+
+def placed(
     docs: DataFrame,
     domain: Column,
     mix: Mix = Mix(),
@@ -172,7 +176,8 @@ def mix_sources(
     lang_col: str = "lang",
     source_col: str = "source",
 ) -> DataFrame:
-    """``docs`` with ``mix_domain``, ``mix_tokens`` and ``mix_copies`` (0: left out).
+    """``row`` (all columns of a row of ``docs``, of whatever names), ``mix_domain``,
+    ``mix_tokens`` and ``mix_copies`` (0: left out).
 
     Null domains, languages and sources are branches named ''. Rows with equal ids have
     equal places and come in or stay out together; null ids count as ''. Texts without
@@ -180,9 +185,8 @@ def mix_sources(
     they meet the leaves' bounds, one row for each source, in a join that adaptive
     execution broadcasts by measured size and else splits where a source is hot.
     """
-    columns = docs.columns
     told = docs.select(
-        F.struct(*(docs[name] for name in columns)).alias("row"),
+        F.struct(*(docs[name] for name in docs.columns)).alias("row"),
         F.coalesce(docs[id_col].cast("string"), F.lit("")).alias("id"),
         F.coalesce(domain, F.lit("")).alias("domain"),
         F.coalesce(docs[lang_col], F.lit("")).alias("lang"),
@@ -190,11 +194,17 @@ def mix_sources(
         word_count(docs[text_col]).alias("tokens"),
     )
     plan = _plan(stored(told.drop("row"), "mix-rows"), mix)
-    placed = told.join(plan, list(LEVELS))
     more = F.coalesce(_order(mix, F.col("epochs")) <= F.col("last"), F.lit(False)).cast("bigint")
-    return placed.select(
-        "row.*",
+    return told.join(plan, list(LEVELS)).select(
+        "row",
         F.col("domain").alias("mix_domain"),
         F.col("tokens").alias("mix_tokens"),
         (F.col("epochs") + more).alias("mix_copies"),
     )
+
+
+def mix_sources(docs: DataFrame, domain: Column, mix: Mix = Mix(), **columns: str) -> DataFrame:
+    """``docs`` with the columns ``ADDED`` as ``placed`` finds them; columns of these names
+    in ``docs`` are replaced."""
+    kept = [F.col("row").getField(name).alias(name) for name in docs.columns if name not in ADDED]
+    return placed(docs, domain, mix, **columns).select(*kept, *ADDED)
