@@ -50,10 +50,10 @@ def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents by the target weights, each as often as its source's epochs take it."""
-    told = mixing.mix_sources(docs, mixing.source_domain(docs["source"]), MIX)
+    told = mixing.placed(docs, mixing.source_domain(docs["source"]), MIX)
     copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))
     # Inside a struct, so that a column of any name stays what it is.
-    taken = told.where(F.col("mix_copies") > 0).select(F.struct(*docs.columns).alias("row"), copies)
+    taken = told.where(F.col("mix_copies") > 0).select("row", copies)
     return taken.select("row.*")
 
 
