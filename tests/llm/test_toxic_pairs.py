@@ -67,13 +67,7 @@ def test_rows_that_repeat_an_id_teach_once(spark):
     rows = [(i % 40, f"{'vile' if i % 40 % 2 else 'kind'} words {i % 7}") for i in range(4_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
-    seen = []
-    fit = toxicity.fit_flat
-    toxicity.fit_flat = lambda flat, starts, *rest: seen.append(len(starts) - 1) or fit(flat, starts, *rest)
-    try:
-        model = toxicity.train(docs, labels)
-    finally:
-        toxicity.fit_flat = fit
-    assert seen == [40]
+    assert toxicity.labelled_terms(docs, labels).count() == 40
+    model = toxicity.train(docs, labels)
     low, high = model.scores([toxicity.terms(word, model.settings) for word in ("kind", "vile")])
     assert low < 0.5 < high

@@ -8,6 +8,7 @@ neither says by itself. The pair sum takes linear time: half of |sum v_i|^2 - su
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,7 +20,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import crc_of, hash_sample, text_of
+from trailmark.llm.common import crc_of, hash_sample, stored, text_of
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -140,51 +141,61 @@ def _paired(flat, starts, positive, often, counts, hits, share, settings: Settin
     """Hashes of the terms in a pair that holds label 1 more often than the term of the two
     that holds it most, or less often than the one that holds it least.
 
-    Every pair is counted that has texts enough for its deviance to reach the square of
-    ``pair_signal``; blocks of terms keep the counts in bounded memory.
+    Only pairs count that have texts enough for their deviance to reach the square of
+    ``pair_signal``. To speak for label 1, enough of its texts must hold both terms, which
+    is counted for all pairs; for label 0, every eighth of its texts says which pairs have
+    half of what they need. The deviance of those that are left is taken over all texts.
     """
     least = settings.pair_signal**2
     misses = counts - hits
-    more = 2 * hits[often] * -np.log(share) >= least
-    less = 2 * misses[often] * -np.log(1 - share) >= least
+    hits_needed, misses_needed = least / (-2 * np.log(share)), least / (-2 * np.log(1 - share))
+    more, less = hits[often] >= hits_needed, misses[often] >= misses_needed
     found = often[more | less]
     shares = hits[found] / counts[found]
     place = np.full(1 << settings.bits, -1, np.int32)
     place[found] = np.arange(len(found))
-    n = len(positive)
+    n, yes = len(positive), int(positive.sum())
+    # Texts of label 1 first, then every eighth of the others.
+    line = np.empty(n, np.int64)
+    eighth = np.cumsum(~positive) % 8
+    line[np.lexsort((eighth, ~positive))] = np.arange(n)
+    upto = yes + int((~positive & (eighth == 0)).sum())
     flat = place[flat]
-    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))[flat >= 0]
+    row = np.repeat(line, np.diff(starts))[flat >= 0]
     flat = flat[flat >= 0]
     order = np.argsort(flat, kind="stable")
     flat, row = flat[order], row[order]
-    step = 256
+    step = 512
     cuts = np.searchsorted(flat, np.arange(0, len(found) + step, step))
-
-    def block(k: int) -> np.ndarray:
+    bits = np.zeros((len(found), -(-n // 64)), np.uint64)
+    first = np.empty((len(found), upto), np.uint8)
+    for k in range(len(cuts) - 1):
         own = slice(cuts[k], cuts[k + 1])
-        made = np.zeros((n, min(step, len(found) - k * step)), np.float32)
-        made[row[own], flat[own] - k * step] = 1
-        return made
-
+        made = np.zeros((min(step, len(found) - k * step), bits.shape[1] * 64), np.uint8)
+        made[flat[own] - k * step, row[own]] = 1
+        bits[k * step : k * step + step] = np.packbits(made, axis=1).view(np.uint64)
+        first[k * step : k * step + step] = made[:, :upto]
     chosen = np.zeros(len(found), bool)
-    blocks = len(cuts) - 1
-    for i in range(blocks):
-        left = block(i)
-        for j in range(i, blocks):
-            right = left if i == j else block(j)
-            both = (left[positive].T @ right[positive]).astype(float)
-            held = both + left[~positive].T @ right[~positive]
-            a = shares[i * step : i * step + left.shape[1], None]
-            b = shares[None, j * step : j * step + right.shape[1]]
-            high = np.maximum(np.maximum(a, b), share)
-            low = np.minimum(np.minimum(a, b), share)
-            at = np.flatnonzero((both > held * high) & (held >= settings.least))
-            far = at[_deviance(both.flat[at], held.flat[at], high.flat[at]) >= least]
-            at = np.flatnonzero((both < held * low) & (held >= settings.least))
-            far = np.concatenate([far, at[_deviance(both.flat[at], held.flat[at], low.flat[at]) >= least]])
-            x, y = np.unravel_index(far, both.shape)
-            chosen[i * step + x] = True
-            chosen[j * step + y] = True
+    for low in range(0, len(found), step):
+        left = first[low : low + step].astype(np.float32)
+        for right in range(low, len(found), step):
+            others = left if right == low else first[right : right + step].astype(np.float32)
+            both = left[:, :yes] @ others[:, :yes].T
+            seen = left[:, yes:] @ others[:, yes:].T
+            at = np.flatnonzero((both >= hits_needed) | (16 * seen >= misses_needed))
+            x, y = np.unravel_index(at, both.shape)
+            x, y, both = x + low, y + right, both.ravel()[at].astype(float)
+            held = np.concatenate([np.zeros(0), *(
+                np.bitwise_count(bits[x[i : i + 2048]] & bits[y[i : i + 2048]]).sum(1)
+                for i in range(0, len(at), 2048)
+            )])
+            high = np.maximum(np.maximum(shares[x], shares[y]), share)
+            under = np.minimum(np.minimum(shares[x], shares[y]), share)
+            for told, to in ((both > held * high, high), (both < held * under, under)):
+                told &= held >= settings.least
+                told[told] = _deviance(both[told], held[told], to[told]) >= least
+                chosen[x[told]] = True
+                chosen[y[told]] = True
     return found[chosen]
 
 
@@ -231,19 +242,18 @@ def fit_flat(flat: np.ndarray, starts: np.ndarray, labels: np.ndarray, settings:
     return Model(settings, kept, bias, linear, pairs)
 
 
-def train(
+def labelled_terms(
     docs: DataFrame,
     labels: DataFrame,
     settings: Settings = Settings(),
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-) -> Model:
-    """A model from labelled texts (all rows given; hold rows out before).
+) -> DataFrame:
+    """(id, label, terms) of the texts a model is fitted on, ``settings.sample`` at most.
 
-    Terms are hashed on the executors; the driver gets the term hashes of at most
-    ``settings.sample`` texts, as two arrays. Of rows that repeat an id one teaches. Rows
-    without an id, a label or a text teach nothing.
+    Of rows that repeat an id one teaches. Rows without an id, a label or a text teach
+    nothing.
     """
     marked = labels.select(
         labels[id_col].alias("id"), labels[label_col].cast("double").alias("label")
@@ -268,13 +278,40 @@ def train(
     # Ids may repeat: of each id and label the text with the smallest hash stays.
     told = F.struct(F.xxhash64("terms"), "terms")
     found = hashed.groupBy("id", "label").agg(F.min(told).alias("told"))
-    found = found.select("id", "label", F.col("told.terms").alias("terms")).toArrow()
-    labels = found["label"].to_numpy()
-    order = sorted(range(len(labels)), key=list(zip(found["id"].to_pylist(), labels)).__getitem__)
-    lists = found["terms"].combine_chunks().take(pa.array(order, pa.int64()))
-    del found
-    starts = np.cumsum([0, *pa.compute.list_value_length(lists).to_pylist()])
-    return fit_flat(lists.flatten().to_numpy(), starts, labels[order], settings)
+    return found.select("id", "label", F.col("told.terms").alias("terms"))
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    settings: Settings = Settings(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+) -> Model:
+    """A model from labelled texts (all rows given; hold rows out before).
+
+    The sample of ``labelled_terms`` has a fixed bound, so one task fits the model, on an
+    executor and in the order of the ids: run again, it gives the same model. The driver
+    gets the weights alone. Without labelled texts the model knows no term.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, sizes, flat = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for batch in batches:
+            lists = batch.column("terms")
+            marks.append(batch.column("label").to_numpy())
+            sizes.append(pa.compute.list_value_length(lists).to_numpy().astype(np.int64))
+            flat.append(lists.flatten().to_numpy())
+        if len(marks) > 1:
+            starts = np.append(0, np.cumsum(np.concatenate(sizes)))
+            model = fit_flat(np.concatenate(flat), starts, np.concatenate(marks), settings)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    found = labelled_terms(docs, labels, settings, id_col, text_col, label_col)
+    ordered = found.repartition(1).sortWithinPartitions("id", "label")
+    fitted = stored(ordered.mapInArrow(run, "model binary"), "toxicity-model").first()
+    return pickle.loads(fitted.model) if fitted else fit([], np.zeros(0), settings)
 
 
 # Texts scored at a time.
