@@ -216,3 +216,24 @@ def test_area_level(spark):
 def test_times_are_read_leniently(spark, text, expected):
     row = table(spark, "text string", (text,)).select(times.format_time(times.parse_time(F.col("text"))))
     assert row.first()[0] == expected
+
+
+def test_texts_that_are_no_exact_time_do_not_reach_the_exact_parser(spark):
+    """Each text that Spark's parser refuses would cost an exception."""
+    df = spark.range(400).selectExpr(
+        "CASE id % 4 WHEN 0 THEN 'bad' WHEN 1 THEN concat('2023-14-40 25:61:', id)"
+        " WHEN 2 THEN concat('0000-01-01 9:05:', 10 + id % 50)"
+        " ELSE concat('2024-01-15 9:05:', 10 + id % 50) END AS text",
+        "id",
+    )
+    made = df.select("id", "text", times.format_time(times.parse_time(F.col("text"))).alias("time"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("gettimestamp")
+    for row in made.collect():
+        if row.id % 4 == 1:
+            start = dt.datetime(2024, 2, 1) + dt.timedelta(days=39, hours=25, minutes=61, seconds=row.id)
+            assert row.time == start.strftime("%Y-%m-%d %H:%M:%S")
+        elif row.id % 4 == 3:
+            assert row.time == row.text.replace(" 9", " 09")
+        else:
+            assert row.time is None

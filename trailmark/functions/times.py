@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,13 @@ _FIELDS = r"^\s*(\d{1,9})-\s*(\d{1,9})-\s*(\d{1,9}) \s*(\d{1,9}):\s*(\d{1,9}):\s
 _FIRST_SECOND, _LAST_SECOND = -62_135_596_800, 253_402_300_799  # of the years 1 to 9999
 
 
+# A time as it should be written. Spark's own parser sees nothing else, as a text it cannot
+# read costs it an exception.
+_EXACT = (
+    r"^(?!0000)\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01]) 0*(1?\d|2[0-3]):[0-5]\d:[0-5]\d\z"
+)
+
+
 def parse_time(text: Column) -> Column:
     """Wall-clock timestamp, null for text that is no time.
 
@@ -30,27 +39,38 @@ def parse_time(text: Column) -> Column:
     ignored. Times outside the years 1 to 9999 are null.
     """
     exact = F.try_to_timestamp(text, F.lit(TIME_INPUT)).cast("timestamp_ntz")
-    first, last = (F.lit(day).cast("timestamp_ntz") for day in ("0001-01-01", "9999-12-31 23:59:59"))
-    return F.coalesce(F.when(exact.between(first, last), exact), _rolled_over(text))
+    return F.coalesce(F.when(text.rlike(_EXACT), exact), _rolled_over(text))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _rolled_over(text: Column) -> Column:
     """A time by calendar arithmetic on its fields; looked at only where text is unusual."""
     found = F.regexp_extract_all(text, F.lit(_FIELDS), F.lit(0))
 
-    def field(group: int) -> Column:
-        part = F.get(F.regexp_extract_all(text, F.lit(_FIELDS), F.lit(group)), F.lit(0))
-        return part.try_cast("long")
-
-    year, month, day, hour, minute, second = map(field, range(1, 7))
-    years = year + F.floor((month - 1) / 12)
-    in_reach = (F.size(found) > 0) & years.between(1, 9999)
-    first = F.make_date(
-        F.when(in_reach, years).cast("int"), (F.pmod(month - 1, F.lit(12)) + 1).cast("int"), F.lit(1)
-    )
-    seconds = (F.unix_date(first) + day - 1) * 86_400 + hour * 3_600 + minute * 60 + second
-    seconds = F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds)
-    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01").cast("timestamp_ntz"))
+    def time(fields: Column) -> Column:
+        numbers = (F.get(fields, F.lit(i)).try_cast("long") for i in range(6))
+        year, month, day, hour, minute, second = numbers
+        years = year + F.floor((month - 1) / 12)
+        first = F.make_date(
+            F.when(years.between(1, 9999), years).cast("int"),
+            (F.pmod(month - 1, F.lit(12)) + 1).cast("int"),
+            F.lit(1),
+        )
+        seconds = (F.unix_date(first) + day - 1) * 86_400 + hour * 3_600 + minute * 60 + second
+        return _bound(seconds, at)
+
+    def at(seconds: Column) -> Column:
+        in_reach = F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds)
+        return F.timestamp_add("SECOND", in_reach, F.lit("1970-01-01").cast("timestamp_ntz"))
+
+    digits = F.lit(r"(\d+)")
+    # One match at most, so one time.
+    times = F.transform(found, lambda one: _bound(F.regexp_extract_all(one, digits), time))
+    return F.get(times, F.lit(0))
 
 
 def parse_date_key(text: Column) -> Column:

@@ -268,8 +268,8 @@ def time_functions(v: Views) -> DataFrame:
         F.date_format("ts", times.DATE_KEY).alias("key"),
         beyond.alias("beyond"),
     )
-    text, other = F.col("text"), F.col("other")
-    time = times.parse_time(text)
+    text, other, time = F.col("text"), F.col("other"), F.col("time")
+    events = events.withColumn("time", times.parse_time(text))  # read once, written often
     return events.select(
         "event_id",
         times.format_time(time).alias("time_text"),
