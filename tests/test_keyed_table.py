@@ -113,3 +113,13 @@ def test_merge_statement_runs(values):
         db.execute(statement)
         rows = sorted(db.execute("SELECT * FROM t"))
         assert rows == [row[: len(columns)] for row in ((1, 5), (2, 60), (3, 7))]
+
+
+def test_buckets_of_a_small_batch_are_written_by_several_tasks(spark, tmp_path):
+    rows = [(f"2024-01-0{day}", user, 0, 1) for day in range(1, 6) for user in range(20)]
+    kept = keyed(spark, tmp_path)
+    assert kept.upsert(table(spark, AD_CLICK_COUNT, *rows), 0)
+    files = [path.name for path in tmp_path.rglob("part-*.parquet")]
+    assert len(files) == 5 * 4  # one for each day's bucket
+    assert len({name[:10] for name in files}) > 1
+    assert read(kept) == {row[:3]: 1 for row in rows}

@@ -67,8 +67,10 @@ class KeyedTable(Folders):
         kept = self._read(current).join(fresh.select(*self.keys), self.keys, "left_anti")
         merged = kept.unionByName(fresh).withColumn("version", F.lit(batch_id))
         if touched:
+            # A bucket is one file, of one task; all cores write, however few rows there are.
+            tasks = min(len(touched), self.spark.sparkContext.defaultParallelism)
             (
-                merged.hint("rebalance", self.part, "bucket")
+                merged.repartition(tasks, self.part, "bucket")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(self.part, "bucket", "version")
