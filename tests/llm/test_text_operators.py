@@ -22,6 +22,7 @@ from tests.llm import docs as fixture
 from trailmark.llm import bpe, gru, licenses, lm, quality, token_counts, toxicity
 from trailmark.llm.common import shared_folder
 from trailmark.llm.pieces import pieces
+from trailmark.llm.shingles import shingle_set
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -264,3 +265,21 @@ def test_licences_in_paragraphs(spark):
             assert found[doc_id].licences == []
             assert found[doc_id].n_paragraphs == len(licenses.paragraphs(text))
     assert licenses.scan(docs.limit(0), licenses.train(docs.limit(0))).count() == 0
+
+
+def test_ids_are_decoded_by_the_worker_that_made_them(spark):
+    docs = fixture.table(spark)
+    both = bpe.encode(docs, RANKS, PATTERN, decoded=True)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    apart = bpe.decode(bpe.encode(docs, RANKS, PATTERN).withColumn("kept", F.col("ids")), RANKS)
+    want = Counter((r.doc_id, tuple(r.kept), bytes(r.decoded)) for r in apart.collect())
+    assert Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in both.collect()) == want
+
+
+def test_a_worker_remembers_one_operator_at_a_time():
+    encoder = bpe.encoder(RANKS, PATTERN)
+    encoder.encode("one two")
+    assert bpe.encoder(RANKS, PATTERN) is encoder
+    shingle_set("one two three four")
+    assert bpe.encoder(RANKS, PATTERN) is not encoder

@@ -23,12 +23,12 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 
-from trailmark.llm.common import text_of
+from trailmark.llm.common import held, text_of
 from trailmark.llm.pieces import pieces
 
 # Bound of what a worker remembers of encoded pieces and pre-tokens, in each of two
 # generations; results do not depend on it.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 600_000
 MEMO_LENGTH = 64
 
 
@@ -157,10 +157,9 @@ class Encoder(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, pieces(text))), "<i4")
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
     """One per worker process: tasks that follow find its memory filled."""
-    return Encoder(path, pattern)
+    return held(("bpe", path, pattern), lambda: Encoder(path, pattern))
 
 
 @lru_cache(maxsize=4)
@@ -180,8 +179,9 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
 
 
-# Tokens decoded at a time.
+# Tokens decoded, and rows encoded, at a time.
 _DECODED = 1 << 20
+_ROWS = 1_000
 
 
 def _runs(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -194,10 +194,36 @@ def _runs(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
         row = stop
 
 
+def _bytes_of(lists: pa.ListArray, tokens: pa.Array) -> pa.BinaryArray:
+    """The bytes that each list of ids stands for; null lists have none."""
+    cuts = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+    flat = lists.flatten()
+    made, low = [], 0
+    # Bytes of all tokens stand one after another: a text is a slice of them.
+    for start, stop in _runs(cuts):
+        high = int(cuts[stop - 1])
+        part = tokens.take(flat.slice(low, high - low))
+        if part.null_count:
+            raise ValueError("an id outside the ranks")
+        ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset :][: len(part) + 1]
+        blob = part.buffers()[2].to_pybytes() if len(part) else b""
+        bounds = ends[np.concatenate([[0], cuts[start:stop] - low])].tolist()
+        made += [blob[a:b] for a, b in pairwise(bounds)]
+        low = high
+    return pa.array(made, pa.binary())
+
+
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = False,
 ) -> DataFrame:
-    """(id, ids): the token ids of every whole text, without special tokens.
+    """(id, ids): the token ids of every whole text, without special tokens; with
+    ``decoded`` also the bytes that the ids stand for, as ``decode`` gives them, by the same
+    worker, so that the ids need not come to a second one.
 
     ``ranks_path`` must exist on every executor; ``pattern`` is the public split pattern
     of byte-level BPE, whose matches are encoded separately. Null and empty texts give an
@@ -205,15 +231,22 @@ def encode(
     out. No shuffle: a text is one row of one task, of any length.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    names = ["id", "ids", "decoded"] if decoded else ["id", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(ranks_path, pattern)
         for batch in batches:
-            ids = _lists([coder.encode(text) for text in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
+            for low in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(low, _ROWS)
+                ids = _lists([coder.encode(text) for text in part.column(1).to_pylist()])
+                columns = [part.column(0), ids]
+                if decoded:
+                    columns.append(_bytes_of(ids, tokens_by_id(ranks_path)))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     chosen = docs.select(docs[id_col].alias("id"), text_of(text_col).alias("text"))
-    return chosen.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    schema = f"id {kind}, ids array<int>" + (", decoded binary" if decoded else "")
+    return chosen.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -229,22 +262,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_by_id(ranks_path)
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            cuts = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
-            flat = lists.flatten()
-            made, low = [], 0
-            # Bytes of all tokens stand one after another: a text is a slice of them.
-            for start, stop in _runs(cuts):
-                high = int(cuts[stop - 1])
-                part = tokens.take(flat.slice(low, high - low))
-                if part.null_count:
-                    raise ValueError("an id outside the ranks")
-                ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset :][: len(part) + 1]
-                blob = part.buffers()[2].to_pybytes() if len(part) else b""
-                bounds = ends[np.concatenate([[0], cuts[start:stop] - low])].tolist()
-                made += [blob[a:b] for a, b in pairwise(bounds)]
-                low = high
-            columns = [*batch.columns[:-1], pa.array(made, pa.binary())]
+            columns = [*batch.columns[:-1], _bytes_of(batch.columns[-1], tokens)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     ordered = encoded.select(*(encoded[name] for name in rest), encoded[ids_col])

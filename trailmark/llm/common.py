@@ -7,7 +7,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+_held: dict = {}
+
+
+def held(name: object, make: Callable[[], Any]) -> Any:
+    """What a worker process remembers from task to task under ``name``. One thing at a time:
+    a worker that goes on with another operator's tasks does not carry the last one's along."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def drop_held() -> None:
+    """For operators whose tasks remember nothing and need room."""
+    _held.clear()
+
+
 def text_of(name: str = "text") -> Column:
     """A text column in which null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

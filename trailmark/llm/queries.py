@@ -108,16 +108,13 @@ def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
-    digests = encoded.select(
+    docs = _table(spark, folder, "documents")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
-        "ids",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-    )
-    decoded = bpe.decode(digests, ranks)
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

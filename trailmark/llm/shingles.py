@@ -7,6 +7,8 @@ import hashlib
 import numpy as np
 import xxhash
 
+from trailmark.llm.common import held
+
 # Bound of the hashed words a worker remembers; results do not depend on it.
 MEMO_WORDS = 500_000
 
@@ -22,9 +24,6 @@ class _Words(dict):
         return made
 
 
-_WORDS = _Words()
-
-
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit mixer; each seed permutes the numbers in its own way."""
     x = x ^ np.uint64((seed * 0x9E3779B97F4A7C15 + 0xD6E8FEB86659FD93) % 2**64)
@@ -39,7 +38,7 @@ def shingle_set(text: str, width: int = 3) -> np.ndarray:
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(held("shingles", _Words).__getitem__, words), np.uint64, len(words))
     width = min(width, len(words))
     made = np.full(len(words) - width + 1, width, np.uint64)
     for i in range(width):
