@@ -121,3 +121,12 @@ def test_other_kinds_are_refused():
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         with pytest.raises(ValueError):
             chunks.check_kind(json.load(file))
+
+
+def test_ids_are_decoded_by_the_worker_that_made_them(spark):
+    docs = fixture.table(spark, rows())
+    both = chunks.encode(docs, PATH, decoded=True)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # texts without shared chunks, and the others
+    apart = chunks.decode(chunks.encode(docs, PATH), PATH, keep=True)
+    assert Counter(map(tuple, both.collect())) == Counter(map(tuple, apart.collect()))

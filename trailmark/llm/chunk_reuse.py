@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm import bloom
-from trailmark.llm.common import join_counted, stored, text_of
+from trailmark.llm.common import held, join_counted, stored, text_of
 from trailmark.llm.shingles import mix
 
 WINDOW = 32  # bytes the rolling hash sees
@@ -41,6 +41,7 @@ BITS = 9  # a place is a cut with probability 2^-BITS
 REUSED = 64  # shorter chunks are encoded where they stand
 
 BLOCK = 4 << 20  # bytes hashed, and of texts encoded, at a time
+ROWS = 500  # texts put together at a time
 SEEN = 200_000  # digests whose texts a task remembers to have sent
 MEMO_WORDS = 100_000  # words a worker remembers, twice; results do not depend on these bounds
 MEMO_LENGTH = 48
@@ -167,10 +168,9 @@ class Coder:
         return " ".join(map(self.texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def coder(path: str) -> Coder:
     """One per worker process: tasks that follow find its memory filled."""
-    return Coder(path)
+    return held(("chunks", path), lambda: Coder(path))
 
 
 class Text:
@@ -224,27 +224,40 @@ def shared_chunks(texts: DataFrame) -> DataFrame:
     return found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
 
 
-def _held(block: list[Text], field: np.ndarray, bits: int) -> list[list[bool]]:
+def _found(block: list[Text], field: np.ndarray, bits: int) -> list[list[bool]]:
     """For each text, which of its parts the filter of shared chunks may hold."""
     digests = [d for text in block for d in text.digests if d]
     told = iter(bloom.holds(field, np.ascontiguousarray(_pairs(digests)[:, 0]), bits).tolist())
     return [[bool(d) and next(told) for d in text.digests] for text in block]
 
 
-def _alone(texts: DataFrame, path: str, kind: str, sent, bits: int) -> DataFrame:
-    """(id, ids) of the texts that share nothing, encoded where they are."""
+def _row(rows: pa.Array, ids: list[bytes], coding: Coder | None) -> pa.RecordBatch:
+    """(id, ids), and the decoded texts if there is a ``coding``."""
+    columns, names = [rows, pa.array(ids, pa.binary())], ["id", "ids"]
+    if coding:
+        columns.append(pa.array(list(map(coding.decode, ids)), pa.string()))
+        names.append("decoded")
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _schema(kind: str, decoded: bool) -> str:
+    return f"id {kind}, ids binary" + (", decoded string" if decoded else "")
+
+
+def _alone(texts: DataFrame, path: str, kind: str, sent, bits: int, decoded: bool) -> DataFrame:
+    """The ids (and decoded texts) of the texts that share nothing, encoded where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coding = coder(path)
         for batch in batches:
             for block in _texts(batch.column("text")):
-                held = _held(block, sent.value, bits)
+                held = _found(block, sent.value, bits)
                 own = [text for text, parts in zip(block, held) if not any(parts)]
                 ids = [b"".join(coding.encode(t.data[a:b]) for a, b, _ in t.parts) for t in own]
                 rows = batch.column("id").take(pa.array([t.row for t in own], pa.int64()))
-                yield pa.RecordBatch.from_arrays([rows, pa.array(ids, pa.binary())], ["id", "ids"])
+                yield _row(rows, ids, coding if decoded else None)
 
-    return texts.mapInArrow(run, f"id {kind}, ids binary")
+    return texts.mapInArrow(run, _schema(kind, decoded))
 
 
 def _parts(texts: DataFrame, path: str, kind: str, sent, bits: int) -> DataFrame:
@@ -258,7 +271,7 @@ def _parts(texts: DataFrame, path: str, kind: str, sent, bits: int) -> DataFrame
         for batch in batches:
             for block in _texts(batch.column("text")):
                 made: list[tuple] = []
-                for text, held in zip(block, _held(block, sent.value, bits)):
+                for text, held in zip(block, _found(block, sent.value, bits)):
                     if not any(held):
                         continue
                     rows += 1
@@ -318,17 +331,21 @@ def _encoded_once(parts: DataFrame, path: str) -> DataFrame:
     return told.mapInArrow(run, "a bigint, b bigint, n bigint, ids binary")
 
 
-def _assembled(parts: DataFrame, chunk_ids: DataFrame, kind: str) -> DataFrame:
-    """(id, ids) of texts from their parts, in order."""
+def _assembled(
+    parts: DataFrame, chunk_ids: DataFrame, path: str, kind: str, decoded: bool
+) -> DataFrame:
+    """The ids (and decoded texts) of texts from their parts, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coding = coder(path) if decoded else None
         for batch in batches:
-            lists = batch.column("parts")
-            ids = []
-            for one in lists:
-                found = sorted(one.as_py(), key=lambda part: part["seq"])
-                ids.append(b"".join(part["ids"] for part in found))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                ids = []
+                for one in part.column("parts"):
+                    found = sorted(one.as_py(), key=lambda part: part["seq"])
+                    ids.append(b"".join(part["ids"] for part in found))
+                yield _row(part.column("id"), ids, coding)
 
     refs = parts.where("a is not null").select("task", "row", "seq", "a", "b")
     found = join_counted(refs, chunk_ids, ["a", "b"], "n").select("task", "row", "seq", "ids")
@@ -338,14 +355,20 @@ def _assembled(parts: DataFrame, chunk_ids: DataFrame, kind: str) -> DataFrame:
         F.first("id", ignorenulls=True).alias("id"),
         F.collect_list(F.struct("seq", "ids")).alias("parts"),
     )
-    return texts.select("id", "parts").mapInArrow(run, f"id {kind}, ids binary")
+    return texts.select("id", "parts").mapInArrow(run, _schema(kind, decoded))
 
 
 def encode(
-    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer_path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = False,
 ) -> DataFrame:
     """(id, ids): the token ids of every whole text as the public library gives them without
-    begin and end tokens, as little-endian unsigned 32-bit numbers in one binary.
+    begin and end tokens, as little-endian unsigned 32-bit numbers in one binary. With
+    ``decoded`` also the text that the ids stand for, as ``decode`` gives it, by the same
+    worker, so that the ids need not come to a second one.
 
     ``tokenizer_path`` must exist on every executor and name a tokenizer of the kind above.
     Null and empty texts give an empty binary, null ids and repeated rows stay rows of their
@@ -359,8 +382,8 @@ def encode(
     sent, bits = bloom.broadcast_field(shared, "a")
     parts = stored(_parts(texts, tokenizer_path, kind, sent, bits), "chunked-texts")
     chunk_ids = stored(_encoded_once(parts, tokenizer_path), "chunk-ids")
-    alone = _alone(texts, tokenizer_path, kind, sent, bits)
-    made = alone.unionByName(_assembled(parts, chunk_ids, kind))
+    alone = _alone(texts, tokenizer_path, kind, sent, bits, decoded)
+    made = alone.unionByName(_assembled(parts, chunk_ids, tokenizer_path, kind, decoded))
     return made.withColumnRenamed("id", id_col)
 
 

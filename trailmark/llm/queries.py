@@ -131,9 +131,8 @@ def op10_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 
 def op11_chunked_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = chunk_reuse.encode(_table(spark, folder, "documents"), path)
-    decoded = chunk_reuse.decode(encoded, path, keep=True)
-    return decoded.select(
+    encoded = chunk_reuse.encode(_table(spark, folder, "documents"), path, decoded=True)
+    return encoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
