@@ -62,14 +62,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     make_importable(spark)
     ranks = public_tokenizers.path(RANKS)
     told = docs.select(F.struct("doc_id", "lang", "source").alias("row"), "text")
-    ids = bpe.encode(told, ranks, public_tokenizers.PATTERN, id_col="row")
-    kept = ids.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn(
-        "kept", F.col("ids")
-    )
-    back = bpe.decode(kept.select("row", "n_tokens", "kept", "ids"), ranks)
-    return back.select(
-        "row.*", "n_tokens", F.col("kept").alias("ids"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    made = bpe.encode(told, ranks, public_tokenizers.PATTERN, id_col="row", decoded=True)
+    n_tokens = F.size("ids").cast("bigint").alias("n_tokens")
+    return made.select("row.*", n_tokens, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

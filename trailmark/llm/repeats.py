@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm import bloom
-from trailmark.llm.common import stored, text_of
+from trailmark.llm.common import drop_held, stored, text_of
 
 # A fixed value: a perfect difference set modulo 91; its differences are all of 1..90 once.
 COVER = (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
@@ -137,6 +137,7 @@ def _pack_batches(settings: Settings, content_field=None, bits: int = 0):
     names = ["pack", "ids", "data", "content", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         squeeze = zstandard.ZstdCompressor(level=1)
         seen: set[str] = set()
         held: list[pa.RecordBatch] = []

@@ -20,7 +20,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import crc_of, hash_sample, stored, text_of
+from trailmark.llm.common import crc_of, drop_held, hash_sample, stored, text_of
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -264,6 +264,7 @@ def labelled_terms(
     texts = texts.where("text is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         for batch in batches:
             made = [terms(text.as_py(), settings) for text in batch.column("text")]
             keep = ["id", "label"]
@@ -297,6 +298,7 @@ def train(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         marks, sizes, flat = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         for batch in batches:
             lists = batch.column("terms")
@@ -339,6 +341,7 @@ def score(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         fitted = sent.value
         for batch in batches:
             made = _scored(batch.column("text"), fitted)
@@ -360,6 +363,7 @@ def without_toxic(
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         fitted = sent.value
         for batch in batches:
             yield batch.filter(pa.array(_scored(batch.column(place), fitted) < threshold))
