@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from tests.llm import docs as fixture
 from trailmark.llm import jaccard
+from trailmark.llm.shingles import shingle_set
 
 
 def brute_groups(texts, width, percent):
@@ -72,3 +74,14 @@ def test_stage_keeps_one_of_each_group(spark, rows):
         expected[key] = min(expected.get(key, place), place)
     kept = corpus_pipeline.near_duplicates_removed(spark, docs, "").collect()
     assert Counter((row.doc_id is None, row.doc_id or 0) for row in kept) == Counter(expected.values())
+
+
+def test_large_buckets_get_packed_counts():
+    chosen = jaccard.Settings()
+    sets = [shingle_set(fixture.prose(i, n)) for i, n in enumerate((4, 150, 9_000))]
+    marks = [jaccard.packed_counts(tokens, chosen) for tokens in sets]
+    assert len(marks[1]) < chosen.classes * 3 // 4
+    room = jaccard.room_of(marks)
+    for tokens, counts in zip(sets, room):
+        classes = (tokens >> np.uint64(40)).astype(np.int64) % chosen.classes
+        assert counts.tolist() == np.bincount(classes, minlength=chosen.classes).tolist()

@@ -247,9 +247,22 @@ def _bucket_pairs(keys, sizes, groups, large: bool, settings: Settings):
             yield left, right
 
 
-def _room(marks: list[bytes], classes: int) -> np.ndarray:
-    """The counts by hash class of each mark, which they end in."""
-    return np.stack([np.frombuffer(mark, np.uint8)[-classes:] for mark in marks])
+def _by_class(tokens: np.ndarray, settings: Settings) -> bytes:
+    """A set's token counts by hash class, a byte each. A full class counts as 255 in both
+    sets, which only leaves room for more pairs."""
+    classes = (tokens >> np.uint64(40)).astype(np.int64) % settings.classes
+    counts = np.bincount(classes, minlength=settings.classes)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def packed_counts(tokens: np.ndarray, settings: Settings) -> bytes:
+    """What an entity sends to each of its large buckets: most counts are small."""
+    return zlib.compress(_by_class(tokens, settings), 1)
+
+
+def room_of(marks: list[bytes]) -> np.ndarray:
+    """The counts by hash class of each mark."""
+    return np.stack([np.frombuffer(zlib.decompress(mark), np.uint8) for mark in marks])
 
 
 def _pairs(buckets: DataFrame, settings: Settings, grouped: bool) -> DataFrame:
@@ -289,7 +302,7 @@ def _pairs(buckets: DataFrame, settings: Settings, grouped: bool) -> DataFrame:
                     groups = np.array([numbers.setdefault(names[i], len(numbers)) for i in at])
                     if len(numbers) < 2:
                         continue
-                    room = _room([marks[i] for i in at], settings.classes)
+                    room = room_of([marks[i] for i in at])
                 for left, right in _bucket_pairs(bucket, sizes[at], groups, large and not grouped, settings):
                     near = _close(sizes[at[left]], sizes[at[right]], settings.percent)
                     if grouped and near.any():
@@ -403,9 +416,7 @@ def _filters(sent, settings: Settings):
         for order in range(1, settings.orders):
             prefix = _prefix(tokens, sent.value, order, settings).astype("<u4")
             parts.append(np.uint32(len(prefix)).tobytes() + np.sort(prefix).tobytes())
-        classes = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % settings.classes, minlength=settings.classes)
-        # A full class counts as 255 in both sets, which only leaves room for more pairs.
-        parts.append(np.minimum(classes, 255).astype(np.uint8).tobytes())
+        parts.append(_by_class(tokens, settings))
         return b"".join(parts)
 
     def agree(left: bytes, right: bytes, n: int, m: int) -> bool:
@@ -474,10 +485,9 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     large = proposed.where("token is not null").select("token", "key", "n")
     if not large.isEmpty():
         members = large.select("key", F.col("key").alias("other"))
-        marks = _entities(texts, index, members, make, "large-marks", settings)
         # Of the filter data the counts by hash class alone go to each bucket of an entity.
-        counts = F.substring("data", -settings.classes, settings.classes).alias("data")
-        marks = marks.select("key", counts)
+        counts = lambda tokens: packed_counts(tokens, settings)
+        marks = _entities(texts, index, members, counts, "large-marks", settings)
         named = large.join(groups.withColumnRenamed("node", "key"), "key", "left").join(marks, "key")
         named = named.select(
             "token", "key", "n", F.coalesce("component", "key").alias("component"), "data"
