@@ -43,7 +43,7 @@ def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     make_importable(spark)
     others = [name for name in docs.columns if name != "text"]
     told = docs.select(F.struct(*others).alias("row"), "text")
-    cut = repeats.with_text(repeats.remove_repeats(told, id_col="row"))
+    cut = repeats.remove_repeats(told, id_col="row", decoded=True)
     made = cut.select("row.*", "text").withColumn("n_chars", F.length("text").cast("bigint"))
     return made.select(*docs.columns)
 

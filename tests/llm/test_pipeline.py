@@ -78,6 +78,29 @@ def test_repeats_are_cut_and_rows_stay(kept):
     assert any(len(expected[i]) < len(before[i]) for i in before)
 
 
+def chained_workers(plan):
+    """Python steps of a plan that a task runs one on another, each in a worker of its own."""
+    found, above = [], []
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-")
+        depth = len(line) - len(name)
+        above = [(at, step) for at, step in above if at < depth]
+        if name.startswith("Exchange"):
+            above.append((depth, None))
+        elif name.startswith(("MapIn", "FlatMap", "ArrowEval", "BatchEval")):
+            found += [(above[-1][1], name)] if above and above[-1][1] else []
+            above.append((depth, name))
+    return found
+
+
+@pytest.mark.parametrize("name", ["repeated_strings", "bpe"])
+def test_a_task_has_one_worker(spark, folder, name):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    made = dict(corpus_pipeline.STAGES)[name](spark, docs, folder)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" in plan and not chained_workers(plan)
+
+
 def test_mixed_rows_are_rows_of_the_stage_before(kept):
     before = {tuple(row) for row in kept[3].collect()}
     after = Counter(tuple(row) for row in kept[4].collect())

@@ -252,8 +252,9 @@ _SENT = "bucket long, pack string, names binary, twice binary"
 _MARKS = "bucket long, pack string, marks binary"
 
 
-def _repeated(packs: DataFrame, settings: Settings, buckets: int) -> DataFrame:
+def _repeated(packs: DataFrame, settings: Settings, buckets: int, decoded: bool) -> DataFrame:
     """Packs grouped with the marks of their suffixes, and the function that cuts them."""
+    last = "text" if decoded else "kept"
     length, sample_length = settings.length, settings.sample_length
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,8 +301,9 @@ def _repeated(packs: DataFrame, settings: Settings, buckets: int) -> DataFrame:
                 out, text = gone[run], one.data[run]
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], out.view(np.int8), [0]])))
                 spans = [{"start": int(a), "stop": int(b)} for a, b in zip(edges[::2], edges[1::2])]
-                made.append((id_, len(text), spans, text[~out].tobytes()))
-        return pd.DataFrame(made, columns=["id", "n_bytes", "spans", "kept"])
+                kept = text[~out].tobytes()
+                made.append((id_, len(text), spans, _text(kept) if decoded else kept))
+        return pd.DataFrame(made, columns=["id", "n_bytes", "spans", last])
 
     return by_pack.cogroup(both.groupBy("pack")), cut
 
@@ -310,7 +312,11 @@ SPANS = "array<struct<start:bigint,stop:bigint>>"
 
 
 def remove_repeats(
-    docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    settings: Settings = Settings(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = False,
 ) -> DataFrame:
     """(id, n_bytes, spans, kept): the bytes of each text that are in no repeated string.
 
@@ -319,7 +325,9 @@ def remove_repeats(
     are the removed runs, ``kept`` the other bytes joined (binary, as a cut may fall inside
     a character). Null texts count as empty; shorter texts than ``length`` stay as they
     are; null ids and repeated rows stay rows of their own, and equal rows of that length
-    remove each other whole.
+    remove each other whole. With ``decoded`` there is ``text`` in place of ``kept``, as
+    ``with_text`` makes it, but by the worker that cut it: a second one in the same task
+    would double the workers that an executor has to hold.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -348,18 +356,24 @@ def remove_repeats(
     packs = packed.where("pack is not null").union(more).select("pack", "ids", "data")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = int(max(1, -(-total // settings.bucket_bytes)))
-    schema = f"id {kind}, n_bytes bigint, spans {SPANS}, kept binary"
-    grouped, cut = _repeated(packs, settings, buckets)
+    kept = "text string" if decoded else "kept binary"
+    schema = f"id {kind}, n_bytes bigint, spans {SPANS}, {kept}"
+    grouped, cut = _repeated(packs, settings, buckets, decoded)
     found = grouped.applyInPandas(cut, schema)
     none = F.array().cast(SPANS)
     short = texts.where(F.col("n_bytes") < settings.length).select("id", "n_bytes", none.alias("spans"), F.col("text").alias("kept"))
     all_ = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("stop")))
     gone = rows.join(copied.select("content"), "content", "left_semi").select(
-        "id", "n_bytes", all_.alias("spans"), F.lit(b"").alias("kept")
+        "id", "n_bytes", all_.alias("spans"), (F.lit("") if decoded else F.lit(b"")).alias(kept.split()[0])
     )
+    short = with_text(short) if decoded else short
     return found.union(short).union(gone).withColumnRenamed("id", id_col)
 
 
+def _text(kept: bytes) -> str:
+    return kept.decode("utf-8", "ignore")
+
+
 def with_text(cut: DataFrame) -> DataFrame:
     """``cut`` with ``text`` in place of ``kept``: its bytes as text, without what is left
     of a character that a cut went through."""
@@ -368,7 +382,7 @@ def with_text(cut: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [kept.as_py().decode("utf-8", "ignore") for kept in batch.column(len(rest))]
+            texts = [_text(kept.as_py()) for kept in batch.column(len(rest))]
             columns = [*batch.columns[:-1], pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
