@@ -85,3 +85,41 @@ def test_large_buckets_get_packed_counts():
     for tokens, counts in zip(sets, room):
         classes = (tokens >> np.uint64(40)).astype(np.int64) % chosen.classes
         assert counts.tolist() == np.bincount(classes, minlength=chosen.classes).tolist()
+
+
+def test_sketch_parts_are_packed_to_about_a_byte_a_counter():
+    rng = np.random.default_rng(5)
+    tokens = rng.integers(0, 1 << 24, 2_000_000)
+    found, counts = np.unique(tokens, return_counts=True)
+    cuts = np.searchsorted(found >> jaccard._PART, np.arange((1 << (24 - jaccard._PART)) + 1))
+    size = 0
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        at = found[low:high] & ((1 << jaccard._PART) - 1)
+        blob = jaccard.packed_part(at, counts[low:high])
+        own, told = jaccard.part_of(blob)
+        assert (own == at).all() and (told == counts[low:high]).all()
+        size += len(blob)
+    assert size < 1.5 * len(found)
+
+
+def test_sets_move_once_for_both_sides_of_a_pair(spark, tmp_path):
+    keys = [bytes([i]) * 16 for i in range(60)]
+    sets = {key: np.arange(i % 3, 30, dtype="<u8").tobytes() for i, key in enumerate(keys)}
+    spark.createDataFrame([(k, bytearray(v)) for k, v in sets.items()], "key binary, data binary").write.parquet(
+        f"{tmp_path}/sets"
+    )
+    pairs = [(a, len(sets[a]) // 8, b, len(sets[b]) // 8) for a in keys for b in keys if a < b]
+    spark.createDataFrame(pairs, jaccard.KEY).write.parquet(f"{tmp_path}/pairs")
+    read = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("pairs", "sets")]
+    chosen = jaccard.Settings(percent=95)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = jaccard._verified(*read, chosen)
+        found = {(bytes(row.key), bytes(row.other)) for row in links.collect()}
+        plan = links._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    expected = {(a, b) for a, n, b, m in pairs if 100 * min(n, m) >= 95 * max(n, m)}
+    assert found == expected and 0 < len(found) < len(pairs)
+    assert "ReusedExchange" in plan

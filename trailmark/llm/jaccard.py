@@ -60,20 +60,38 @@ def enough(common, n, m, percent: int):
 
 # --- the corpus-wide token counts ---------------------------------------------------------
 
-_PART = 16  # the sketch is dealt out in parts of 2^16 counters
+_PART = 12  # the sketch is dealt out in parts of 2^12 counters
+
+
+def _planes(numbers: np.ndarray, kind: str) -> bytes:
+    """Numbers as their lowest bytes, then their next ones: those that are 0 pack to nothing."""
+    return numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def packed_part(at: np.ndarray, counts: np.ndarray) -> bytes:
+    """Counters of a part that are not 0, by ascending place: gaps between places, counts."""
+    return zlib.compress(_planes(np.diff(at, prepend=0), "<u2") + _planes(counts, "<u4"), 1)
+
+
+def part_of(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places and counts of a packed part."""
+    raw = np.frombuffer(zlib.decompress(blob), np.uint8)
+    n = len(raw) // 6
+    gaps, counts = raw[: 2 * n].reshape(2, n), raw[2 * n :].reshape(4, n)
+    at = np.cumsum(np.ascontiguousarray(gaps.T).view("<u2").ravel(), dtype=np.int64)
+    return at, np.ascontiguousarray(counts.T).view("<u4").ravel()
 
 
 def _index(docs: DataFrame, settings: Settings) -> DataFrame:
     """Rows of two kinds: documents with their sets' names, and parts of each task's sketch."""
     kind = docs.schema["id"].dataType.simpleString()
-    names = ["id", "content", "n", "key", "part", "salt", "counts"]
+    names = ["id", "content", "n", "key", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.uint64((1 << settings.sketch_bits) - 1)
         id_type = None
         tokens: list[np.ndarray] = []
         waiting = 0
-        salt = 0
 
         def sketch() -> pa.RecordBatch:
             found, counts = np.unique(np.concatenate(tokens) & mask, return_counts=True)
@@ -81,15 +99,13 @@ def _index(docs: DataFrame, settings: Settings) -> DataFrame:
             rows = []
             for part in np.flatnonzero(np.diff(cuts)):
                 run = slice(cuts[part], cuts[part + 1])
-                low = (found[run] & np.uint64(0xFFFF)).astype("<u2")
-                blob = low.tobytes() + counts[run].astype("<u4").tobytes()
-                rows.append((int(part), salt, zlib.compress(blob, 1)))
-            part, salts, blobs = zip(*rows)
+                low = (found[run] & np.uint64((1 << _PART) - 1)).astype(np.int64)
+                rows.append((int(part), packed_part(low, counts[run])))
+            part, blobs = zip(*rows)
             n = len(rows)
             arrays = [
                 pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()),
-                pa.nulls(n, pa.binary()), pa.array(part, pa.int32()), pa.array(salts, pa.int32()),
-                pa.array(blobs, pa.binary()),
+                pa.nulls(n, pa.binary()), pa.array(part, pa.int32()), pa.array(blobs, pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(arrays, names)
 
@@ -102,12 +118,10 @@ def _index(docs: DataFrame, settings: Settings) -> DataFrame:
                 keys.append(set_key(made))
                 tokens.append(made)
                 waiting += len(made)
-            salt = int(sizes[0]) % 64 if sizes else 0
             n = len(sizes)
             arrays = [
                 batch.column("id"), batch.column("content"), pa.array(sizes, pa.int32()),
-                pa.array(keys, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
-                pa.nulls(n, pa.binary()),
+                pa.array(keys, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names)
             if waiting > 2_000_000:
@@ -116,58 +130,49 @@ def _index(docs: DataFrame, settings: Settings) -> DataFrame:
         if waiting:
             yield sketch()
 
-    schema = f"id {kind}, content bigint, n int, key binary, part int, salt int, counts binary"
+    schema = f"id {kind}, content bigint, n int, key binary, part int, counts binary"
     return stored(docs.mapInArrow(run, schema), "jaccard-index")
 
 
-def _summed(parts: DataFrame, *by: str) -> DataFrame:
-    """Adds up sketch parts as they stream by in order: a task holds one sum at a time."""
+def _levels(index: DataFrame, settings: Settings) -> np.ndarray:
+    """A byte for each counter that grows with its count: 0 for none, 1 for a single token.
+
+    16 MB with the default size, for any corpus. The parts of the tasks' sketches are added up
+    as they stream by in order: a task holds one sum at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << _PART, np.int64)
         now = None
 
         def made() -> pa.RecordBatch:
+            level = np.zeros(len(total), np.uint8)
             at = np.flatnonzero(total)
-            count = np.minimum(total[at], 2**32 - 1)
-            blob = zlib.compress(at.astype("<u2").tobytes() + count.astype("<u4").tobytes(), 1)
-            row = zip((*now, blob), (pa.int32(), pa.int32(), pa.binary()))
+            level[at] = np.minimum(255, 1 + np.round(8 * np.log2(total[at])))
+            blob = zlib.compress(level.tobytes(), 1)
             return pa.RecordBatch.from_arrays(
-                [pa.array([value], kind) for value, kind in row], ["part", "salt", "counts"]
+                [pa.array([now], pa.int32()), pa.array([blob], pa.binary())], ["part", "levels"]
             )
 
         for batch in batches:
-            numbers = zip(batch.column("part").to_pylist(), batch.column("salt").to_pylist())
-            for own, blob in zip(numbers, batch.column("counts")):
-                if own != now:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                if part != now:
                     if now is not None:
                         yield made()
-                    now = own
+                    now = part
                     total[:] = 0
-                raw = zlib.decompress(blob.as_py())
-                n = len(raw) // 6
-                total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<u4", n, 2 * n)
+                at, counts = part_of(blob.as_py())
+                total[at] += counts
         if now is not None:
             yield made()
 
-    dealt = parts.repartition(*by).sortWithinPartitions("part", "salt")
-    return dealt.mapInArrow(run, "part int, salt int, counts binary")
-
-
-def _levels(index: DataFrame, settings: Settings) -> np.ndarray:
-    """A byte for each counter that grows with its count: 0 for none, 1 for a single token.
-
-    16 MB with the default size, for any corpus.
-    """
-    parts = index.where("part is not null").select("part", "salt", "counts")
-    once = _summed(parts, "part", "salt").withColumn("salt", F.lit(0))
+    parts = index.where("part is not null").select("part", "counts")
+    dealt = parts.repartition("part").sortWithinPartitions("part")
+    summed = stored(dealt.mapInArrow(run, "part int, levels binary"), "jaccard-levels")
     levels = np.zeros(1 << settings.sketch_bits, np.uint8)
-    for row in _summed(once, "part").toLocalIterator():
-        raw = zlib.decompress(row.counts)
-        n = len(raw) // 6
-        count = np.frombuffer(raw, "<u4", n, 2 * n).astype(float)
-        level = np.minimum(255, 1 + np.round(8 * np.log2(count)))
-        levels[(row.part << _PART) + np.frombuffer(raw, "<u2", n).astype(np.int64)] = level
+    for row in summed.toLocalIterator():
+        low = row.part << _PART
+        levels[low : low + (1 << _PART)] = np.frombuffer(zlib.decompress(row.levels), np.uint8)
     return levels
 
 
@@ -389,22 +394,29 @@ def _entities(
                 )
 
     found = docs.select("content", "text").mapInArrow(run, "content bigint, key binary, data binary")
-    chosen = found.join(wanted.select("key", "content"), ["key", "content"], "left_semi")
+    # Joined by key alone, so that they lie as the step to one row of each key needs them.
+    told = wanted.select("key", F.col("content").alias("wanted"))
+    chosen = found.join(told, "key").where("content = wanted")
     return stored(chosen.dropDuplicates(["key"]).select("key", "data"), f"jaccard-{name}")
 
 
 def _meet(pairs: DataFrame, entities: DataFrame, agree) -> DataFrame:
-    """The pairs for whose data ``agree`` holds."""
-    left = entities.select("key", F.col("data").alias("left"))
-    right = entities.select(F.col("key").alias("other"), F.col("data").alias("right"))
+    """The pairs for whose data ``agree`` holds. Both joins have the same plan of ``entities``,
+    which therefore move once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("left", "right", "n", "other_n")]
-            keep = pa.array([agree(*row) for row in zip(*columns)], pa.bool_())
-            yield batch.select(list(PAIR)).filter(keep)
-
-    return pairs.join(left, "key").join(right, "other").mapInArrow(run, KEY)
+            sizes = [batch.column(name).to_pylist() for name in ("n", "other_n")]
+            data = zip(batch.column("left"), batch.column("right"))
+            keep = [agree(a.as_buffer(), b.as_buffer(), n, m) for (a, b), n, m in zip(data, *sizes)]
+            yield batch.select(list(PAIR)).filter(pa.array(keep, pa.bool_()))
+
+    joined = pairs.alias("pair").join(entities.alias("one"), F.expr("pair.key = one.key"))
+    joined = joined.join(entities.alias("two"), F.expr("pair.other = two.key"))
+    both = joined.select(
+        *(f"pair.{name}" for name in PAIR), F.col("one.data").alias("left"), F.col("two.data").alias("right")
+    )
+    return both.mapInArrow(run, KEY)
 
 
 def _filters(sent, settings: Settings):
@@ -468,6 +480,7 @@ def _joined(docs: DataFrame, settings: Settings, id_col: str, text_col: str):
     sent = spark.sparkContext.broadcast(_levels(index, settings))
     proposed = stored(_pairs(_buckets(texts, sent, settings), settings, grouped=False), "jaccard-pairs")
     pairs = proposed.where("token is null").select(*PAIR).dropDuplicates(["key", "other"])
+    pairs = stored(pairs, "jaccard-pairs-once")
     make, agree = _filters(sent, settings)
     whole = lambda tokens: tokens.astype("<u8").tobytes()
 
