@@ -84,3 +84,38 @@ def test_filled_up_steps_teach_nothing():
 
     one, other = gradients(targets), gradients(changed)
     assert all(np.allclose(one[name], other[name], atol=1e-6) for name in gru.NAMES)
+
+
+def test_weights_move_in_pieces(spark, monkeypatch):
+    rows = [(i, fixture.prose(i, 150), "en", "s", 1) for i in range(60)]
+    packs = lm._packs(
+        fixture.table(spark, rows).repartition(4).selectExpr("doc_id id", "text", "doc_id % 7 = 2 held_out"),
+        lm.Settings(),
+    ).where("texts is not null")
+    words = sorted({word for row in rows for word in lm.tokens(row[1])} - {lm.END})
+    places = {word: i for i, word in enumerate([*words, lm.END, b""])}
+    counts = np.ones(len(places))
+    start = gru.start(counts, gru.Shape())
+    rounds = []
+    monkeypatch.setattr(lm, "stored", lambda df, name, real=lm.stored: rounds.append(real(df, name)) or rounds[-1])
+    made = lm._fitted(packs, start, counts, places, lm.Settings(rounds=2))
+    whole = sum(value.size for value in start.values())
+    assert len(rounds) == 2 and whole > 2 * lm.PIECE
+    for step in rounds:
+        sizes = [len(row.weights) for row in step.collect()]
+        assert sum(sizes) == 4 * whole and max(sizes) <= 4 * lm.PIECE
+    # As one process learns them: each round's slots from common weights, then their mean.
+    expected = start
+    for turn in range(2):
+        total, seen = 0.0, 0
+        for blob in [row.texts for row in packs.collect()]:
+            for slot in lm._slots(lm._unpacked(bytes(blob)), lm.Settings(rounds=2), turn):
+                lists = lm._numbered(slot, places, places[b""])
+                fresh = np.zeros(sum(map(len, lists)), bool)
+                fresh[np.cumsum([0] + [len(one) for one in lists[:-1]])] = True
+                model = gru.Model(expected, counts, gru.Shape())
+                n = model.train(np.concatenate(lists), fresh, places[lm.END])
+                total = total + n * np.frombuffer(gru.pack(model.w), "<f4").astype(float)
+                seen += n
+        expected = gru.unpack((total / seen).astype("<f4").tobytes(), start)
+    assert np.allclose(np.frombuffer(gru.pack(made), "<f4"), np.frombuffer(gru.pack(expected), "<f4"), atol=1e-6)

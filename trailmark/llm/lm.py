@@ -31,6 +31,9 @@ from trailmark.llm.common import crc_of, stored, text_of
 # A token that no word can be, as words hold no white space.
 END = b"\n"
 
+# Weights that move as one row. Averages of many tasks meet row by row, never whole.
+PIECE = 4_096
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -143,7 +146,8 @@ def _slots(table: pa.Table, settings: Settings, turn: int | None = None) -> Iter
 
 def _fitted(packs: DataFrame, weights: dict, counts: np.ndarray, places: dict, settings: Settings):
     """Weights after ``rounds`` of local training and averaging, each on its share of the
-    texts. Texts stay in their packs; a task sends one average of its slots' weights."""
+    texts. Texts stay in their packs; a task sends one average of its slots' weights, in
+    pieces of ``PIECE``."""
     context = packs.sparkSession.sparkContext
     unknown, end = places[b""], places[END]
     words = context.broadcast((places, counts))
@@ -152,7 +156,7 @@ def _fitted(packs: DataFrame, weights: dict, counts: np.ndarray, places: dict, s
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             places, counts = words.value
             base = gru.unpack(sent.value, gru.start(counts, settings.shape))
-            total, seen = 0.0, 0
+            total, seen = np.zeros(len(sent.value) // 4), 0
             for batch in batches:
                 for blob in batch.column("texts"):
                     for slot in _slots(_unpacked(blob.as_py()), settings, turn):
@@ -161,34 +165,33 @@ def _fitted(packs: DataFrame, weights: dict, counts: np.ndarray, places: dict, s
                         fresh[np.cumsum([0] + [len(one) for one in lists[:-1]])] = True
                         model = gru.Model(base, counts, settings.shape)
                         n = model.train(np.concatenate(lists), fresh, end)
-                        total = total + n * np.frombuffer(gru.pack(model.w), "<f4").astype(float)
+                        own = np.frombuffer(gru.pack(model.w), "<f4")
+                        for low in range(0, len(own), PIECE):
+                            total[low : low + PIECE] += n * own[low : low + PIECE].astype(float)
                         seen += n
-            if seen:
-                blob = (total / seen).astype("<f4").tobytes()
-                columns = [[TaskContext.get().partitionId()], [seen], [blob]]
-                arrays = [pa.array(v, k) for v, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["slot", "n", "weights"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            for part in range(-(-len(total) // PIECE) if seen else 0):
+                blob = (total[part * PIECE : (part + 1) * PIECE] / seen).astype("<f4").tobytes()
+                columns = [[part], [TaskContext.get().partitionId()], [seen], [blob]]
+                arrays = [pa.array(v, k) for v, k in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "slot", "n", "weights"])
 
         return run
 
     def mean(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("slot")
         n = rows["n"].to_numpy(float)
         total = sum(k * np.frombuffer(blob, "<f4").astype(float) for k, blob in zip(n, rows["weights"]))
-        blob = (total / n.sum()).astype("<f4").tobytes()
-        return pd.DataFrame({"slot": rows["slot"][:1], "n": [int(n.sum())], "weights": [blob]})
+        return pd.DataFrame({"part": rows["part"][:1], "weights": [(total / n.sum()).astype("<f4").tobytes()]})
 
-    schema = "slot bigint, n bigint, weights binary"
+    schema = "part bigint, slot bigint, n bigint, weights binary"
     for turn in range(settings.rounds):
         sent = context.broadcast(gru.pack(weights))
-        step = stored(packs.select("texts").mapInArrow(train(sent, turn), schema), "lm-round")
-        left = step.agg(F.max("slot")).first()[0]
-        if left is None:  # nothing to learn from in this round
-            continue
-        while left:  # averages of at most 32 weights each, until one is left
-            step = step.withColumn("slot", F.floor(F.col("slot") / 32))
-            step = step.groupBy("slot").applyInPandas(mean, schema)
-            left //= 32
-        weights = gru.unpack(bytes(step.first().weights), weights)
+        step = packs.select("texts").mapInArrow(train(sent, turn), schema)
+        step = stored(step.groupBy("part").applyInPandas(mean, "part bigint, weights binary"), "lm-round")
+        found = {row.part: bytes(row.weights) for row in step.toLocalIterator()}
+        if found:  # else there is nothing to learn from in this round
+            weights = gru.unpack(b"".join(found[part] for part in sorted(found)), weights)
         sent.destroy()
     return weights
 
