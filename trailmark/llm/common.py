@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -11,6 +12,7 @@ from collections.abc import Callable
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,16 @@ def held(name: object, make: Callable[[], Any]) -> Any:
 def drop_held() -> None:
     """For operators whose tasks remember nothing and need room."""
     _held.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, which a worker that waits for its next task would
+    keep beside the tasks of others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim:
+        trim(0)
 
 
 def text_of(name: str = "text") -> Column:

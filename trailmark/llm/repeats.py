@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm import bloom
-from trailmark.llm.common import drop_held, stored, text_of
+from trailmark.llm.common import drop_held, give_back, stored, text_of
 
 # A fixed value: a perfect difference set modulo 91; its differences are all of 1..90 once.
 COVER = (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
@@ -305,7 +305,12 @@ def _repeated(packs: DataFrame, settings: Settings, buckets: int, decoded: bool)
                 made.append((id_, len(text), spans, _text(kept) if decoded else kept))
         return pd.DataFrame(made, columns=["id", "n_bytes", "spans", last])
 
-    return by_pack.cogroup(both.groupBy("pack")), cut
+    def cut_alone(left: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        made = cut(left, replies)
+        give_back()
+        return made
+
+    return by_pack.cogroup(both.groupBy("pack")), cut_alone
 
 
 SPANS = "array<struct<start:bigint,stop:bigint>>"
