@@ -119,3 +119,119 @@ def test_weights_move_in_pieces(spark, monkeypatch):
                 seen += n
         expected = gru.unpack((total / seen).astype("<f4").tobytes(), start)
     assert np.allclose(np.frombuffer(gru.pack(made), "<f4"), np.frombuffer(gru.pack(expected), "<f4"), atol=1e-6)
+
+
+def test_words_are_split_as_python_splits_bytes():
+    texts = ["", " ", "A b\tÉ\x0bc\x0c\x1cd\r\n", " x Y\x85z ", "ẞ İ\x00 q", "plain", "\n\n a  a "]
+    words, sizes = lm._split(lm.pa.array(texts))
+    expected = [text.encode().lower().split() for text in texts]
+    assert sizes.tolist() == [len(one) for one in expected]
+    assert [word.encode() for word in words.to_pylist()] == [word for one in expected for word in one]
+    distinct, codes, cuts = lm._coded(lm.pa.array(texts))
+    found = [[distinct[int(i)].as_py().encode() for i in codes[a:b]] for a, b in zip(cuts, cuts[1:])]
+    assert found == [[*one, lm.END] for one in expected] == [lm.tokens(text) for text in texts]
+    # An empty place is no word, though it is the key of the unknown one.
+    numbers = lm._numbered(texts, {b"a": 0, b"": 1, lm.END: 2, b"plain": 3}, 1)
+    assert [one.tolist() for one in numbers][5:] == [[3, 2], [0, 0, 2]] and numbers[0].tolist() == [2]
+
+
+def test_counts_come_back_to_each_pack_in_few_rows(spark):
+    rows = [(i, fixture.prose(i % 40, 150) + f" own{i}", "en", "s", 1) for i in range(120)]
+    texts = fixture.table(spark, rows).repartition(3).selectExpr("doc_id id", "text", "doc_id % 7 = 2 held_out")
+    packs = lm._packs(texts, lm.Settings(pack_bytes=20_000))
+    told = packs.collect()
+    assert len(told) > 3 and len({row.pack for row in told}) == len(told)
+    counted = lm._counted(packs, 5).collect()
+    train = lm.pd.Series([word for i, text, *_ in rows if i % 7 != 2 for word in lm.tokens(text)])
+    expected = train.value_counts().to_dict()
+    assert {row.word.encode(): row.n for row in counted if row.word is not None} == expected
+    for one in told:
+        words = [word.encode() for word in one.words.split(" ")]
+        found = {}
+        answers = [row for row in counted if row.pack == one.pack]
+        assert len(answers) <= 5  # one row a bucket, not one a word
+        for row in answers:
+            found |= zip(np.frombuffer(row.at, "<i4").tolist(), np.frombuffer(row.c, "<i8").tolist())
+        assert found == {at: expected.get(word, 0) for at, word in enumerate(words)}
+
+
+def test_the_most_frequent_words_are_cut_by_word_among_equals(spark):
+    rows = [("b", 5), ("a", 2), ("c", 2), ("d", 2), ("\n", 9), ("e", 1)]
+    words = spark.createDataFrame(rows, "word string, c bigint")
+    for size, expected in ((0, []), (1, ["b"]), (3, ["b", "a", "c"]), (4, ["b", "a", "c", "d"]), (9, [*"bacde"])):
+        found, all_v = lm._most_frequent(words, size)
+        assert all_v == 6 and found[-1] == (lm.END, 9)
+        assert sorted(found[:-1]) == sorted((word.encode(), dict(rows)[word]) for word in expected)
+    assert lm._most_frequent(words.limit(0), 3) == ([(lm.END, 0)], 0)
+
+
+def test_few_tasks_send_their_weights(spark, monkeypatch):
+    rows = [(i, fixture.prose(i, 50), "en", "s", 1) for i in range(200)]
+    many = 3 * spark.sparkContext.defaultParallelism
+    packs = lm._packs(
+        fixture.table(spark, rows).repartition(many).selectExpr("doc_id id", "text", "false held_out"), lm.Settings()
+    )
+    assert packs.count() == many
+    asked = []
+    monkeypatch.setattr(lm, "stored", lambda df, name, real=lm.stored: asked.append(df) or real(df, name))
+    places = {word: i for i, word in enumerate([b"a", lm.END, b""])}
+    sent = []
+    monkeypatch.setattr(type(packs), "coalesce", lambda self, n, real=type(packs).coalesce: sent.append(n) or real(self, n))
+    lm._fitted(packs, gru.start(np.ones(3), gru.Shape()), np.ones(3), places, lm.Settings(rounds=1))
+    assert sent == [spark.sparkContext.defaultParallelism] and len(asked) == 1
+
+
+def plain_logs(w, of, states, targets):
+    """Log probabilities, and gradients of their negative sum, one target after another."""
+    total, grads = 0.0, {name: np.zeros(w[name].shape) for name in ("wclass", "bclass", "wword", "bword")}
+    dstates = np.zeros(states.shape)
+    for i, (state, target) in enumerate(zip(states.astype(float), targets)):
+        own = of == of[target]
+        for weights, bias, at, keys, name in (
+            (w["wclass"].T, w["bclass"], of[target], slice(None), "class"),
+            (w["wword"][own], w["bword"][own], np.flatnonzero(own).tolist().index(target), own, "word"),
+        ):
+            scores = weights.astype(float) @ state + bias
+            p = np.exp(scores - scores.max())
+            p /= p.sum()
+            total += np.log(p[at])
+            p[at] -= 1
+            dstates[i] += p @ weights
+            grads["b" + name][keys] += p
+            grads["w" + name][keys if name == "word" else slice(None)] += np.outer(p, state) if name == "word" else np.outer(state, p)
+    return total, grads, dstates
+
+
+def test_outputs_in_blocks_are_those_of_single_rows(monkeypatch):
+    """Rows cut into blocks, classes of one word, and scores past what exp can hold."""
+    counts = np.array([900.0, 60, 50, 40, 30, 20, 10, 5, 4, 3, 2, 1])
+    shape = replace(gru.Shape(), hidden=5, embed=4, classes=4)
+    random = np.random.default_rng(3)
+    for block, times in ((1, 1), (7, 1), (98_304, 1), (7, 400)):
+        monkeypatch.setattr(gru, "_BLOCK", block)
+        model = gru.Model(gru.start(counts, shape), counts, shape)
+        for name in ("wclass", "wword"):
+            model.w[name] *= times
+        assert (np.diff(model.bounds) == 1).any()
+        targets, inputs = random.integers(0, 12, (2, 6, 3))
+        trace, _ = model._steps(inputs, np.zeros((6, 3), bool), np.zeros((3, 5), np.float32))
+        states = np.concatenate([step[5] for step in trace])
+        total, grads, dstates = plain_logs(model.w, model.of, states, targets.ravel())
+        assert np.isclose(model._outputs(states, targets.ravel())[0].sum(), total, rtol=1e-4)
+        found = {name: np.zeros(value.shape) for name, value in model.w.items()}
+        for name, rows, grad in model._gradients(trace, inputs, np.zeros((6, 3), bool), targets):
+            found[name][rows] += grad
+        for name, grad in grads.items():
+            assert np.allclose(found[name] * 3, grad, atol=2e-4 * max(1, times / 10)), (block, times, name)
+
+
+def test_a_window_allocates_no_gradient_of_the_whole_vocabulary(monkeypatch):
+    """Outputs' weights are learned class by class, where their gradient is made."""
+    counts = 1e6 / np.arange(1, 4_001)
+    shape = replace(gru.Shape(), classes=60, window=8, lanes=8, updates=2)
+    model = gru.Model(gru.start(counts, shape), counts, shape)
+    widest = []
+    monkeypatch.setattr(gru, "_learn", lambda w, past, grad, *rest, real=gru._learn: widest.append(grad.size) or real(w, past, grad, *rest))
+    stream = np.random.default_rng(0).integers(0, 4_000, 600).astype(np.int32)
+    model.train(stream, np.arange(600) % 50 == 0, 0)
+    assert max(widest) < 0.2 * model.w["wword"].size

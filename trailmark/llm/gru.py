@@ -13,6 +13,9 @@ import numpy as np
 # Tokens scored at once, about.
 _AT_ONCE = 8_192
 
+# Scores of one block of rows, about: what fits beside a processor's core.
+_BLOCK = 98_304
+
 # exp of scores up to here, and sums of many, are normal single-precision numbers.
 _SAFE = 60
 
@@ -41,6 +44,14 @@ def word_classes(counts: np.ndarray, classes: int) -> np.ndarray:
     return np.unique((upto * classes * 0.999999).astype(np.int64), return_inverse=True)[1]
 
 
+def blank(counts: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
+    """Zeros in the shapes of the weights, that take no room."""
+    size, h, e = len(counts), shape.hidden, shape.embed
+    classes = word_classes(counts, shape.classes).max() + 1
+    dims = ((size, e), (e, 3 * h), (3 * h,), (h, 3 * h), (h, classes), (classes,), (size, h), (size,))
+    return {name: np.broadcast_to(np.float32(0), one) for name, one in zip(NAMES, dims)}
+
+
 def start(counts: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
     """Small random weights; output biases start at the unigram distribution."""
     random = np.random.default_rng(shape.seed)
@@ -64,32 +75,55 @@ def start(counts: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+class _Softmax:
+    """Weights of one softmax: a row for each place of a state and one for the bias, so that
+    one product gives the scores of states that end in 1."""
 
+    def __init__(self, w: np.ndarray, past: np.ndarray) -> None:
+        self.w, self.past = w, past
+        self.ones = np.ones(w.shape[1], w.dtype)
+        self._measure()
 
-def _softmax(states, weights, bias, at, normal: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Log probabilities of the columns ``at``, one for each row, and what the scores were
-    turned into: probabilities if ``normal``. Rows are shifted only if a score could pass
-    what exp can hold (states lie between -1 and 1)."""
-    scores = states @ weights
-    scores += bias
-    if (np.abs(weights).sum(0) + np.abs(bias)).max() > _SAFE:
-        scores -= scores.max(1, keepdims=True)
-    logs = scores[np.arange(len(at)), at].astype(np.float64)
-    np.exp(scores, out=scores)
-    total = scores @ np.ones(scores.shape[1], scores.dtype)
-    if normal:
-        scores /= total[:, None]
-    return logs - np.log(total), scores
+    def _measure(self) -> None:
+        # States lie between -1 and 1.
+        self.reach = np.abs(self.w).sum(0).max()
 
+    def scores(self, states: np.ndarray) -> np.ndarray:
+        """A row for each state. Rows are shifted only if a score could pass what exp can hold."""
+        made = np.dot(states, self.w)
+        if self.reach > _SAFE:
+            made -= made.max(1, keepdims=True)
+        return made
 
-def _summed(values: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct numbers, and the sums of the rows that have them."""
-    order = np.argsort(numbers, kind="stable")
-    ordered = numbers[order]
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    return ordered[first], np.add.reduceat(values[order], first, axis=0)
+    def learn(self, grad: np.ndarray, rate: float, bounded: bool) -> None:
+        _learn(self.w, self.past, grad, rate, bounded)
+        # A step is never longer than the rate.
+        self.reach += len(self.w) * rate
+        if self.reach > _SAFE:
+            self._measure()
+
+
+def _learn(w: np.ndarray, past: np.ndarray, grad: np.ndarray, rate: float, bounded: bool = False) -> None:
+    """A step of AdaGrad in place, ``grad`` included. A ``bounded`` gradient is in [-1, 1]."""
+    if not bounded:
+        np.clip(grad, -1, 1, out=grad)
+    square = grad * grad
+    past += square
+    np.sqrt(past, out=square)
+    np.divide(grad, square, out=square)
+    square *= rate
+    w -= square
+
+
+def _summed(values: np.ndarray, numbers: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers (below ``size``), and the sums of the columns that have them, as rows."""
+    seen = np.zeros(size, bool)
+    seen[numbers] = True
+    found = np.flatnonzero(seen)
+    place = np.empty(size, np.int64)
+    place[found] = np.arange(len(found))
+    place = place[numbers]
+    return found, np.stack([np.bincount(place, row, len(found)) for row in values], 1).astype(values.dtype)
 
 
 class Model:
@@ -102,45 +136,96 @@ class Model:
         # Words are sorted, so a class is a run of them.
         self.bounds = np.searchsorted(self.of, np.arange(self.of.max() + 2))
 
+    def _softmaxes(self) -> list[_Softmax]:
+        """Those of each class's words, then that of the classes, in one piece of memory."""
+        w = self.w
+        runs = [slice(low, high) for low, high in zip(self.bounds, self.bounds[1:])]
+        found = [(w["wword"][run].T, w["bword"][run]) for run in runs] + [(w["wclass"], w["bclass"])]
+        rows = self.shape.hidden + 1
+        cuts = np.append(0, np.cumsum([rows * len(bias) for _, bias in found]))
+        flat = np.empty(cuts[-1], w["wword"].dtype)
+        past = np.full_like(flat, 1e-6)
+        made = []
+        for (weights, bias), low, high in zip(found, cuts, cuts[1:]):
+            own = flat[low:high].reshape(rows, -1)
+            own[:-1], own[-1] = weights, bias
+            made.append(_Softmax(own, past[low:high].reshape(rows, -1)))
+        return made
+
+    def _keep(self, softmaxes: list[_Softmax]) -> None:
+        w = self.w
+        for low, high, one in zip(self.bounds, self.bounds[1:], softmaxes):
+            w["wword"][low:high], w["bword"][low:high] = one.w[:-1].T, one.w[-1]
+        w["wclass"][:], w["bclass"][:] = softmaxes[-1].w[:-1], softmaxes[-1].w[-1]
+
     def _steps(self, inputs, fresh, h):
-        """Hidden states after each step; ``fresh`` marks where a text starts."""
+        """Hidden states after each step; ``fresh`` marks where a text starts. A step's trace
+        is (old state, z, r, what r is applied to, n, state)."""
         w, size = self.w, self.shape.hidden
-        told = w["embed"][np.asarray(inputs)] @ w["win"] + w["bin"]
-        goes_on = (~np.asarray(fresh))[:, :, None]
-        trace = []
-        for g, on in zip(told, goes_on):
-            h = h * on
-            u = h @ w["rec"]
-            zr = _sigmoid(g[:, : 2 * size] + u[:, : 2 * size])
-            z, r = zr[:, :size], zr[:, size:]
-            un = u[:, 2 * size :]
-            n = np.tanh(g[:, 2 * size :] + r * un)
-            old, h = h, n + z * (h - n)
-            trace.append((old, z, r, n, un, h))
+        # Gates z and r with turned signs, as their exponentials are asked for.
+        sign = np.array([-1, -1, 1], w["rec"].dtype)[:, None, None]
+        win, rec = (w[name].reshape(-1, 3, size).transpose(1, 0, 2) * sign for name in ("win", "rec"))
+        told = np.matmul(w["embed"][np.asarray(inputs)][:, None], win)
+        told += w["bin"].reshape(3, 1, size) * sign
+        goes_on = (~np.asarray(fresh))[:, :, None].astype(told.dtype)
+        trace = np.empty((len(told), 6, *h.shape), told.dtype)
+        for g, on, step in zip(told, goes_on, trace):
+            old, _, r, un, n, after = step
+            z, gates = step[1], step[1:3]
+            np.multiply(h, on, out=old)
+            np.matmul(old, rec, out=step[1:4])
+            gates += g[:2]
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            np.multiply(r, un, out=n)
+            n += g[2]
+            np.tanh(n, out=n)
+            np.subtract(old, n, out=after)
+            after *= z
+            after += n
+            h = after
         return trace, h
 
-    def _outputs(self, states, targets, normal=True):
-        """Log probabilities of targets, with what the gradient needs: the order by class
-        that all of it is in, where each class's targets start, the probabilities of classes
-        and, for each class, (class, its targets, probabilities of its words)."""
-        w = self.w
-        classes = self.of[targets]
-        order = np.argsort(classes, kind="stable")
-        classes, states, targets = classes[order], states[order], targets[order]
-        found, top = _softmax(states, w["wclass"], w["bclass"], classes, normal)
-        cuts = np.searchsorted(classes, np.arange(len(self.bounds)))
-        inner = []
-        for c in np.flatnonzero(np.diff(cuts)):
-            low, high = self.bounds[c], self.bounds[c + 1]
-            if high - low > 1:
-                rows = slice(cuts[c], cuts[c + 1])
-                words = w["wword"][low:high].T
-                logs, part = _softmax(states[rows], words, w["bword"][low:high], targets[rows] - low, normal)
-                found[rows] += logs
-                inner.append((c, rows, part))
+    def _by_class(self, states, targets):
+        """The order of rows by target, their states with a 1 each, and a list of (number of a
+        softmax, its first row, its last, its width, the flat places of its targets' scores)
+        for all softmaxes that have more than one outcome."""
+        order = np.argsort(targets)
+        targets = targets[order]
+        ended = np.ones((len(states), states.shape[1] + 1), states.dtype)
+        ended[:, :-1] = states[order]
+        cuts, wide = np.searchsorted(targets, self.bounds), np.diff(self.bounds)
+        of, rows = self.of[targets], np.arange(len(targets))
+        own = targets - self.bounds[of] + (rows - cuts[of]) * wide[of]
+        parts = [
+            (c, low, high, m, own[low:high])
+            for c, (low, high, m) in enumerate(zip(cuts.tolist(), cuts[1:].tolist(), wide.tolist()))
+            if high > low and m > 1
+        ]
+        if len(wide) > 1:
+            parts.append((len(wide), 0, len(targets), len(wide), of + rows * len(wide)))
+        return order, ended, parts
+
+    def _outputs(self, states, targets, softmaxes=None):
+        """Log probabilities of targets, and the order by class in which they were found."""
+        softmaxes = softmaxes or self._softmaxes()
+        order, ended, parts = self._by_class(states, targets)
+        found = np.zeros(len(targets))
+        for number, low, high, wide, own in parts:
+            one, step = softmaxes[number], max(1, _BLOCK // wide)
+            scored, total = np.empty(high - low, ended.dtype), np.empty(high - low, ended.dtype)
+            for at in range(0, high - low, step):
+                rows = slice(at, at + step)
+                scores = one.scores(ended[low:high][rows])
+                scores.take(own[rows] - at * wide if at else own[rows], out=scored[rows], mode="clip")
+                np.exp(scores, out=scores)
+                np.dot(scores, one.ones, out=total[rows])
+            found[low:high] += scored
+            found[low:high] -= np.log(total)
         logs = np.empty(len(targets))
         logs[order] = found
-        return logs, order, top, inner
+        return logs, order
 
     def score(self, texts: list[np.ndarray], begin: int) -> np.ndarray:
         """Natural-log probability of each text (arrays of word numbers), read after ``begin``.
@@ -163,29 +248,31 @@ class Model:
                 rows[lane].append(i)
                 filled[lane] += lengths[i]
         steps = int(filled.max())
-        targets = np.zeros((steps, lanes), np.int32)
-        inputs = np.full((steps, lanes), begin, np.int32)
-        owner = np.full((steps, lanes), -1, np.int32)
-        fresh = np.zeros((steps, lanes), bool)
+        targets = np.zeros((lanes, steps), np.int32)
+        inputs = np.full((lanes, steps), begin, np.int32)
+        owner = np.full((lanes, steps), -1, np.int32)
+        fresh = np.zeros((lanes, steps), bool)
         for lane, own in enumerate(rows):
             at = 0
             for i in own:
                 n = int(lengths[i])
-                targets[at : at + n, lane] = texts[i]
-                inputs[at + 1 : at + n, lane] = texts[i][:-1]
-                owner[at : at + n, lane] = i
-                fresh[at, lane] = True
+                targets[lane, at : at + n] = texts[i]
+                inputs[lane, at + 1 : at + n] = texts[i][:-1]
+                owner[lane, at : at + n] = i
+                fresh[lane, at] = True
                 at += n
+        targets, inputs, owner, fresh = (x.T.copy() for x in (targets, inputs, owner, fresh))
+        softmaxes = self._softmaxes()
         h = np.zeros((lanes, self.shape.hidden), np.float32)
         # Few lanes have longer windows, which changes no result.
         window = max(self.shape.window, _AT_ONCE // lanes)
         for low in range(0, steps, window):
             cut = slice(low, low + window)
             trace, h = self._steps(inputs[cut], fresh[cut], h)
-            states = np.concatenate([step[5] for step in trace])
             own = owner[cut].ravel()
             used = own >= 0
-            logs = self._outputs(states[used], targets[cut].ravel()[used], normal=False)[0]
+            states = trace[:, 5].reshape(len(own), -1)
+            logs = self._outputs(states[used], targets[cut].ravel()[used], softmaxes)[0]
             made += np.bincount(own[used], logs, len(texts))
         return made
 
@@ -203,81 +290,110 @@ class Model:
         used = np.pad(np.ones(len(stream), bool), filling).reshape(lanes, steps).T
         new[0] = True
         inputs = np.where(new, begin, np.vstack([targets[:1], targets[:-1]]))
-        past = {name: np.full(value.shape, 1e-6, np.float32) for name, value in self.w.items()}
+        softmaxes = self._softmaxes()
+        past = {name: np.full(self.w[name].shape, 1e-6, np.float32) for name in NAMES[:4]}
         h = np.zeros((lanes, shape.hidden), np.float32)
         for low in range(0, steps, shape.window):
             cut = slice(low, low + shape.window)
             trace, after = self._steps(inputs[cut], new[cut], h)
-            for name, rows, grad in self._gradients(trace, inputs[cut], new[cut], targets[cut], used[cut]):
-                np.clip(grad, -1, 1, out=grad)
-                past[name][rows] += grad**2
-                grad *= shape.rate
-                grad /= np.sqrt(past[name][rows])
-                self.w[name][rows] -= grad
+            dstates = np.zeros((trace.shape[0] * lanes, shape.hidden), np.float32)
+            for number, rows, grad in self._output_gradients(trace, targets[cut], used[cut], dstates, softmaxes):
+                # A mean over lanes of values in [-1, 1].
+                softmaxes[number].learn(grad, shape.rate, rows <= lanes)
+            for name, rows, grad in self._recurrent_gradients(trace, inputs[cut], new[cut], dstates):
+                if isinstance(rows, slice):
+                    _learn(self.w[name], past[name], grad, shape.rate)
+                else:
+                    weights, sums = self.w[name][rows], past[name][rows]
+                    _learn(weights, sums, grad, shape.rate)
+                    self.w[name][rows], past[name][rows] = weights, sums
             h = after
+        self._keep(softmaxes)
         return len(stream)
 
-    def _gradients(self, trace, inputs, fresh, targets, used=None):
-        """(weight, rows, gradient) of the mean loss per lane and step, of the ``used`` steps."""
-        w, size = self.w, self.shape.hidden
-        states = np.concatenate([step[5] for step in trace])
-        flat = targets.ravel()
-        _, order, dtop, inner = self._outputs(states, flat)
+    def _output_gradients(self, trace, targets, used, dstates, softmaxes):
+        """(number of a softmax, rows that it has, gradient) of the mean loss per lane and step
+        of the ``used`` steps. A softmax may be changed when its own has been given. In the end
+        ``dstates`` has the states' gradients, of lanes added up."""
         scale = 1 / targets.shape[1]
-        states, flat = states[order], flat[order]
-        dtop[np.arange(len(flat)), self.of[flat]] -= 1
-        told = None if used is None or used.all() else used.ravel()[order, None].astype(np.float32)
-        if told is not None:
-            dtop *= told
-        dstates = dtop @ w["wclass"].T
-        every = slice(None)
-        made = [
-            ("wclass", every, states.T @ dtop * scale),
-            ("bclass", every, dtop.sum(0) * scale),
-        ]
-        # Classes without a target here have no gradient; those with one are runs of words.
-        seen = [slice(self.bounds[c], self.bounds[c + 1]) for c, _, _ in inner]
-        dword, dbias = np.zeros_like(w["wword"]), np.zeros_like(w["bword"])
-        for (_, rows, d), words in zip(inner, seen):
-            d[np.arange(len(d)), flat[rows] - words.start] -= 1
-            if told is not None:
-                d *= told[rows]
-            dstates[rows] += d @ w["wword"][words]
-            np.dot(d.T, states[rows], out=dword[words])
-            dbias[words] = d.sum(0)
-        dword *= scale
-        dbias *= scale
-        made += [("wword", every, dword), ("bword", every, dbias)]
-        back_again = np.empty_like(dstates)
-        back_again[order] = dstates
-        dstates = back_again.reshape(len(trace), -1, size)
+        flat = np.flatnonzero(used.ravel()) if used is not None and not used.all() else slice(None)
+        states, targets = trace[:, 5].reshape(len(dstates), -1)[flat], targets.ravel()[flat]
+        order, ended, parts = self._by_class(states, targets)
+        found = np.zeros_like(states)
+        for number, low, high, wide, own in parts:
+            one, step, grad = softmaxes[number], max(1, _BLOCK // wide), None
+            weights = one.w[:-1].T
+            for at in range(low, high, step):
+                rows = slice(at, min(high, at + step))
+                place = own if high - low <= step else own[at - low : at - low + step] - (at - low) * wide
+                # Probabilities times ``total``, less that at the target.
+                scores = one.scores(ended[rows])
+                np.exp(scores, out=scores)
+                total = np.dot(scores, one.ones)
+                scores.reshape(-1)[place] -= total
+                np.reciprocal(total, out=total)
+                total = total[:, None]
+                part = np.dot(scores, weights)
+                part *= total
+                found[rows] += part
+                total *= scale
+                part = np.dot((ended[rows] * total).T, scores)
+                grad = part if grad is None else np.add(grad, part, out=grad)
+            yield number, high - low, grad
+        back = np.empty_like(found)
+        back[order] = found
+        dstates[flat] = back
+
+    def _recurrent_gradients(self, trace, inputs, fresh, dstates):
+        """(weight, rows, gradient) of all but the outputs' weights. Overwrites ``dstates``."""
+        w, size = self.w, self.shape.hidden
+        steps, _, lanes, _ = trace.shape
+        scale = 1 / lanes
+        old, z, r, un, n, _ = (trace[:, k] for k in range(6))
+        goes_on = (~np.asarray(fresh))[:, :, None].astype(trace.dtype)
+        # What a state's gradient is multiplied by for each gate before its function.
+        stays = 1 - z
+        to_n = (1 - n * n) * stays
+        through = np.empty((steps, lanes, 3, size), trace.dtype)
+        np.multiply((old - n) * stays, z, out=through[:, :, 0])
+        to_un = to_n * r
+        np.multiply(to_un * un, 1 - r, out=through[:, :, 1])
+        through[:, :, 2] = to_un
+        dstates = dstates.reshape(steps, lanes, size)
+        rest = np.ascontiguousarray(w["rec"].T)
         back = np.zeros_like(dstates[0])
-        drec = np.zeros_like(w["rec"])
-        gates = np.zeros((len(trace), back.shape[0], 3 * size), dstates.dtype)
-        through = np.empty((back.shape[0], 3 * size), dstates.dtype)
-        goes_on = (~np.asarray(fresh))[:, :, None]
-        for t in range(len(trace) - 1, -1, -1):
-            old, z, r, n, un, _ = trace[t]
-            dh = dstates[t] + back
-            stays = dh * z
-            dn = (dh - stays) * (1 - n * n)
-            gates[t, :, :size] = stays * (old - n) * (1 - z)
-            gates[t, :, size : 2 * size] = dn * un * r * (1 - r)
-            gates[t, :, 2 * size :] = dn
-            through[:, : 2 * size] = gates[t, :, : 2 * size]
-            through[:, 2 * size :] = dn * r
-            drec += old.T @ through
-            back = (stays + through @ w["rec"].T) * goes_on[t]
-        gates = gates.reshape(-1, 3 * size)
-        gates *= scale
-        words, per_word = _summed(gates, np.asarray(inputs).ravel())
-        made += [
-            ("rec", every, drec * scale),
-            ("bin", every, gates.sum(0)),
-            ("win", every, w["embed"][words].T @ per_word),
-            ("embed", words, per_word @ w["win"].T),
+        for t in range(steps - 1, -1, -1):
+            dh = dstates[t]
+            dh += back
+            through[t] *= dh[:, None]
+            np.matmul(through[t].reshape(lanes, -1), rest, out=back)
+            back += dh * z[t]
+            back *= goes_on[t]
+        flat = through.reshape(steps * lanes, -1)
+        drec = np.ascontiguousarray(old).reshape(len(flat), -1).T @ flat
+        drec *= scale
+        np.multiply(dstates, to_n, out=through[:, :, 2])
+        flat *= scale
+        inputs = np.asarray(inputs).ravel()
+        words, per_word = _summed(w["win"] @ flat.T, inputs, len(w["embed"]))
+        every = slice(None)
+        return [
+            ("rec", every, drec),
+            ("bin", every, flat.sum(0)),
+            ("win", every, w["embed"][inputs].T @ flat),
+            ("embed", words, per_word),
         ]
-        return made
+
+    def _gradients(self, trace, inputs, fresh, targets, used=None):
+        """(weight, rows, gradient) of the mean loss per lane and step, of the ``used`` steps."""
+        dstates = np.zeros((targets.size, self.shape.hidden), trace.dtype)
+        softmaxes, made = self._softmaxes(), []
+        for number, _, grad in self._output_gradients(trace, targets, used, dstates, softmaxes):
+            run, names = slice(None), ("wclass", "bclass")
+            if number < len(self.bounds) - 1:
+                run, names = slice(self.bounds[number], self.bounds[number + 1]), ("wword", "bword")
+            made += [(names[0], run, grad[:-1] if names[0] == "wclass" else grad[:-1].T), (names[1], run, grad[-1])]
+        return made + self._recurrent_gradients(trace, inputs, fresh, dstates)
 
 
 def pack(weights: dict[str, np.ndarray]) -> bytes:
